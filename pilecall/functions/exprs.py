@@ -52,7 +52,7 @@ def low_complexity(seq, frac: float = 0.75) -> Column:
     s = col(seq)
     n = F.length(s)
     counts = [n - F.length(F.regexp_replace(s, b, "")) for b in "ACGT"]
-    return (n > 0) & (F.greatest(*counts) / n > frac)
+    return F.when(n == 0, F.lit(True)).otherwise(F.greatest(*counts) / n > frac)
 
 
 def homopolymer_start(seq) -> Column:

@@ -149,8 +149,9 @@ def ref_range(ctx: Column, ctx_start: Column, a: Column, b: Column) -> Column:
 
 
 def splice_antijoin(calls: DataFrame, splices: DataFrame) -> DataFrame:
-    """Drop deletions whose ``sp-ep`` equals an observed splice junction."""
-    keyed = calls.withColumn("_junction", F.concat_ws("-", F.col("sp"), F.col("ep")))
-    sp = splices.select("region_id", F.col("junction").alias("_junction")).distinct()
-    is_del = keyed.where(F.col("vartype") == "Deletion").join(sp, ["region_id", "_junction"], "left_anti")
-    return is_del.unionByName(keyed.where(F.col("vartype") != "Deletion")).drop("_junction")
+    """Drop deletions whose ``sp-ep`` equals an observed splice junction (one left join)."""
+    sp = splices.select("region_id", F.col("junction").alias("_junction")).distinct().withColumn("_hit", F.lit(True))
+    keyed = calls.withColumn("_junction", F.concat_ws("-", F.col("sp").cast("string"), F.col("ep").cast("string")))
+    out = keyed.join(sp, ["region_id", "_junction"], "left")
+    out = out.where(~((F.col("vartype") == "Deletion") & F.coalesce(F.col("_hit"), F.lit(False))))
+    return out.drop("_junction", "_hit")

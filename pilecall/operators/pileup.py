@@ -26,12 +26,12 @@ from pilecall.operators.joins import ref_char, ref_windows, window_nblocks
 from pilecall.params import CallParams
 
 EVENT_COLS = [
-    "region_id", "chr", "region_start", "region_end", "pos", "allele", "is_ins",
+    "region_id", "chr", "region_start", "region_end", "contig_len", "pos", "allele", "is_ins",
     "cnt", "fwd", "rev", "tp_sum", "q_sum", "mq_sum", "nm_sum", "hicnt", "locnt",
     "std_tp", "std_q", "cov",
 ]
 
-_REGION_KEYS = ["region_id", "chr", "region_start", "region_end"]
+_REGION_KEYS = ["region_id", "chr", "region_start", "region_end", "contig_len"]
 
 
 def _q_at(idx: Column) -> Column:
@@ -58,7 +58,7 @@ def read_ops(region_reads: DataFrame) -> DataFrame:
     from pilecall.functions.cigar import with_ops
 
     base = region_reads.select(
-        *_REGION_KEYS,
+        *_REGION_KEYS[:4],
         F.coalesce(F.col("contig_len"), F.lit(2**62).cast("long")).alias("contig_len"),
         "start_pos", "end_pos", "flag", "mapq", "seq", F.col("qual").alias("seq_qual"),
         "tnm", "rlen1", "rlen2", "cigar", *(["ops"] if "ops" in region_reads.columns else []),
