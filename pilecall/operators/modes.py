@@ -17,16 +17,17 @@ def regions_with_contigs(regions: DataFrame, contigs: DataFrame) -> DataFrame:
     return regions.join(contigs.select("chr", F.col("length").alias("contig_len")), "chr", "left")
 
 
-def region_reads(reads: DataFrame, regions: DataFrame, contigs: DataFrame, p: CallParams) -> DataFrame:
+def region_reads(reads: DataFrame, regions: DataFrame, contigs: DataFrame, p: CallParams,
+                 ref_blocks: DataFrame | None = None, max_read_len: int = 160) -> DataFrame:
     """Filtered reads joined to the regions they overlap (D-chain + C2)."""
     r = apply_read_filters(reads, p)
     if p.remove_dups:
         r = dedup(r)
     rr = region_read_overlap(regions_with_contigs(regions, contigs), r)
-    if p.realign:
+    if p.realign and ref_blocks is not None:
         from pilecall.operators.normalize import normalize_cigar
 
-        rr = normalize_cigar(rr, p)
+        rr = normalize_cigar(rr, p, ref_blocks, max_read_len)
     return rr
 
 
@@ -57,7 +58,7 @@ def call_single(
     max_read_len: int = 160,
 ) -> DataFrame:
     """The flagship chain — filters, region join, pileup, statistics, filter, output."""
-    rr = region_reads(reads, regions, contigs, p)
+    rr = region_reads(reads, regions, contigs, p, ref_blocks, max_read_len)
     var = candidate_calls(rr, ref_blocks, p, max_read_len)
     var = C.good_variant_flag(var, splice_counts(rr), p)
     var = var.where(~F.col("ref_allele").contains("N"))

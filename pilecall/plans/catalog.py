@@ -247,6 +247,94 @@ def q_call_single(spark, sf):
     return calls.drop("pos")
 
 
+# -- A: sources and sinks (written to the shared checkpoint folder, read back) --
+
+def _scratch(spark, name):
+    from pilecall.session import shared_scratch
+
+    return shared_scratch(spark, name)
+
+
+def _bed_lines(fx):
+    head = fx["regions"].sparkSession.createDataFrame([("#comment",), ("browser position chr1",), ("track name=x",)], ["value"])
+    body = fx["regions"].select(F.concat_ws("\t", "chr", F.col("region_start").cast("string"),
+                                            F.col("region_end").cast("string"), "gene").alias("value"))
+    return head.unionByName(body)
+
+
+def q_scan_regions(spark, sf):
+    from pilecall.sources.text import scan_regions
+
+    fx = _fx(spark, sf)
+    path = _scratch(spark, "regions")
+    fx["regions"].select(F.concat_ws("\t", "chr", F.col("region_start").cast("string"),
+                                     F.col("region_end").cast("string"), "gene").alias("value")).write.text(path)
+    return scan_regions(spark, path)
+
+
+def q_scan_bed(spark, sf):
+    from pilecall.sources.text import scan_bed
+
+    path = _scratch(spark, "bed")
+    _bed_lines(_fx(spark, sf)).write.text(path)
+    return scan_bed(spark, path).select("chr", "region_start", "region_end", "gene", "amplicon_mode")
+
+
+def q_scan_bed_amplicon(spark, sf):
+    from pilecall.sources.text import scan_bed
+
+    fx = _fx(spark, sf)
+    path = _scratch(spark, "ampbed")
+    a = fx["amplicons"]
+    a.select(F.concat_ws("\t", "chr", F.col("amp_start").cast("string"), F.col("amp_end").cast("string"), "gene",
+                         F.lit("0"), F.lit("+"), F.col("istart").cast("string"), F.col("iend").cast("string")).alias("value")
+             ).write.text(path)
+    return scan_bed(spark, path).select("chr", "region_start", "region_end", "gene", "istart", "iend", "amplicon_mode")
+
+
+def _write_sam(spark, fx):
+    path = _scratch(spark, "sam")
+    r = fx["reads"]
+    body = r.select(F.concat_ws("\t", "read_name", F.col("flag").cast("string"), "chr", F.col("start_pos").cast("string"),
+                                F.col("mapq").cast("string"), "cigar", F.lit("="), F.col("mate_start").cast("string"),
+                                F.col("insert_size").cast("string"), "seq", "qual",
+                                F.concat(F.lit("NM:i:"), F.col("nm").cast("string"))).alias("value"))
+    head = fx["contigs"].select(F.concat(F.lit("@SQ\tSN:"), F.col("chr"), F.lit("\tLN:"), F.col("length").cast("string")).alias("value"))
+    head.unionByName(body).write.text(path)
+    return path
+
+
+def q_scan_sam(spark, sf):
+    from pilecall.sources.text import scan_sam
+
+    path = _write_sam(spark, _fx(spark, sf))
+    return scan_sam(spark, path).drop("path", "sa_tag")
+
+
+def q_contig_lengths(spark, sf):
+    from pilecall.sources.text import contig_lengths
+
+    path = _write_sam(spark, _fx(spark, sf))
+    return contig_lengths(spark, path)
+
+
+def q_sample_name(spark, sf):
+    from pilecall.sources.text import sample_name
+
+    r = _fx(spark, sf)["reads"]
+    paths = r.select(F.when(F.col("sample") == "tumor", F.concat(F.lit("/data/run1/"), F.col("chr"), F.lit("_"), F.col("sample"), F.lit(".sorted.dedup.bam")))
+                     .otherwise(F.concat(F.lit("/data/run1/"), F.col("sample"), F.lit("_"), F.col("chr"), F.lit(".bam"))).alias("path")).distinct()
+    return sample_name(paths, "path")
+
+
+def q_write_calls_roundtrip(spark, sf):
+    from pilecall.sources.text import read_calls, write_calls
+
+    path = _scratch(spark, "calls")
+    write_calls(q_call_single(spark, sf), path)
+    return read_calls(spark, path)
+
+
 def queries() -> dict:
     return {
         "region_parse": q_region_parse,
@@ -283,4 +371,11 @@ def queries() -> dict:
         "noise_flag": q_noise_flag,
         "splice_antijoin": q_splice_antijoin,
         "call_single": q_call_single,
+        "scan_regions": q_scan_regions,
+        "scan_bed": q_scan_bed,
+        "scan_bed_amplicon": q_scan_bed_amplicon,
+        "scan_sam": q_scan_sam,
+        "contig_lengths": q_contig_lengths,
+        "sample_name": q_sample_name,
+        "write_calls_roundtrip": q_write_calls_roundtrip,
     }

@@ -538,4 +538,19 @@ SELECT region_id, pos, allele FROM cfin
 WHERE NOT EXISTS (SELECT 1 FROM spl WHERE spl.region_id = cfin.region_id AND spl.junction = CAST(cfin.sp AS VARCHAR) || '-' || CAST(cfin.ep AS VARCHAR))"""
     q["call_single"] = _with(*cand, _splices("rops"), _GOOD) + r"""
 , gk AS (SELECT * FROM gd WHERE reason IS NULL AND NOT contains(ref_allele, 'N'))""" + _trim("gk") + _FINAL
+    q["scan_regions"] = PRELUDE + "\nSELECT chr, region_start, region_end, gene FROM regions"
+    q["scan_bed"] = PRELUDE + "\nSELECT chr, region_start, region_end, gene, false AS amplicon_mode FROM regions"
+    q["scan_bed_amplicon"] = PRELUDE + r"""
+SELECT chr, CASE WHEN amp_start < amp_end THEN amp_start + 1 ELSE amp_start END AS region_start, amp_end AS region_end, gene,
+  CASE WHEN amp_start < amp_end THEN istart + 1 ELSE istart END AS istart, iend, true AS amplicon_mode FROM amplicons"""
+    q["scan_sam"] = PRELUDE + r"""
+SELECT read_name, flag, chr, start_pos, mapq, cigar, chr AS mate_chr, mate_start, insert_size, seq, qual, nm FROM reads"""
+    q["contig_lengths"] = PRELUDE + "\nSELECT chr, length FROM contigs"
+    q["sample_name"] = PRELUDE + r"""
+, p AS (SELECT DISTINCT CASE WHEN sample = 'tumor' THEN '/data/run1/' || chr || '_' || sample || '.sorted.dedup.bam'
+                             ELSE '/data/run1/' || sample || '_' || chr || '.bam' END AS path FROM reads)
+SELECT path, CASE WHEN regexp_extract(path, '([^/._]+).sorted[^/]*.bam', 1) <> '' THEN regexp_extract(path, '([^/._]+).sorted[^/]*.bam', 1)
+                  WHEN regexp_extract(path, '([^/]+)[_.][^/]*bam', 1) <> '' THEN regexp_extract(path, '([^/]+)[_.][^/]*bam', 1) END AS sample_name
+FROM p"""
+    q["write_calls_roundtrip"] = q["call_single"]
     return q
