@@ -172,6 +172,22 @@ def q_splice_counts(spark, sf):
     return PU.splice_counts(_rr(spark, sf, sample=None))
 
 
+def _clip_table(spark, sf):
+    from pilecall.operators.clips import clip_bases, softclip_table
+
+    return softclip_table(clip_bases(_rr(spark, sf), _fx(spark, sf)["ref_blocks"], CHECK, READ_LEN))
+
+
+def q_softclip_collect(spark, sf):
+    return _clip_table(spark, sf)
+
+
+def q_softclip_consensus(spark, sf):
+    from pilecall.operators.clips import softclip_consensus
+
+    return softclip_consensus(_clip_table(spark, sf))
+
+
 # -- F / J: allele statistics and call assembly --------------------------------
 
 def q_allele_stats(spark, sf):
@@ -358,6 +374,8 @@ def queries() -> dict:
         "deletion_pileup": q_deletion_pileup,
         "coverage": q_coverage,
         "splice_counts": q_splice_counts,
+        "softclip_collect": q_softclip_collect,
+        "softclip_consensus": q_softclip_consensus,
         "allele_stats": q_allele_stats,
         "strand_bias": q_strand_bias,
         "allele_rank": q_allele_rank,

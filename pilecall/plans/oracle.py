@@ -404,6 +404,63 @@ def _trim(src: str) -> str:
 """
 
 
+_CLIPS = r"""
+, cw AS (
+  SELECT x.*, CAST(t2 AS INTEGER) AS t2 FROM (
+    SELECT s.region_id, s.rid, 5 AS side, s.seq, s.qual, s.region_start, s.region_end, s.flag,
+           s.start_pos - n.rescued AS pos, s.len - n.rescued AS m, s.len - n.rescued - 1 AS base0, -1 AS dir1,
+           unnest(range(0, s.len - n.rescued)) AS t2
+    FROM (SELECT DISTINCT region_id, rid, seq, qual, region_start, region_end, flag, start_pos, len FROM s5) s JOIN s5n n USING (region_id, rid)
+    WHERE s.len - n.rescued > 0
+    UNION ALL
+    SELECT s.region_id, s.rid, 3 AS side, s.seq, s.qual, s.region_start, s.region_end, s.flag,
+           s.seg_start + n.rescued AS pos, s.len - n.rescued AS m, s.qofs + n.rescued AS base0, 1 AS dir1,
+           unnest(range(0, s.len - n.rescued)) AS t2
+    FROM (SELECT DISTINCT region_id, rid, seq, qual, region_start, region_end, flag, seg_start, qofs, len FROM s3) s JOIN s3n n USING (region_id, rid)
+    WHERE s.len - n.rescued > 0) x)
+, cw2 AS (
+  SELECT *, substr(seq, CAST(base0 + dir1 * t2 AS INTEGER) + 1, 1) AS base,
+         ascii(substr(qual, CAST(base0 + dir1 * t2 AS INTEGER) + 1, 1)) - 33 AS tq
+  FROM cw)
+, cw3 AS (SELECT *, sum(CASE WHEN tq <= 12 THEN 1 ELSE 0 END) OVER (PARTITION BY region_id, rid, side ORDER BY t2) AS runlow FROM cw2)
+, cst AS (
+  SELECT region_id, rid, side, any_value(m) AS m, any_value(pos) AS pos, any_value(region_start) AS region_start,
+         any_value(region_end) AS region_end, min(CASE WHEN base = 'N' OR runlow > 1 THEN t2 END) AS stop_t
+  FROM cw3 GROUP BY region_id, rid, side)
+, cst2 AS (
+  SELECT c.*, coalesce(stop_t, m) AS qn,
+    (SELECT count(*) FROM cw3 w WHERE w.region_id = c.region_id AND w.rid = c.rid AND w.side = c.side AND w.t2 < coalesce(c.stop_t, c.m) AND w.tq <= 12)
+    + CASE WHEN stop_t IS NOT NULL AND (SELECT any_value(base) FROM cw3 w WHERE w.region_id = c.region_id AND w.rid = c.rid AND w.side = c.side AND w.t2 = c.stop_t) <> 'N' THEN 1 ELSE 0 END AS lowcnt
+  FROM cst c)
+, ckeep AS (SELECT * FROM cst2 WHERE qn >= 1 AND qn > lowcnt AND pos BETWEEN region_start - 200 AND region_end + 200)
+, ctab AS (
+  SELECT w.region_id, w.side, CAST(w.pos AS BIGINT) AS pos, w.t2 AS cidx, w.base, CAST(count(*) AS BIGINT) AS cnt, CAST(sum(w.tq) AS BIGINT) AS q_sum
+  FROM cw3 w JOIN ckeep k ON k.region_id = w.region_id AND k.rid = w.rid AND k.side = w.side AND w.t2 < k.qn
+  GROUP BY w.region_id, w.side, w.pos, w.t2, w.base)
+"""
+
+_CONSENSUS = r"""
+, cc0 AS (
+  SELECT *, sum(cnt) OVER (PARTITION BY region_id, side, pos, cidx) AS tt,
+         row_number() OVER (PARTITION BY region_id, side, pos, cidx ORDER BY q_sum DESC, base ASC) AS r
+  FROM ctab)
+, cc1 AS (
+  SELECT *, sum(CASE WHEN (tt - cnt > 2 OR cnt <= tt - cnt) AND cnt / tt < 0.8 THEN 1 ELSE 0 END)
+              OVER (PARTITION BY region_id, side, pos ORDER BY cidx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS weak_run,
+         max(cidx) OVER (PARTITION BY region_id, side, pos) AS last_idx
+  FROM cc0 WHERE r = 1)
+, cc2 AS (
+  SELECT region_id, side, pos, string_agg(base, '' ORDER BY cidx) AS seq, sum(tt) AS total, sum(cnt) AS "match", max(last_idx) AS li
+  FROM cc1 WHERE weak_run <= 1 GROUP BY region_id, side, pos)
+, cons AS (
+  SELECT region_id, side, pos, CAST(total AS BIGINT) AS total, CAST("match" AS BIGINT) AS "match",
+    CASE WHEN total <> 0 AND "match" / total > 0.9 AND length(seq) / 1.5 > li - length(seq)
+          AND (CASE WHEN li = 0 THEN true ELSE length(seq) / li > 0.8 END OR li - length(seq) < 10 OR length(seq) > 25)
+         THEN seq ELSE '' END AS consensus
+  FROM cc2)
+"""
+
+
 def _with(*ctes: str) -> str:
     return PRELUDE + "".join(ctes)
 
@@ -553,4 +610,6 @@ SELECT path, CASE WHEN regexp_extract(path, '([^/._]+).sorted[^/]*.bam', 1) <> '
                   WHEN regexp_extract(path, '([^/]+)[_.][^/]*bam', 1) <> '' THEN regexp_extract(path, '([^/]+)[_.][^/]*bam', 1) END AS sample_name
 FROM p"""
     q["write_calls_roundtrip"] = q["call_single"]
+    q["softclip_collect"] = _with(*_pileup_ctes(), _CLIPS) + "\nSELECT * FROM ctab"
+    q["softclip_consensus"] = _with(*_pileup_ctes(), _CLIPS, _CONSENSUS) + "\nSELECT region_id, side, pos, consensus, total, \"match\" FROM cons"
     return q
