@@ -106,7 +106,7 @@ def _find_msi(t1: str, t2: str, left: str | None) -> str:
     are trailing repeats of (left + t1) plus leading repeats of t2; the first
     maximum wins. shift3 is the common prefix of (t1 + t2) and t2.
     """
-    s1 = f"concat({left}, {t1})" if left else t1
+    s1 = f"concat(coalesce({left}, ''), {t1})" if left else t1
     copies = (
         "transform(sequence(1, least(8, length({t1}))), k -> named_struct('k', k, 'c', "
         "cast(size(filter(sequence(1, greatest(1, cast(floor(length({s1}) / k) AS int))), c -> c * k <= length({s1}) "
