@@ -43,8 +43,9 @@ def allele_stats(alleles: DataFrame, ref_blocks: DataFrame, p: CallParams) -> Da
     reference row's statistics.
     """
     w = Window.partitionBy(*POS)
-    a = alleles.where((F.col("pos") >= F.col("region_start")) & (F.col("pos") <= F.col("region_end")))
-    a = a.withColumns({
+    # pileup rows are inside their region by construction; no filter on the
+    # aggregation keys here, so the allele shuffle can be shared with other consumers
+    a = alleles.withColumns({
         "tcov": F.sum("cov_add").over(w),
         "hicov": F.sum("hicnt").over(w),
         "_nkeys": F.count(F.when((F.col("allele") != "") & ~F.col("is_ins"), 1)).over(w)

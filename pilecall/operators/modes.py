@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pilecall.operators import calls as C
 from pilecall.operators.joins import region_read_overlap
-from pilecall.operators.pileup import pileup, splice_counts
+from pilecall.operators.pileup import pileup, pileup_tables, splice_counts  # noqa: F401
 from pilecall.operators.read_filters import apply_read_filters, dedup
 from pilecall.params import CallParams
 
@@ -32,16 +32,24 @@ def region_reads(reads: DataFrame, regions: DataFrame, contigs: DataFrame, p: Ca
 
 
 def region_genes(regions: DataFrame, rr: DataFrame) -> DataFrame:
-    """An empty gene name becomes the smallest read name of the region."""
-    first = rr.groupBy("region_id").agg(F.min("read_name").alias("_first_read"))
+    """An empty gene name becomes the smallest read name of the region.
+
+    Only regions without a gene look at reads (a semi-join on the small side);
+    when every region has a gene, AQE sees the empty side and drops the read scan.
+    """
+    unnamed = regions.where(F.coalesce(F.col("gene"), F.lit("")) == "").select("region_id")
+    first = rr.join(F.broadcast(unnamed), "region_id", "left_semi").groupBy("region_id").agg(
+        F.min("read_name").alias("_first_read"))
     g = regions.select("region_id", "gene").join(first, "region_id", "left")
     gene = F.when(F.coalesce(F.col("gene"), F.lit("")) == "", F.coalesce(F.col("_first_read"), F.lit(""))).otherwise(F.col("gene"))
     return g.select("region_id", gene.alias("gene"))
 
 
-def candidate_calls(rr: DataFrame, ref_blocks: DataFrame, p: CallParams, max_read_len: int = 160) -> DataFrame:
+def candidate_calls(rr: DataFrame, ref_blocks: DataFrame, p: CallParams, max_read_len: int = 160,
+                    alleles: DataFrame | None = None) -> DataFrame:
     """Pileup -> allele statistics -> ranked, annotated non-reference alleles."""
-    alleles = pileup(rr, ref_blocks, p, max_read_len)
+    if alleles is None:
+        alleles = pileup(rr, ref_blocks, p, max_read_len)
     stats = C.allele_stats(alleles, ref_blocks, p)
     var = C.rank_alleles(stats, p)
     var = C.with_bias_pair(var)
@@ -59,8 +67,9 @@ def call_single(
 ) -> DataFrame:
     """The flagship chain — filters, region join, pileup, statistics, filter, output."""
     rr = region_reads(reads, regions, contigs, p, ref_blocks, max_read_len)
-    var = candidate_calls(rr, ref_blocks, p, max_read_len)
-    var = C.good_variant_flag(var, splice_counts(rr), p)
+    alleles, splices = pileup_tables(rr, ref_blocks, p, max_read_len)
+    var = candidate_calls(rr, ref_blocks, p, max_read_len, alleles)
+    var = C.good_variant_flag(var, splices, p)
     var = var.where(~F.col("ref_allele").contains("N"))
     if not p.pileup:
         var = var.where(F.col("good"))

@@ -31,6 +31,8 @@ EVENT_COLS = [
     "std_tp", "std_q", "cov",
 ]
 
+SPLICE_PREFIX = "~"  # marks junction rows inside the allele aggregation
+
 _REGION_KEYS = ["region_id", "chr", "region_start", "region_end", "contig_len"]
 
 
@@ -124,15 +126,20 @@ def _m_range():
     return lo.cast("int"), hi.cast("int")
 
 
-def _plain_events(ops: DataFrame, p: CallParams) -> DataFrame:
-    """Ops needing no reference: M runs of reads with <= 1 mismatch and deletions."""
+def _plain_events(ops: DataFrame, p: CallParams, splices: bool = False) -> DataFrame:
+    """Ops needing no reference: M runs of reads with <= 1 mismatch, deletions.
+
+    With ``splices`` each N op also emits one row keyed ``~start-end`` (E10) so
+    junction counts come out of the same aggregation.
+    """
     lo, hi = _m_range()
     nrows = (
         F.when(F.col("op") == "M", F.greatest(F.lit(0), hi - lo + 1))
         .when((F.col("op") == "D") & _in_region(F.col("seg_start")), F.col("len"))
         .otherwise(F.lit(0))
     )
-    rows = ops.where(F.col("op").isin("M", "D")).withColumn("_n", nrows).where(F.col("_n") > 0)
+    nrows = F.when(F.col("op") == "N", F.lit(1)).otherwise(nrows) if splices else nrows
+    rows = ops.where(F.col("op").isin("M", "D", "N")).withColumn("_n", nrows).where(F.col("_n") > 0)
     rows = rows.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
     rows = rows.withColumn("i", lo + F.col("k"))
     kinds = _Kinds(p.goodq)
@@ -150,6 +157,11 @@ def _plain_events(ops: DataFrame, p: CallParams) -> DataFrame:
     # coverage over the other deleted bases
     kinds.add(F.col("op") == "D", F.col("seg_start") + F.col("k"), F.lit(""), q=F.lit(0.0), tp=F.lit(0),
               cnt=0, std=False, hilo=False, keep=_in_region(F.col("seg_start") + F.col("k")))
+    if splices:
+        junction = F.concat(F.lit(SPLICE_PREFIX), (F.col("seg_start") - 1).cast("string"), F.lit("-"),
+                            (F.col("seg_start") + F.col("len") - 1).cast("string"))
+        kinds.add(F.col("op") == "N", F.col("seg_start") - 1, junction, q=F.lit(0.0), tp=F.lit(0),
+                  std=False, cov=0, hilo=False)
     return kinds.project(rows)
 
 
@@ -265,14 +277,15 @@ def attach_windows(ops: DataFrame, ref_blocks: DataFrame, max_read_len: int) ->
     return out.withColumn("wstart", F.coalesce("wstart", F.col("wblock") * BLOCK + 1))
 
 
-def pileup_events(region_reads: DataFrame, ref_blocks: DataFrame, p: CallParams, max_read_len: int = 160) -> DataFrame:
+def pileup_events(region_reads: DataFrame, ref_blocks: DataFrame, p: CallParams, max_read_len: int = 160,
+                  splices: bool = False) -> DataFrame:
     """All signed event rows (EVENT_COLS) of the reads that overlap each region.
 
     Two branches: ops that need no reference (the bulk) and ops joined to a
     reference window. Each branch explodes once.
     """
     ops = read_ops(region_reads)
-    plain = _plain_events(ops.where(~_needs_ref()), p)
+    plain = _plain_events(ops.where(~_needs_ref()), p, splices)
     withref = _ref_events(attach_windows(ops.where(_needs_ref()), ref_blocks, max_read_len), p)
     return plain.unionByName(withref)
 
@@ -292,6 +305,9 @@ def aggregate_events(events: DataFrame) -> DataFrame:
         (F.min("std_tp") != F.max("std_tp")).alias("pstd"),
         (F.min("std_q") != F.max("std_q")).alias("qstd"),
         F.sum("cov").cast("long").alias("cov_add"),
+        # an aggregate (not a key) so a filter on it stays above the shuffle and
+        # both consumers of this aggregation share one exchange
+        F.max(F.col("allele").startswith(SPLICE_PREFIX)).alias("is_splice"),
     )
 
 
@@ -300,6 +316,26 @@ def pileup(region_reads: DataFrame, ref_blocks: DataFrame, p: CallParams, max_re
     return aggregate_events(pileup_events(region_reads, ref_blocks, p, max_read_len))
 
 
+def pileup_tables(region_reads: DataFrame, ref_blocks: DataFrame, p: CallParams,
+                  max_read_len: int = 160) -> tuple[DataFrame, DataFrame]:
+    """(alleles, splices) from one aggregation over the reads.
+
+    The aggregate is checkpointed (eager) into the session's shared checkpoint
+    folder: it is the expensive, read-sized part of the job, both outputs and
+    every later window/join read it back instead of rescanning the reads, and a
+    lost executor afterwards costs a re-read of the checkpoint, not a re-pileup.
+    """
+    from pilecall.session import ensure_checkpoint_dir
+
+    agg = aggregate_events(pileup_events(region_reads, ref_blocks, p, max_read_len, splices=True))
+    ensure_checkpoint_dir(agg.sparkSession)
+    agg = agg.checkpoint(eager=True)
+    is_sp = F.col("is_splice")
+    alleles = agg.where(~is_sp)
+    spl = agg.where(is_sp).select("region_id", F.expr("substr(allele, 2)").alias("junction"), F.col("cnt"))
+    return alleles, spl
+
+
 def coverage(alleles: DataFrame) -> DataFrame:
     """Depth per (region, pos) from the aggregated rows."""
     return alleles.groupBy(*_REGION_KEYS, "pos").agg(F.sum("cov_add").alias("cov"))
