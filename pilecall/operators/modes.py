@@ -77,3 +77,73 @@ def call_single(
     genes = region_genes(regions, rr)
     var = var.join(genes, "region_id", "left")
     return C.finalize_calls(var, sample)
+
+
+def _ref_rows(stats: DataFrame, sample: str) -> DataFrame:
+    """positions where only the reference allele was seen (pileup mode)."""
+    w = Window.partitionBy("region_id", "pos")
+    s = stats.withColumn("_nvar", F.count(F.when(~F.col("is_ref"), 1)).over(w))
+    r = s.where(F.col("is_ref") & (F.col("_nvar") == 0))
+    region = F.concat(F.col("chr"), F.lit(":"), F.col("region_start").cast("string"), F.lit("-"), F.col("region_end").cast("string"))
+    return r.select(
+        "region_id", "pos", F.lit(sample).alias("sample"), "chr",
+        F.col("pos").alias("start"), F.col("pos").alias("end"),
+        F.col("ref_base").alias("ref_allele"), F.col("ref_base").alias("alt_allele"),
+        F.col("tcov").cast("long").alias("tcov"), F.lit(0).cast("long").alias("cov"),
+        F.col("fwd").cast("long").alias("rfc"), F.col("rev").cast("long").alias("rrc"),
+        F.lit(0).cast("long").alias("fwd"), F.lit(0).cast("long").alias("rev"),
+        F.concat(F.col("ref_base"), F.lit("/"), F.col("ref_base")).alias("genotype"),
+        F.lit(0.0).alias("freq"), F.concat(F.col("bias_flag").cast("string"), F.lit(";0")).alias("bias"),
+        "pmean", F.col("pstd").cast("int").alias("pstd"), "qual", F.col("qstd").cast("int").alias("qstd"),
+        C.round_half_up(F.col("mapq_raw"), 1).alias("mapq"), C.round_half_up(F.col("qratio_raw"), 3).alias("qratio"),
+        C.round_half_up(F.col("hifreq_raw"), 4).alias("hifreq"), F.lit(0.0).alias("extrafreq"),
+        F.lit(0).alias("shift3"), F.lit(0.0).alias("msi"), F.lit(0).alias("msint"),
+        C.round_half_up(F.col("nm_raw"), 1).alias("nm"), F.col("hicnt").cast("long").alias("hicnt"),
+        F.col("hicov").cast("long").alias("hicov"), F.lit("0").alias("leftseq"), F.lit("0").alias("rightseq"),
+        region.alias("region"), F.lit("").alias("vartype"),
+    )
+
+
+def _empty_rows(regions: DataFrame, covered: DataFrame, sample: str) -> DataFrame:
+    """a zero row for every region position without any allele (bounded by target size)."""
+    pos = regions.select("region_id", "chr", "region_start", "region_end",
+                         F.explode(F.sequence("region_start", "region_end")).alias("pos"))
+    pos = pos.join(covered.select("region_id", "pos").distinct(), ["region_id", "pos"], "left_anti")
+    region = F.concat(F.col("chr"), F.lit(":"), F.col("region_start").cast("string"), F.lit("-"), F.col("region_end").cast("string"))
+    z, zl, zd = F.lit(0), F.lit(0).cast("long"), F.lit(0.0)
+    return pos.select(
+        "region_id", "pos", F.lit(sample).alias("sample"), "chr", F.col("pos").alias("start"), F.col("pos").alias("end"),
+        F.lit("").alias("ref_allele"), F.lit("").alias("alt_allele"), zl.alias("tcov"), zl.alias("cov"), zl.alias("rfc"),
+        zl.alias("rrc"), zl.alias("fwd"), zl.alias("rev"), F.lit("").alias("genotype"), zd.alias("freq"),
+        F.lit("0;0").alias("bias"), zd.alias("pmean"), z.alias("pstd"), zd.alias("qual"), z.alias("qstd"), zd.alias("mapq"),
+        zd.alias("qratio"), zd.alias("hifreq"), zd.alias("extrafreq"), z.alias("shift3"), zd.alias("msi"), z.alias("msint"),
+        zd.alias("nm"), zl.alias("hicnt"), zl.alias("hicov"), F.lit("0").alias("leftseq"), F.lit("0").alias("rightseq"),
+        region.alias("region"), F.lit("").alias("vartype"),
+    )
+
+
+def call_pileup(
+    reads: DataFrame,
+    regions: DataFrame,
+    contigs: DataFrame,
+    ref_blocks: DataFrame,
+    p: CallParams,
+    sample: str,
+    max_read_len: int = 160,
+) -> DataFrame:
+    """F15 (-p): every region position — all alleles unfiltered, the reference row, or a zero row."""
+    p = p.with_(pileup=True, freq=-1.0, minr=0)
+    rr = region_reads(reads, regions, contigs, p, ref_blocks, max_read_len)
+    alleles, splices = pileup_tables(rr, ref_blocks, p, max_read_len)
+    stats = C.allele_stats(alleles, ref_blocks, p)
+    var = C.rank_alleles(stats, p)
+    var = C.with_bias_pair(var)
+    var = C.call_alleles(var, ref_blocks, p)
+    var = var.where(~F.col("ref_allele").contains("N"))
+    var = C.complex_trim(var)
+    var_rows = C.finalize_calls(var.withColumn("gene", F.lit(None).cast("string")), sample).drop("gene")
+    ref_rows = _ref_rows(stats, sample)
+    empty = _empty_rows(regions, stats, sample)
+    out = var_rows.unionByName(ref_rows).unionByName(empty)
+    genes = region_genes(regions, rr)
+    return out.join(genes, "region_id", "left")

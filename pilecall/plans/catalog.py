@@ -351,6 +351,12 @@ def q_write_calls_roundtrip(spark, sf):
     return read_calls(spark, path)
 
 
+def q_call_pileup(spark, sf):
+    fx = _fx(spark, sf)
+    reads = fx["reads"].where(F.col("sample") == "tumor")
+    return M.call_pileup(reads, fx["regions"], fx["contigs"], fx["ref_blocks"], CHECK, "tumor", READ_LEN)
+
+
 def queries() -> dict:
     return {
         "region_parse": q_region_parse,
@@ -389,6 +395,7 @@ def queries() -> dict:
         "noise_flag": q_noise_flag,
         "splice_antijoin": q_splice_antijoin,
         "call_single": q_call_single,
+        "call_pileup": q_call_pileup,
         "scan_regions": q_scan_regions,
         "scan_bed": q_scan_bed,
         "scan_bed_amplicon": q_scan_bed_amplicon,

@@ -489,6 +489,37 @@ FROM (SELECT tr.*, 'tumor' AS sample, g.gene FROM tr JOIN regions g ON g.region_
 """
 
 
+def _pileup_mode_sql() -> str:
+    """all alleles (no F4/F5/G1), the reference row, or a zero row per region position."""
+    stats = _STATS.replace("WHERE NOT only_ref AND coalesce(maxfreq, 0.0) > 0.05 AND NOT is_ref", "WHERE NOT is_ref")
+    calls2 = _CALLS2.replace("ref_freq >= 0.05", "ref_freq >= -1")
+    assert stats != _STATS and calls2 != _CALLS2
+    region = "chr || ':' || CAST(region_start AS VARCHAR) || '-' || CAST(region_end AS VARCHAR)"
+    body = _with(*_pileup_ctes(), stats, _CALLS, calls2, "\n, gk AS (SELECT * FROM cfin WHERE NOT contains(ref_allele, 'N'))", _trim("gk"))
+    final_var = _FINAL.replace("SELECT region_id, sample, gene,", "SELECT region_id, CAST(pos AS BIGINT) AS pos, sample, gene,")
+    return body + f"""
+, vrows AS ({final_var})
+, rrows AS (
+  SELECT r.region_id, CAST(r.pos AS BIGINT) AS pos, 'tumor' AS sample, g.gene, r.chr, CAST(r.pos AS BIGINT) AS start, CAST(r.pos AS BIGINT) AS "end",
+    r.ref_base AS ref_allele, r.ref_base AS alt_allele, r.tcov, CAST(0 AS BIGINT) AS cov, r.fwd AS rfc, r.rev AS rrc,
+    CAST(0 AS BIGINT) AS fwd, CAST(0 AS BIGINT) AS rev, r.ref_base || '/' || r.ref_base AS genotype, 0.0 AS freq,
+    CAST(r.bias_flag AS VARCHAR) || ';0' AS bias, r.pmean, CAST(r.pstd2 AS INTEGER) AS pstd, r.qual, CAST(r.qstd2 AS INTEGER) AS qstd,
+    {_r('r.mapq_raw', 1)} AS mapq, {_r('r.qratio_raw', 3)} AS qratio, {_r('r.hifreq_raw', 4)} AS hifreq, 0.0 AS extrafreq,
+    0 AS shift3, 0.0 AS msi, 0 AS msint, {_r('r.nm_raw', 1)} AS nm, r.hicnt, r.hicov, '0' AS leftseq, '0' AS rightseq,
+    r.chr || ':' || CAST(r.region_start AS VARCHAR) || '-' || CAST(r.region_end AS VARCHAR) AS region, '' AS vartype
+  FROM rk0 r JOIN regions g ON g.region_id = r.region_id WHERE r.is_ref AND r.maxfreq IS NULL)
+, erows AS (
+  SELECT x.region_id, CAST(x.pos AS BIGINT) AS pos, 'tumor' AS sample, x.gene, x.chr, CAST(x.pos AS BIGINT) AS start, CAST(x.pos AS BIGINT) AS "end",
+    '' AS ref_allele, '' AS alt_allele, CAST(0 AS BIGINT) AS tcov, CAST(0 AS BIGINT) AS cov, CAST(0 AS BIGINT) AS rfc, CAST(0 AS BIGINT) AS rrc,
+    CAST(0 AS BIGINT) AS fwd, CAST(0 AS BIGINT) AS rev, '' AS genotype, 0.0 AS freq, '0;0' AS bias, 0.0 AS pmean, 0 AS pstd, 0.0 AS qual,
+    0 AS qstd, 0.0 AS mapq, 0.0 AS qratio, 0.0 AS hifreq, 0.0 AS extrafreq, 0 AS shift3, 0.0 AS msi, 0 AS msint, 0.0 AS nm,
+    CAST(0 AS BIGINT) AS hicnt, CAST(0 AS BIGINT) AS hicov, '0' AS leftseq, '0' AS rightseq,
+    x.chr || ':' || CAST(x.region_start AS VARCHAR) || '-' || CAST(x.region_end AS VARCHAR) AS region, '' AS vartype
+  FROM (SELECT region_id, chr, region_start, region_end, gene, unnest(generate_series(region_start, region_end)) AS pos FROM regions) x
+  WHERE NOT EXISTS (SELECT 1 FROM st s WHERE s.region_id = x.region_id AND s.pos = x.pos))
+SELECT * FROM vrows UNION ALL SELECT * FROM rrows UNION ALL SELECT * FROM erows"""
+
+
 def oracle_sql() -> dict[str, str]:
     cand = _cand_ctes()
     q: dict[str, str] = {}
@@ -610,6 +641,7 @@ SELECT path, CASE WHEN regexp_extract(path, '([^/._]+).sorted[^/]*.bam', 1) <> '
                   WHEN regexp_extract(path, '([^/]+)[_.][^/]*bam', 1) <> '' THEN regexp_extract(path, '([^/]+)[_.][^/]*bam', 1) END AS sample_name
 FROM p"""
     q["write_calls_roundtrip"] = q["call_single"]
+    q["call_pileup"] = _pileup_mode_sql()
     q["softclip_collect"] = _with(*_pileup_ctes(), _CLIPS) + "\nSELECT * FROM ctab"
     q["softclip_consensus"] = _with(*_pileup_ctes(), _CLIPS, _CONSENSUS) + "\nSELECT region_id, side, pos, consensus, total, \"match\" FROM cons"
     return q
