@@ -74,8 +74,12 @@ def allele_stats(alleles: DataFrame, ref_blocks: DataFrame, p: CallParams) -> Da
     return a.withColumns(stats).drop("_nkeys", "_has_base")
 
 
-def rank_alleles(stats: DataFrame, p: CallParams) -> DataFrame:
-    """J1 + F4 + F5: rank non-reference alleles, attach the reference row, drop quiet positions."""
+def rank_alleles(stats: DataFrame, p: CallParams, keep_quiet: bool = False) -> DataFrame:
+    """J1 + F4 + F5: rank non-reference alleles, attach the reference row, drop quiet positions.
+
+    ``keep_quiet`` keeps reference-only and low-frequency positions (pileup and
+    paired modes, as in the original).
+    """
     w = Window.partitionBy(*POS)
     s = stats.withColumns({
         "_maxfreq": F.max(F.when(~F.col("is_ref"), F.col("freq_raw"))).over(w),
@@ -84,7 +88,7 @@ def rank_alleles(stats: DataFrame, p: CallParams) -> DataFrame:
             F.col("bias_flag").alias("bias"), F.col("hicnt").alias("hicnt"), F.col("mapq_raw").alias("mapq"),
             F.col("allele").alias("allele")))).over(w),
     })
-    if not p.pileup:
+    if not (p.pileup or keep_quiet):
         s = s.where(~F.col("only_ref"))
         s = s.where(F.coalesce(F.col("_maxfreq"), F.lit(0.0)) > p.freq)
     var = s.where(~F.col("is_ref"))

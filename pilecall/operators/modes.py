@@ -147,3 +147,100 @@ def call_pileup(
     out = var_rows.unionByName(ref_rows).unionByName(empty)
     genes = region_genes(regions, rr)
     return out.join(genes, "region_id", "left")
+
+
+PAIRED_COLS = ["region_id", "pos", "allele", "status", "vartype", "start", "end", "ref_allele", "alt_allele",
+               "tumor_cov", "tumor_tcov", "tumor_freq", "normal_cov", "normal_tcov", "normal_freq"]
+
+
+def _sample_calls(reads, regions, contigs, ref_blocks, p, max_read_len):
+    rr = region_reads(reads, regions, contigs, p, ref_blocks, max_read_len)
+    alleles, splices = pileup_tables(rr, ref_blocks, p, max_read_len)
+    stats = C.allele_stats(alleles, ref_blocks, p)
+    var = C.with_bias_pair(C.rank_alleles(stats, p, keep_quiet=True))
+    var = C.call_alleles(var, ref_blocks, p)
+    positions = stats.select("region_id", "pos").distinct()
+    return var, splices, positions
+
+
+def call_paired(
+    tumor: DataFrame,
+    normal: DataFrame,
+    regions: DataFrame,
+    contigs: DataFrame,
+    ref_blocks: DataFrame,
+    p: CallParams,
+    max_read_len: int = 160,
+) -> DataFrame:
+    """Somatic classification of tumor vs normal alleles per position.
+
+    Positions of both samples meet in a full outer join (C10). Tumor alleles
+    are taken in rank order while they pass G1; each is matched to the same
+    allele in the normal: good there -> LikelyLOH/Germline, present but not good
+    -> LikelySomatic/AFDiff (StrongSomatic when the normal allele is noise and an
+    SNV), absent -> StrongSomatic. Positions covered in one sample only give
+    Deletion / SampleSpecific; a normal-only good top allele gives
+    LikelyLOH/Germline/StrongLOH. The combined re-analysis (I4) is not built.
+    """
+    from pilecall.operators.filters import noise_flag
+
+    v1, sp1, pos1 = _sample_calls(tumor, regions, contigs, ref_blocks, p, max_read_len)
+    v2, sp2, pos2 = _sample_calls(normal, regions, contigs, ref_blocks, p, max_read_len)
+    splices = sp1.unionByName(sp2)
+    v1 = C.complex_trim(C.good_variant_flag(v1, splices, p))
+    v2 = noise_flag(C.complex_trim(C.good_variant_flag(v2, splices, p)), p)
+    key = ["region_id", "pos"]
+    v1 = v1.withColumn("first_bad", F.min(F.when(~F.col("good"), F.col("rank"))).over(Window.partitionBy(*key)))
+    cols = ["allele", "rank", "good", "vartype", "sp", "ep", "ref_allele", "alt_allele", "cnt", "tcov", "freq_raw"]
+    t = v1.select(*key, *[F.col(c).alias("t_" + c) for c in cols + ["first_bad"]])
+    n = v2.select(*key, *[F.col(c).alias("n_" + c) for c in cols + ["noise"]])
+    cov = pos1.withColumn("c1", F.lit(True)).join(pos2.withColumn("c2", F.lit(True)), key, "full")
+    nvar = t.groupBy(*key).agg(F.count(F.lit(1)).alias("nv1"), F.max(F.when(F.col("t_rank") == 1, F.col("t_good"))).alias("g1"))
+    cov = cov.join(nvar, key, "left").withColumn("nv1", F.coalesce("nv1", F.lit(0)))
+
+    def out(df, src, status):
+        def num(c, zero):
+            return F.coalesce(F.col(c), F.lit(zero)) if c in df.columns else F.lit(zero)
+
+        tc = [num(f"t_{c}", 0).cast("long") for c in ("cnt", "tcov")]
+        nc = [num(f"n_{c}", 0).cast("long") for c in ("cnt", "tcov")]
+        return df.select(
+            *key, F.col(f"{src}_allele").alias("allele"), status.alias("status"), F.col(f"{src}_vartype").alias("vartype"),
+            F.col(f"{src}_sp").cast("long").alias("start"), F.col(f"{src}_ep").cast("long").alias("end"),
+            F.col(f"{src}_ref_allele").alias("ref_allele"), F.col(f"{src}_alt_allele").alias("alt_allele"),
+            tc[0].alias("tumor_cov"), tc[1].alias("tumor_tcov"),
+            C.round_half_up(num("t_freq_raw", 0.0), 4).alias("tumor_freq"),
+            nc[0].alias("normal_cov"), nc[1].alias("normal_tcov"),
+            C.round_half_up(num("n_freq_raw", 0.0), 4).alias("normal_freq"))
+
+    n_top = n.where((F.col("n_rank") == 1) & F.col("n_good"))
+    t_top = t.where((F.col("t_rank") == 1) & F.col("t_good"))
+    # a. normal only: Deletion; b. tumor only: SampleSpecific (top allele, when good)
+    r_a = out(cov.where(F.col("c1").isNull()).join(n_top, key), "n", F.lit("Deletion"))
+    r_b = out(cov.where(F.col("c2").isNull()).join(t_top, key), "t", F.lit("SampleSpecific"))
+    both = cov.where(F.col("c1") & F.col("c2"))
+    # c1. tumor alleles in rank order until the first bad one, matched in the normal
+    good1 = t.where(F.col("t_first_bad").isNull() | (F.col("t_rank") < F.col("t_first_bad")))
+    g = both.select(*key).join(good1, key)
+    nk = n.withColumnsRenamed({"region_id": "_kr", "pos": "_kp"})
+    m = g.join(nk, (F.col("region_id") == F.col("_kr")) & (F.col("pos") == F.col("_kp"))
+               & (F.col("t_allele") == F.col("n_allele")), "left").drop("_kr", "_kp")
+    f1, f2 = F.col("t_freq_raw"), F.col("n_freq_raw")
+    status = (
+        F.when(F.col("n_allele").isNull(), F.lit("StrongSomatic"))
+        .when(F.col("n_noise") & (F.col("t_vartype") == "SNV"), F.lit("StrongSomatic"))
+        .when(F.col("n_good") & (f1 > 1 - p.lofreq) & (f2 < 0.8) & (f2 > 0.2), F.lit("LikelyLOH"))
+        .when(F.col("n_good"), F.lit("Germline"))
+        .when((f2 < p.lofreq) | (F.col("n_cnt") <= 1), F.lit("LikelySomatic"))
+        .otherwise(F.lit("AFDiff"))
+    )
+    r_c1 = out(m, "t", status)
+    # c2/c3. first tumor allele bad, or tumor reference-only: the normal's good top allele decides
+    lead = both.where((F.col("nv1") == 0) | ~F.coalesce(F.col("g1"), F.lit(True))).select(*key, "nv1").join(n_top, key)
+    tk = t.withColumnsRenamed({"region_id": "_kr", "pos": "_kp"})
+    lb = lead.join(tk, (F.col("region_id") == F.col("_kr")) & (F.col("pos") == F.col("_kp"))
+                   & (F.col("n_allele") == F.col("t_allele")), "left").drop("_kr", "_kp")
+    hit = F.col("t_allele").isNotNull() & (F.col("nv1") > 0)
+    r_c2 = out(lb.where(hit), "t", F.when(F.col("t_freq_raw") < p.lofreq, F.lit("LikelyLOH")).otherwise(F.lit("Germline")))
+    r_c3 = out(lb.where(~hit), "n", F.lit("StrongLOH"))
+    return r_a.unionByName(r_b).unionByName(r_c1).unionByName(r_c2).unionByName(r_c3)

@@ -357,6 +357,13 @@ def q_call_pileup(spark, sf):
     return M.call_pileup(reads, fx["regions"], fx["contigs"], fx["ref_blocks"], CHECK, "tumor", READ_LEN)
 
 
+def q_call_paired(spark, sf):
+    fx = _fx(spark, sf)
+    r = fx["reads"]
+    return M.call_paired(r.where(F.col("sample") == "tumor"), r.where(F.col("sample") == "normal"),
+                         fx["regions"], fx["contigs"], fx["ref_blocks"], CHECK, READ_LEN)
+
+
 def queries() -> dict:
     return {
         "region_parse": q_region_parse,
@@ -396,6 +403,7 @@ def queries() -> dict:
         "splice_antijoin": q_splice_antijoin,
         "call_single": q_call_single,
         "call_pileup": q_call_pileup,
+        "call_paired": q_call_paired,
         "scan_regions": q_scan_regions,
         "scan_bed": q_scan_bed,
         "scan_bed_amplicon": q_scan_bed_amplicon,

@@ -520,6 +520,68 @@ def _pileup_mode_sql() -> str:
 SELECT * FROM vrows UNION ALL SELECT * FROM rrows UNION ALL SELECT * FROM erows"""
 
 
+_CHAIN_NAMES = ("rr rops mb mbr mmr runs mnp mrole s5 s5n s3 s3n ins ev al st0 st1 st rk0 rk1 rk cv cf cf2 cm cb "
+                "ca cx cy cg ce cfin spl gv gd tr0 tr1 tr2 tr").split()
+
+
+def _sample_chain(sample: str, sfx: str) -> str:
+    """The candidate chain for one sample with every CTE name suffixed (paired mode keeps quiet positions)."""
+    import re
+
+    stats = _STATS.replace("WHERE NOT only_ref AND coalesce(maxfreq, 0.0) > 0.05 AND NOT is_ref", "WHERE NOT is_ref")
+    good = _GOOD.replace("FROM spl)", "FROM spl_u)")
+    text = "".join((_rr(f"r.sample = '{sample}'"), _PILEUP, stats, _CALLS, _CALLS2, _splices("rops")))
+    tail = good + _trim("gd")
+    pat = re.compile(r"\b(" + "|".join(_CHAIN_NAMES) + r")\b")
+    return pat.sub(lambda m: m.group(1) + sfx, text), pat.sub(lambda m: m.group(1) + sfx, tail)
+
+
+def _paired_sql() -> str:
+    t_body, t_tail = _sample_chain("tumor", "_t")
+    n_body, n_tail = _sample_chain("normal", "_n")
+    out_cols = lambda src, status: (
+        f"region_id, pos, {src}_allele AS allele, {status} AS status, {src}_vartype AS vartype, CAST({src}_sp AS BIGINT) AS start, "
+        f"CAST({src}_ep AS BIGINT) AS \"end\", {src}_ref_allele AS ref_allele, {src}_alt_allele AS alt_allele, "
+        "CAST(coalesce(t_cnt, 0) AS BIGINT) AS tumor_cov, CAST(coalesce(t_tcov, 0) AS BIGINT) AS tumor_tcov, "
+        f"{_r('coalesce(t_freq_raw, 0.0)', 4)} AS tumor_freq, CAST(coalesce(n_cnt, 0) AS BIGINT) AS normal_cov, "
+        f"CAST(coalesce(n_tcov, 0) AS BIGINT) AS normal_tcov, {_r('coalesce(n_freq_raw, 0.0)', 4)} AS normal_freq")
+    cols = ["allele", "rank", "vartype", "sp", "ep", "ref_allele", "alt_allele", "cnt", "tcov", "freq_raw"]
+    tsel = ", ".join(f"{c} AS t_{c}" for c in cols)
+    nsel = ", ".join(f"{c} AS n_{c}" for c in cols)
+    return _with(_READS, _OPS, t_body, n_body, "\n, spl_u AS (SELECT * FROM spl_t UNION ALL SELECT * FROM spl_n)", t_tail, n_tail) + f"""
+, t AS (SELECT region_id, pos, {tsel}, reason IS NULL AS t_good,
+          min(CASE WHEN reason IS NOT NULL THEN rank END) OVER (PARTITION BY region_id, pos) AS t_first_bad FROM tr_t)
+, n AS (SELECT region_id, pos, {nsel}, reason IS NULL AS n_good,
+          (((qual < 4.5 OR (qual < 12 AND NOT qstd2)) AND cnt <= 3) OR (qual < 25 AND freq_raw < 0.1 AND cnt <= 1)) AS n_noise FROM tr_n)
+, p1 AS (SELECT DISTINCT region_id, pos FROM st_t)
+, p2 AS (SELECT DISTINCT region_id, pos FROM st_n)
+, cov AS (
+  SELECT coalesce(p1.region_id, p2.region_id) AS region_id, coalesce(p1.pos, p2.pos) AS pos,
+         p1.pos IS NOT NULL AS c1, p2.pos IS NOT NULL AS c2
+  FROM p1 FULL OUTER JOIN p2 ON p1.region_id = p2.region_id AND p1.pos = p2.pos)
+, nv AS (SELECT region_id, pos, count(*) AS nv1, max(CASE WHEN t_rank = 1 THEN t_good END) AS g1 FROM t GROUP BY region_id, pos)
+, cv2 AS (SELECT cov.*, coalesce(nv.nv1, 0) AS nv1, nv.g1 FROM cov LEFT JOIN nv USING (region_id, pos))
+, ntop AS (SELECT * FROM n WHERE n_rank = 1 AND n_good)
+, ttop AS (SELECT * FROM t WHERE t_rank = 1 AND t_good)
+, ra AS (SELECT {out_cols('n', "'Deletion'")} FROM (SELECT cv2.region_id, cv2.pos, ntop.* EXCLUDE (region_id, pos),
+           NULL::BIGINT AS t_cnt, NULL::BIGINT AS t_tcov, NULL::DOUBLE AS t_freq_raw FROM cv2 JOIN ntop USING (region_id, pos) WHERE NOT c1) x)
+, rb AS (SELECT {out_cols('t', "'SampleSpecific'")} FROM (SELECT cv2.region_id, cv2.pos, ttop.* EXCLUDE (region_id, pos),
+           NULL::BIGINT AS n_cnt, NULL::BIGINT AS n_tcov, NULL::DOUBLE AS n_freq_raw FROM cv2 JOIN ttop USING (region_id, pos) WHERE NOT c2) x)
+, g1r AS (SELECT t.* FROM cv2 JOIN t USING (region_id, pos) WHERE c1 AND c2 AND (t_first_bad IS NULL OR t_rank < t_first_bad))
+, m AS (SELECT g1r.*, n.* EXCLUDE (region_id, pos) FROM g1r LEFT JOIN n ON n.region_id = g1r.region_id AND n.pos = g1r.pos AND n.n_allele = g1r.t_allele)
+, rc1 AS (SELECT {out_cols('t', """CASE WHEN n_allele IS NULL THEN 'StrongSomatic'
+      WHEN n_noise AND t_vartype = 'SNV' THEN 'StrongSomatic'
+      WHEN n_good AND t_freq_raw > 0.95 AND n_freq_raw < 0.8 AND n_freq_raw > 0.2 THEN 'LikelyLOH'
+      WHEN n_good THEN 'Germline'
+      WHEN n_freq_raw < 0.05 OR n_cnt <= 1 THEN 'LikelySomatic' ELSE 'AFDiff' END""")} FROM m)
+, lead AS (SELECT cv2.region_id, cv2.pos, cv2.nv1, ntop.* EXCLUDE (region_id, pos) FROM cv2 JOIN ntop USING (region_id, pos)
+           WHERE c1 AND c2 AND (nv1 = 0 OR NOT coalesce(g1, true)))
+, lb AS (SELECT lead.*, t.* EXCLUDE (region_id, pos) FROM lead LEFT JOIN t ON t.region_id = lead.region_id AND t.pos = lead.pos AND t.t_allele = lead.n_allele)
+, rc2 AS (SELECT {out_cols('t', "CASE WHEN t_freq_raw < 0.05 THEN 'LikelyLOH' ELSE 'Germline' END")} FROM lb WHERE t_allele IS NOT NULL AND nv1 > 0)
+, rc3 AS (SELECT {out_cols('n', "'StrongLOH'")} FROM lb WHERE NOT (t_allele IS NOT NULL AND nv1 > 0))
+SELECT * FROM ra UNION ALL SELECT * FROM rb UNION ALL SELECT * FROM rc1 UNION ALL SELECT * FROM rc2 UNION ALL SELECT * FROM rc3"""
+
+
 def oracle_sql() -> dict[str, str]:
     cand = _cand_ctes()
     q: dict[str, str] = {}
@@ -642,6 +704,7 @@ SELECT path, CASE WHEN regexp_extract(path, '([^/._]+).sorted[^/]*.bam', 1) <> '
 FROM p"""
     q["write_calls_roundtrip"] = q["call_single"]
     q["call_pileup"] = _pileup_mode_sql()
+    q["call_paired"] = _paired_sql()
     q["softclip_collect"] = _with(*_pileup_ctes(), _CLIPS) + "\nSELECT * FROM ctab"
     q["softclip_consensus"] = _with(*_pileup_ctes(), _CLIPS, _CONSENSUS) + "\nSELECT region_id, side, pos, consensus, total, \"match\" FROM cons"
     return q

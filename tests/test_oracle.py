@@ -38,6 +38,6 @@ def test_entry_smoke(spark):
 def test_every_query_has_oracle_or_is_declared():
     import __spark_entry__ as E
 
-    rows_only = {"cigar_normalize", "call_single_realign", "call_paired", "call_amplicon"}
+    rows_only = {"cigar_normalize", "call_single_realign", "call_amplicon"}
     missing = set(E.queries()) - set(E.oracle_sql()) - rows_only
     assert not missing
