@@ -86,38 +86,53 @@ class _Kinds:
         self.kinds: list[tuple[Column, dict[str, Column]]] = []
 
     def add(self, cond, pos, allele, *, q, tp, cnt=1, is_ins=False, std=True, cov=1, hilo=True, keep=None):
-        qv = q.cast("double")
-        sign = F.lit(cnt) if isinstance(cnt, int) else cnt
-        d = F.col("dir")
-        fields = {
+        self.kinds.append((cond, {
             "pos": pos.cast("long"),
             "allele": allele,
             "is_ins": F.lit(is_ins),
-            "cnt": sign,
-            "fwd": sign * F.when(~d, 1).otherwise(0),
-            "rev": sign * F.when(d, 1).otherwise(0),
-            "tp_sum": (sign * tp).cast("long"),
-            "q_sum": sign * qv,
-            "mq_sum": (sign * F.col("mapq")).cast("long"),
-            "nm_sum": (sign * F.col("tnm")).cast("long"),
-            "hicnt": sign * (F.when(qv >= self.goodq, 1).otherwise(0) if hilo else F.lit(0)),
-            "locnt": sign * (F.when(qv < self.goodq, 1).otherwise(0) if hilo else F.lit(0)),
-            "std_tp": (tp if std else F.lit(None)).cast("int"),
-            "std_q": (qv if std else F.lit(None)).cast("double"),
+            "sgn": F.lit(cnt) if isinstance(cnt, int) else cnt,
+            "tp": tp.cast("long"),
+            "q": q.cast("double"),
+            "std": F.lit(std),
             "cov": F.lit(cov),
+            "hilo": F.lit(hilo),
             "_keep": keep if keep is not None else F.lit(True),
-        }
-        self.kinds.append((cond, fields))
+        }))
 
     def project(self, df: DataFrame) -> DataFrame:
-        cols = []
-        for name in list(self.kinds[0][1].keys()):
+        # 1. which kind a row is: every condition evaluated once
+        kind = None
+        for i, (cond, _) in enumerate(self.kinds):
+            kind = F.when(cond, F.lit(i)) if kind is None else kind.when(cond, F.lit(i))
+        df = df.withColumn("_kind", kind)
+        # 2. the raw fields, switching on the small kind number
+        raw = []
+        for name in self.kinds[0][1]:
             expr = None
-            for cond, fields in self.kinds:
-                expr = F.when(cond, fields[name]) if expr is None else expr.when(cond, fields[name])
-            cols.append(expr.alias(name))
-        out = df.select(*_REGION_KEYS, *cols)
-        return out.where(F.col("_keep")).drop("_keep").select(*EVENT_COLS)
+            for i, (_, fields) in enumerate(self.kinds):
+                expr = F.when(F.col("_kind") == i, fields[name]) if expr is None else expr.when(F.col("_kind") == i, fields[name])
+            raw.append(expr.alias(name))
+        d = F.col("dir")
+        df = df.select(*_REGION_KEYS, d.alias("dir"), "mapq", "tnm", *raw).where(F.col("_keep"))
+        # 3. the signed accumulator inputs from plain columns
+        sgn, q = F.col("sgn"), F.col("q")
+        hi = F.when(F.col("hilo") & (q >= self.goodq), 1).otherwise(0)
+        lo = F.when(F.col("hilo") & (q < self.goodq), 1).otherwise(0)
+        return df.select(
+            *_REGION_KEYS, "pos", "allele", "is_ins",
+            sgn.alias("cnt"),
+            (sgn * F.when(~F.col("dir"), 1).otherwise(0)).alias("fwd"),
+            (sgn * F.when(F.col("dir"), 1).otherwise(0)).alias("rev"),
+            (sgn * F.col("tp")).cast("long").alias("tp_sum"),
+            (sgn * q).alias("q_sum"),
+            (sgn * F.col("mapq")).cast("long").alias("mq_sum"),
+            (sgn * F.col("tnm")).cast("long").alias("nm_sum"),
+            (sgn * hi).alias("hicnt"),
+            (sgn * lo).alias("locnt"),
+            F.when(F.col("std"), F.col("tp")).cast("int").alias("std_tp"),
+            F.when(F.col("std"), q).alias("std_q"),
+            F.col("cov"),
+        )
 
 
 def _m_range():
