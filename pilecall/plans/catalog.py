@@ -188,6 +188,25 @@ def q_softclip_consensus(spark, sf):
     return softclip_consensus(_clip_table(spark, sf))
 
 
+def q_spanning_reads(spark, sf):
+    from pilecall.operators.realign import spanning_reads
+
+    fx = _fx(spark, sf)
+    dels = _candidates(spark, sf).where(F.col("vartype") == "Deletion").select(
+        F.concat_ws(":", F.col("region_id").cast("string"), F.col("pos").cast("string"), "allele").alias("interval_id"),
+        "chr", F.col("sp").alias("s"), F.col("ep").alias("e"))
+    reads = RF.with_read_columns(fx["reads"].where(F.col("sample") == "tumor"))
+    return spanning_reads(dels, reads)
+
+
+def q_breakpoint_search(spark, sf):
+    from pilecall.operators.clips import softclip_consensus
+    from pilecall.operators.realign import breakpoint_search
+
+    fx = _fx(spark, sf)
+    return breakpoint_search(softclip_consensus(_clip_table(spark, sf)), fx["ref_blocks"], fx["regions"], fx["contigs"])
+
+
 # -- F / J: allele statistics and call assembly --------------------------------
 
 def q_allele_stats(spark, sf):
@@ -389,6 +408,8 @@ def queries() -> dict:
         "splice_counts": q_splice_counts,
         "softclip_collect": q_softclip_collect,
         "softclip_consensus": q_softclip_consensus,
+        "spanning_reads": q_spanning_reads,
+        "breakpoint_search": q_breakpoint_search,
         "allele_stats": q_allele_stats,
         "strand_bias": q_strand_bias,
         "allele_rank": q_allele_rank,

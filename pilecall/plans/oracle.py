@@ -705,6 +705,49 @@ FROM p"""
     q["write_calls_roundtrip"] = q["call_single"]
     q["call_pileup"] = _pileup_mode_sql()
     q["call_paired"] = _paired_sql()
+    q["spanning_reads"] = _with(*cand) + r"""
+, iv AS (SELECT CAST(region_id AS VARCHAR) || ':' || CAST(pos AS VARCHAR) || ':' || allele AS interval_id, chr, sp AS s, ep AS e
+         FROM cfin WHERE vartype = 'Deletion')
+, tr AS (SELECT *, start_pos + CAST(coalesce(list_sum(list_transform(regexp_extract_all(cigar, '(\d+)[MD]', 1), lambda x: CAST(x AS INTEGER))), 0) AS INTEGER) AS re
+         FROM rl WHERE sample = 'tumor')
+, j AS (SELECT iv.interval_id, iv.s, iv.e, tr.start_pos AS rs, tr.re FROM iv JOIN tr
+        ON tr.chr = iv.chr AND tr.start_pos <= iv.e AND tr.end_pos >= iv.s AND NOT contains(tr.cigar, CAST(iv.e - iv.s AS VARCHAR) || 'D'))
+SELECT iv.interval_id, CAST(coalesce(sum(CASE WHEN re > e + 2 AND rs < s - 2 THEN 1 ELSE 0 END), 0) AS BIGINT) AS cnt,
+  CAST(coalesce(sum(CASE WHEN rs < s - 2 AND re > s AND re < e THEN 1 ELSE 0 END), 0) AS BIGINT) AS midcnt,
+  coalesce(sum(CASE WHEN re > e + 2 AND rs < s - 2 THEN 1 ELSE 0 END), 0) <= 0 AS no_passing
+FROM iv LEFT JOIN (SELECT j.*, j.e AS e2 FROM j) jj ON jj.interval_id = iv.interval_id
+GROUP BY iv.interval_id""".replace("re > e + 2 AND rs < s - 2", "jj.re > jj.e + 2 AND jj.rs < jj.s - 2").replace(
+        "rs < s - 2 AND re > s AND re < e", "jj.rs < jj.s - 2 AND jj.re > jj.s AND jj.re < jj.e")
+    q["breakpoint_search"] = _with(*_pileup_ctes(), _CLIPS, _CONSENSUS) + r"""
+, bs0 AS (
+  SELECT c.region_id, c.side, c.pos, c.consensus, g.chr, coalesce(ct.length, 0) AS clen,
+         CASE WHEN c.side = 5 THEN -1 ELSE 1 END AS dir, c.pos + (CASE WHEN c.side = 5 THEN -1 ELSE 1 END) * 5 AS sp
+  FROM cons c JOIN regions g ON g.region_id = c.region_id LEFT JOIN contigs ct ON ct.chr = g.chr
+  WHERE length(c.consensus) >= 7 AND NOT regexp_matches(c.consensus, '^.(AAAAAAA|TTTTTTT)')
+    AND NOT greatest(length(c.consensus) - length(replace(c.consensus, 'A', '')), length(c.consensus) - length(replace(c.consensus, 'C', '')),
+                     length(c.consensus) - length(replace(c.consensus, 'G', '')), length(c.consensus) - length(replace(c.consensus, 'T', ''))) / length(c.consensus) > 0.75)
+, bs1 AS (SELECT *, CAST(unnest(range(0, 120)) AS INTEGER) AS n FROM bs0)
+, bs2 AS (SELECT *, sp + dir * n + dir * k AS rp FROM (SELECT *, CAST(unnest(range(0, length(consensus))) AS INTEGER) AS k FROM bs1) x)
+, bs3 AS (SELECT bs2.*, substr(consensus, k + 1, 1) AS ch, coalesce(substr(consensus, k + 1, 1) = r.base, false) AS hit, (rp < 1 OR rp > clen) AS oob
+          FROM bs2 LEFT JOIN refpos r ON r.chr = bs2.chr AND r.pos = bs2.rp)
+, bs4 AS (SELECT *, sum(CASE WHEN hit THEN 0 ELSE 1 END) OVER (PARTITION BY region_id, side, pos, n ORDER BY k ROWS UNBOUNDED PRECEDING) AS cmm FROM bs3)
+, bs5 AS (SELECT region_id, side, pos, n, min(CASE WHEN oob OR (NOT hit AND cmm > 3 - n // 100) THEN k END) AS brk FROM bs4 GROUP BY region_id, side, pos, n)
+, bs6 AS (
+  SELECT x.region_id, x.side, x.pos, x.n, any_value(x.consensus) AS consensus, any_value(x.sp) AS sp, any_value(x.dir) AS dir,
+         coalesce(any_value(b.brk), length(any_value(x.consensus))) AS i,
+         sum(CASE WHEN x.k < coalesce(b.brk, 1000000) AND NOT x.hit THEN 1 ELSE 0 END)
+           + max(CASE WHEN x.k = b.brk AND NOT x.oob THEN 1 ELSE 0 END) AS mm,
+         count(DISTINCT CASE WHEN x.hit AND x.k < coalesce(b.brk, 1000000) THEN x.ch END) AS md
+  FROM bs4 x JOIN bs5 b ON b.region_id = x.region_id AND b.side = x.side AND b.pos = x.pos AND b.n = x.n
+  GROUP BY x.region_id, x.side, x.pos, x.n)
+, bs7 AS (
+  SELECT *, (mm = 0 AND i = length(consensus)) AS exact, i - mm AS score,
+         sp + dir * n + CASE WHEN dir < 0 THEN 1 ELSE 0 END AS bp
+  FROM bs6 WHERE md >= 3 AND mm <= 3 - n // 100 AND i >= length(consensus) - 2 AND i >= 8 + n // 10 AND mm / i < 0.12)
+, bs8 AS (SELECT *, row_number() OVER (PARTITION BY region_id, side, pos ORDER BY exact DESC, CASE WHEN exact THEN n ELSE -score END, n) AS r FROM bs7)
+SELECT region_id, side, pos, consensus, CAST(bp AS BIGINT) AS bp,
+       CAST(CASE WHEN side = 5 THEN pos - bp ELSE bp - pos END AS BIGINT) AS dellen, n AS "offset", CAST(score AS INTEGER) AS score
+FROM bs8 WHERE r = 1"""
     q["softclip_collect"] = _with(*_pileup_ctes(), _CLIPS) + "\nSELECT * FROM ctab"
     q["softclip_consensus"] = _with(*_pileup_ctes(), _CLIPS, _CONSENSUS) + "\nSELECT region_id, side, pos, consensus, total, \"match\" FROM cons"
     return q
