@@ -49,7 +49,7 @@ def candidate_calls(rr: DataFrame, ref_blocks: DataFrame, p: CallParams, max_rea
                     alleles: DataFrame | None = None) -> DataFrame:
     """Pileup -> allele statistics -> ranked, annotated non-reference alleles."""
     if alleles is None:
-        alleles = pileup(rr, ref_blocks, p, max_read_len)
+        alleles, _ = pileup_tables(rr, ref_blocks, p, max_read_len)
     stats = C.allele_stats(alleles, ref_blocks, p)
     var = C.rank_alleles(stats, p)
     var = C.with_bias_pair(var)

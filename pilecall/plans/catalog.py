@@ -192,7 +192,8 @@ def q_spanning_reads(spark, sf):
     from pilecall.operators.realign import spanning_reads
 
     fx = _fx(spark, sf)
-    dels = _candidates(spark, sf).where(F.col("vartype") == "Deletion").select(
+    plain_del = F.col("allele").rlike(r"^-\d+$")  # plain deletion alleles (filter on a base column)
+    dels = _candidates(spark, sf).where(plain_del).select(
         F.concat_ws(":", F.col("region_id").cast("string"), F.col("pos").cast("string"), "allele").alias("interval_id"),
         "chr", F.col("sp").alias("s"), F.col("ep").alias("e"))
     reads = RF.with_read_columns(fx["reads"].where(F.col("sample") == "tumor"))
@@ -383,6 +384,25 @@ def q_call_paired(spark, sf):
                          fx["regions"], fx["contigs"], fx["ref_blocks"], CHECK, READ_LEN)
 
 
+def q_cigar_normalize(spark, sf):
+    """D15 (rows-only): reads after CIGAR normalisation, with the original alignment."""
+    fx = _fx(spark, sf)
+    reads = RF.apply_read_filters(fx["reads"], CHECK).withColumnsRenamed({"start_pos": "orig_start", "cigar": "orig_cigar"})
+    reads = reads.withColumn("start_pos", F.col("orig_start")).withColumn("cigar", F.col("orig_cigar"))
+    rr = J.region_read_overlap(M.regions_with_contigs(fx["regions"], fx["contigs"]), reads)
+    from pilecall.operators.normalize import normalize_cigar
+
+    out = normalize_cigar(rr, CallParams(), fx["ref_blocks"], READ_LEN)
+    return out.select("region_id", "read_name", "sample", "orig_start", "orig_cigar", "start_pos", "cigar", "rlen1", "rlen2")
+
+
+def q_call_single_realign(spark, sf):
+    """I1 with the original defaults, local realignment on (rows-only)."""
+    fx = _fx(spark, sf)
+    reads = fx["reads"].where(F.col("sample") == "tumor")
+    return M.call_single(reads, fx["regions"], fx["contigs"], fx["ref_blocks"], CallParams(), "tumor", READ_LEN).drop("pos")
+
+
 def queries() -> dict:
     return {
         "region_parse": q_region_parse,
@@ -425,6 +445,8 @@ def queries() -> dict:
         "call_single": q_call_single,
         "call_pileup": q_call_pileup,
         "call_paired": q_call_paired,
+        "cigar_normalize": q_cigar_normalize,
+        "call_single_realign": q_call_single_realign,
         "scan_regions": q_scan_regions,
         "scan_bed": q_scan_bed,
         "scan_bed_amplicon": q_scan_bed_amplicon,

@@ -707,7 +707,7 @@ FROM p"""
     q["call_paired"] = _paired_sql()
     q["spanning_reads"] = _with(*cand) + r"""
 , iv AS (SELECT CAST(region_id AS VARCHAR) || ':' || CAST(pos AS VARCHAR) || ':' || allele AS interval_id, chr, sp AS s, ep AS e
-         FROM cfin WHERE vartype = 'Deletion')
+         FROM cfin WHERE regexp_full_match(allele, '-\d+'))
 , tr AS (SELECT *, start_pos + CAST(coalesce(list_sum(list_transform(regexp_extract_all(cigar, '(\d+)[MD]', 1), lambda x: CAST(x AS INTEGER))), 0) AS INTEGER) AS re
          FROM rl WHERE sample = 'tumor')
 , j AS (SELECT iv.interval_id, iv.s, iv.e, tr.start_pos AS rs, tr.re FROM iv JOIN tr
