@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The original tool has no streaming path (no watermarks, windows or state);
+SURVEY §2.12 lists nothing to build here. Batch DataFrame functions in
+``pilecall.operators`` apply unchanged to micro-batches via ``foreachBatch``.
+"""
