@@ -111,3 +111,22 @@ def test_softclip_consensus(spark):
     t = spark.createDataFrame(rows, "region_id long, side int, pos long, cidx int, base string, cnt long, q_sum long")
     r = softclip_consensus(t).collect()[0]
     assert r.consensus == "ACGTAC" and r.total == 31 and r.match == 30
+
+
+def test_scan_fasta_and_sam(spark, tmp_path):
+    from pilecall.sources.text import contig_lengths, scan_fasta, scan_sam
+
+    fa = tmp_path / "ref.fa"
+    seq1 = "ACGTACGTAC" * 7  # 70 bases
+    lines = [">chr1 test"] + [seq1[i:i + 30] for i in range(0, 70, 30)] + [">chr2", "acgtn" * 3]
+    fa.write_text("\n".join(lines) + "\n")
+    blocks = {(r.chr, r.block): r.seq for r in scan_fasta(spark, str(fa)).collect()}
+    assert blocks[("chr1", 0)] == seq1[:32] and blocks[("chr1", 2)] == seq1[64:]
+    assert scan_fasta(spark, str(fa), upper=True).where("chr = 'chr2'").collect()[0].seq == "ACGTN" * 3
+
+    sam = tmp_path / "x.sorted.bam.sam"
+    sam.write_text("@SQ\tSN:chr1\tLN:70\n"
+                   "r1\t16\tchr1\t5\t60\t10M\t=\t30\t35\tACGTACGTAC\tIIIIIIIIII\tNM:i:1\tSA:Z:chr2,5,+,5M,60,0;\n")
+    r = scan_sam(spark, str(sam)).collect()[0]
+    assert (r.read_name, r.flag, r.start_pos, r.mate_chr, r.nm, r.sa_tag) == ("r1", 16, 5, "chr1", 1, "chr2,5,+,5M,60,0;")
+    assert contig_lengths(spark, str(sam)).collect()[0].length == 70
