@@ -114,12 +114,13 @@ def amplicon_filter(region_reads: DataFrame, p: CallParams) -> DataFrame:
         return ts1, te1
 
     ts1, te1 = ovl(segstart, segend)
-    clip_ok = F.abs(ts1 - te1) / (segend - segstart) > p.amplicon_overlap
+    # try_divide: a one-base alignment has zero span (the original divides by zero too)
+    clip_ok = F.try_divide(F.abs(ts1 - te1), (segend - segstart).cast("double")) > p.amplicon_overlap
     pts1, pte1 = ovl(pe_start, pe_end)
     pe_ok = ~(
         (F.abs(pe_start - rs) > p.amplicon_dist)
         | (F.abs(pe_end - re_) > p.amplicon_dist)
-        | (F.abs((pts1 - pte1) / (pe_end - pe_start)) <= p.amplicon_overlap)
+        | (F.abs(F.try_divide(pts1 - pte1, (pe_end - pe_start).cast("double"))) <= p.amplicon_overlap)
     )
     keep = F.when(first_s | last_s, F.coalesce(clip_ok, F.lit(False))).otherwise(F.coalesce(pe_ok, F.lit(False)))
     return region_reads.where(keep)
