@@ -208,6 +208,14 @@ def q_breakpoint_search(spark, sf):
     return breakpoint_search(softclip_consensus(_clip_table(spark, sf)), fx["ref_blocks"], fx["regions"], fx["contigs"])
 
 
+def q_clip_pair_join(spark, sf):
+    from pilecall.operators.clips import softclip_consensus
+    from pilecall.operators.realign import clip_pair_join
+
+    rlen = _rr(spark, sf).groupBy("region_id").agg(F.max("rlen2").alias("max_rlen"))
+    return clip_pair_join(softclip_consensus(_clip_table(spark, sf)), rlen)
+
+
 # -- F / J: allele statistics and call assembly --------------------------------
 
 def q_allele_stats(spark, sf):
@@ -430,6 +438,7 @@ def queries() -> dict:
         "softclip_consensus": q_softclip_consensus,
         "spanning_reads": q_spanning_reads,
         "breakpoint_search": q_breakpoint_search,
+        "clip_pair_join": q_clip_pair_join,
         "allele_stats": q_allele_stats,
         "strand_bias": q_strand_bias,
         "allele_rank": q_allele_rank,

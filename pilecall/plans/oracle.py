@@ -705,6 +705,12 @@ FROM p"""
     q["write_calls_roundtrip"] = q["call_single"]
     q["call_pileup"] = _pileup_mode_sql()
     q["call_paired"] = _paired_sql()
+    q["clip_pair_join"] = _with(*_pileup_ctes(), _CLIPS, _CONSENSUS) + r"""
+, rl2 AS (SELECT region_id, max(rlen2) AS rlen FROM rr GROUP BY region_id)
+SELECT a.region_id, a.pos AS p5, b.pos AS p3, a.consensus AS seq5, b.consensus AS seq3
+FROM cons a JOIN cons b ON a.region_id = b.region_id AND a.side = 5 AND b.side = 3
+JOIN rl2 ON rl2.region_id = a.region_id
+WHERE a.consensus <> '' AND b.consensus <> '' AND a.pos - b.pos <= rl2.rlen / 1.5 AND b.pos - a.pos <= rl2.rlen - 10"""
     q["spanning_reads"] = _with(*cand) + r"""
 , iv AS (SELECT CAST(region_id AS VARCHAR) || ':' || CAST(pos AS VARCHAR) || ':' || allele AS interval_id, chr, sp AS s, ep AS e
          FROM cfin WHERE regexp_full_match(allele, '-\d+'))

@@ -130,3 +130,20 @@ def test_scan_fasta_and_sam(spark, tmp_path):
     r = scan_sam(spark, str(sam)).collect()[0]
     assert (r.read_name, r.flag, r.start_pos, r.mate_chr, r.nm, r.sa_tag) == ("r1", 16, 5, "chr1", 1, "chr2,5,+,5M,60,0;")
     assert contig_lengths(spark, str(sam)).collect()[0].length == 70
+
+
+def test_clip_pair_join_matches_brute_force(spark):
+    from pilecall.operators.realign import clip_pair_join
+
+    import random
+
+    rnd = random.Random(7)
+    rows = [(r, s, p, "ACGTACGT") for r in (1, 2) for s in (3, 5) for p in rnd.sample(range(100, 400), 25)]
+    cons = spark.createDataFrame(rows, "region_id long, side int, pos long, consensus string")
+    rl = spark.createDataFrame([(1, 40), (2, 100)], "region_id long, max_rlen int")
+    got = sorted((r.region_id, r.p5, r.p3) for r in clip_pair_join(cons, rl).collect())
+    rlen = {1: 40, 2: 100}
+    want = sorted((a[0], a[2], b[2]) for a in rows for b in rows
+                  if a[0] == b[0] and a[1] == 5 and b[1] == 3
+                  and a[2] - b[2] <= rlen[a[0]] / 1.5 and b[2] - a[2] <= rlen[a[0]] - 10)
+    assert got == want and len(want) > 0
