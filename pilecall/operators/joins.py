@@ -155,3 +155,16 @@ def splice_antijoin(calls: DataFrame, splices: DataFrame) -> DataFrame:
     out = keyed.join(sp, ["region_id", "_junction"], "left")
     out = out.where(~((F.col("vartype") == "Deletion") & F.coalesce(F.col("_hit"), F.lit(False))))
     return out.drop("_junction", "_hit")
+
+
+def position_amplicons(positions: DataFrame, amplicons: DataFrame, bin_width: int = DEFAULT_BIN) -> DataFrame:
+    """Which amplicons cover each position by their inner (primer-free) span.
+
+    ``positions``: (chr, pos, ...); ``amplicons``: (amplicon_id, chr, istart, iend).
+    The same binned equi-join as the read overlap, inclusive on both ends.
+    """
+    pts = positions.withColumn("start_pos", F.col("pos")).withColumn("end_pos", F.col("pos"))
+    amp = amplicons.select(F.col("amplicon_id").alias("region_id"), "chr",
+                           F.col("istart").alias("region_start"), F.col("iend").alias("region_end"))
+    j = region_read_overlap(amp, pts, inclusive=True, bin_width=bin_width)
+    return j.withColumnRenamed("region_id", "amplicon_id").drop("start_pos", "end_pos", "region_start", "region_end")

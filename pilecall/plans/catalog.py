@@ -216,6 +216,12 @@ def q_clip_pair_join(spark, sf):
     return clip_pair_join(softclip_consensus(_clip_table(spark, sf)), rlen)
 
 
+def q_position_amplicons(spark, sf):
+    fx = _fx(spark, sf)
+    pos = _candidates(spark, sf).select("chr", "pos").distinct()
+    return J.position_amplicons(pos, fx["amplicons"]).select("chr", "pos", "amplicon_id")
+
+
 # -- F / J: allele statistics and call assembly --------------------------------
 
 def q_allele_stats(spark, sf):
@@ -439,6 +445,7 @@ def queries() -> dict:
         "spanning_reads": q_spanning_reads,
         "breakpoint_search": q_breakpoint_search,
         "clip_pair_join": q_clip_pair_join,
+        "position_amplicons": q_position_amplicons,
         "allele_stats": q_allele_stats,
         "strand_bias": q_strand_bias,
         "allele_rank": q_allele_rank,

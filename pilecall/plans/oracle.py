@@ -705,6 +705,9 @@ FROM p"""
     q["write_calls_roundtrip"] = q["call_single"]
     q["call_pileup"] = _pileup_mode_sql()
     q["call_paired"] = _paired_sql()
+    q["position_amplicons"] = _with(*cand) + r"""
+SELECT p.chr, p.pos, a.amplicon_id FROM (SELECT DISTINCT chr, pos FROM cfin) p
+JOIN amplicons a ON a.chr = p.chr AND p.pos BETWEEN a.istart AND a.iend"""
     q["clip_pair_join"] = _with(*_pileup_ctes(), _CLIPS, _CONSENSUS) + r"""
 , rl2 AS (SELECT region_id, max(rlen2) AS rlen FROM rr GROUP BY region_id)
 SELECT a.region_id, a.pos AS p5, b.pos AS p3, a.consensus AS seq5, b.consensus AS seq3
