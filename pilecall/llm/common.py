@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -48,3 +49,18 @@ def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
     return os.fspath(public_tokenizers.path(name))
+
+
+def drop_written(*tables: DataFrame) -> None:
+    """Delete tables made by ``written`` that no later step reads, and free the shuffle files of finished jobs."""
+    for df in tables:
+        jvm = df.sparkSession.sparkContext._jvm
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files of jobs whose DataFrames are gone."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

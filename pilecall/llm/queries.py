@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid
+from . import jaccard_join, langid
 from .common import table
 
 
@@ -14,8 +14,12 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_of(table(spark, sf_dir, "documents"))
 
 
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_language_id,)}
+    return {f.__name__: f for f in (op4_language_id, op10_ngram_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
