@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join, langid
+from . import decontam, jaccard_join, langid, secrets
 from .common import table
 
 
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scanned(table(spark, sf_dir, "documents"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_of(table(spark, sf_dir, "documents"))
 
@@ -19,7 +27,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_language_id, op10_ngram_jaccard_join)}
+    return {f.__name__: f for f in (op1_benchmark_decontamination, op2_secret_scan, op4_language_id, op10_ngram_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:

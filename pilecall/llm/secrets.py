@@ -1,0 +1,174 @@
+"""Secret scan: fixed patterns, and dictionary-primed zstandard novelty.
+
+Besides the three base patterns, candidate strings near sensitive words are measured by
+how many bytes they add: the compressor is primed with a dictionary of identifiers and
+the text around the candidate, and the candidate's marginal size is the difference
+between compressing the surroundings with and without it. Strings that the surroundings
+and the dictionary do not explain (``novelty`` bytes a character or more) are reported
+as ``novel``, unless a base span overlaps them.
+
+Edge cases: a null text is an empty one and has no span; repeated rows repeat their
+results; extra columns are ignored.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import re
+from dataclasses import dataclass
+
+import pyarrow as pa
+import zstandard
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+KINDS = ("assign", "access", "hex", "novel")
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+ACCESS = re.compile(r"AKIA[A-Z0-9]+")
+HEX = re.compile(r"[0-9a-f]{24,}")  # the maximal runs of 24 and more
+SENSITIVE = re.compile(r"pass(?:word|wd|phrase)|secret|token|api[ _-]?key|access[ _-]?key|private[ _-]?key|credential|bearer|authorization", re.I | re.A)
+MARKS = ("pass", "secret", "token", "key", "credential", "bearer", "authorization")  # one is in every text that SENSITIVE or ASSIGN matches
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.-]+")
+
+# Identifiers and phrases that code around secrets is made of.
+IDENTIFIERS = (
+    "access_key access_token account address admin api_key api_secret application args assert async authorization await "
+    "backend base64 bearer boolean bucket bytes callback catch certificate class client client_id client_secret cluster "
+    "config connection const container content context cookie create credential credentials database debug default "
+    "delete deploy description development document domain email enabled encoding encrypted endpoint environment error "
+    "example exception expires export false filename folder format from_env function github gitlab group handler hash "
+    "header headers hostname http https identifier import index instance integer interface internal iterator json key "
+    "language length library license localhost login logger manager message metadata method module name namespace null "
+    "number object option options os.environ output package parameter params passphrase passwd password path pattern "
+    "payload permission placeholder port postgres prefix private_key process production profile project property "
+    "protocol provider proxy public_key query random readonly redirect refresh_token region register registry release "
+    "remote replace request require resource response return role route scope script secret secret_key security select "
+    "self server service session session_id settings signature source staging status storage string struct subnet "
+    "system table target template tenant test thread timeout timestamp token trace true type undefined update upload "
+    "url user user_id username utf-8 value values variable vendor version volume warning webhook workspace "
+    "abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789 xxxxxxxxxxxxxxxx changeme your_token_here"
+)
+
+
+@dataclass(frozen=True)
+class SecretParams:
+    near: int = 64  # code points between a sensitive word and a candidate, at most
+    around: int = 400  # code points of surroundings on each side that prime the compressor
+    least_chars: int = 12
+    novelty: float = 0.7  # added bytes a character
+    level: int = 3
+
+
+class Novelty:
+    """Marginal compressed size of strings within their surroundings."""
+
+    def __init__(self, p: SecretParams):
+        self.p = p
+        primer = zstandard.ZstdCompressionDict(IDENTIFIERS.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        primer.precompute_compress(level=p.level)
+        self.zstd = zstandard.ZstdCompressor(dict_data=primer, write_content_size=False, write_checksum=False)
+
+    def __call__(self, text: str, start: int, end: int) -> float:
+        """Added bytes for each character of ``text[start:end]``."""
+        before = text[max(0, start - self.p.around) : start].encode("utf-8", "replace")
+        after = text[end : end + self.p.around].encode("utf-8", "replace")
+        with_it = len(self.zstd.compress(before + after + text[start:end].encode("utf-8", "replace")))
+        return (with_it - len(self.zstd.compress(before + after))) / (end - start)
+
+
+def looks_random(s: str) -> bool:
+    """Letters and digits, or both cases: what a name or a word seldom mixes."""
+    kinds = (re.search("[a-z]", s), re.search("[A-Z]", s[1:]), re.search("[0-9]", s))
+    return sum(k is not None for k in kinds) >= 2
+
+
+def spans_of(text: str | None, novelty: Novelty) -> list[tuple[int, int, str, int, float | None]]:
+    """(start, end, kind, start of the value, novelty) by start, then kind as listed."""
+    text = text or ""
+    low = text.lower()
+    marked = any(m in low for m in MARKS)
+    out: list[tuple[int, int, str, int, float | None]] = []
+    if marked:
+        out += [(m.start(), m.end(), "assign", m.start(2), None) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    if "AKIA" in text:
+        out += [(m.start(), m.end(), "access", m.start(), None) for m in ACCESS.finditer(text) if len(m[0]) >= 20]
+    out += [(m.start(), m.end(), "hex", m.start(), None) for m in HEX.finditer(text)]
+    if marked:
+        p, taken, done = novelty.p, sorted((s, e) for s, e, *_ in out), 0
+        for word in SENSITIVE.finditer(text):
+            at = max(done, word.end())
+            # a candidate starts within reach of the word; it is taken whole
+            while (m := CANDIDATE.search(text, at)) and m.start() <= word.end() + p.near:
+                at = done = m.end()
+                if m.end() - m.start() < p.least_chars or not looks_random(m[0]) or any(s < m.end() and m.start() < e for s, e in taken):
+                    continue
+                value = novelty(text, m.start(), m.end())
+                if value >= p.novelty:
+                    out.append((m.start(), m.end(), "novel", m.start(), value))
+    return sorted(out, key=lambda x: (x[0], KINDS.index(x[2])))
+
+
+SPAN = "array<struct<start:bigint,stop:bigint,kind:string,value:bigint,novelty:double>>"
+
+
+def with_spans(docs: DataFrame, p: SecretParams = SecretParams(), name: str = "secrets") -> DataFrame:
+    """``docs`` with a column of the secret spans of each text (code points, stop exclusive)."""
+    docs = docs.drop(name)
+    schema = docs.withColumn(name, F.expr(f"cast(null as {SPAN})")).schema
+    fields = ("start", "stop", "kind", "value", "novelty")
+    kind = pa.list_(pa.struct(list(zip(fields, (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.float64())))))
+
+    def run(batches):
+        novelty = Novelty(p)
+        for batch in batches:
+            found = [[dict(zip(fields, s)) for s in spans_of(t, novelty)] for t in batch.column("text").to_pylist()]
+            yield batch.append_column(name, pa.array(found, kind))
+
+    return docs.mapInArrow(run, schema)
+
+
+def scanned(docs: DataFrame, p: SecretParams = SecretParams()) -> DataFrame:
+    """One row per document: base counts, digest of the base spans, all spans as text."""
+    found = with_spans(docs.select("doc_id", F.col("text").cast("string").alias("text")), p)
+
+    def named(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.stop.cast("string"))), ",")
+
+    def count(kind):
+        return F.size(F.filter("secrets", lambda s: s.kind == kind)).cast("bigint")
+
+    return found.select(
+        "doc_id",
+        *(count(k).alias(f"n_{k}") for k in KINDS[:3]),
+        F.sha2(named(F.filter("secrets", lambda s: s.kind != "novel")), 256).alias("base_sha256"),
+        named(F.col("secrets")).alias("spans"),
+    )
+
+
+def redact(docs: DataFrame, p: SecretParams = SecretParams(), mark: str = "[secret]") -> DataFrame:
+    """``docs`` with the value of every span in ``text`` replaced by ``mark`` and ``n_chars`` adjusted; all rows stay."""
+
+    def run(batches):
+        novelty = Novelty(p)
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            sizes = batch.column("n_chars").to_pylist() if "n_chars" in batch.schema.names else None
+            for i, t in enumerate(texts):
+                spans = spans_of(t, novelty)
+                if not spans:
+                    continue
+                parts, at = [], 0
+                for _, stop, _, value, _ in spans:
+                    if value >= at:
+                        parts += [t[at:value], mark]
+                    at = max(at, stop)
+                texts[i] = "".join(parts) + t[at:]
+                if sizes is not None:
+                    sizes[i] = len(texts[i])
+            batch = batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(texts, pa.string()))
+            if sizes is not None:
+                spot = batch.schema.get_field_index("n_chars")
+                batch = batch.set_column(spot, "n_chars", pa.array(sizes, batch.schema.field(spot).type))
+            yield batch
+
+    return docs.mapInArrow(run, docs.schema)
