@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, jaccard_join, langid, secrets
+from . import decontam, jaccard_join, langid, packing, secrets, token_counts
 from .common import table
 
 
@@ -22,12 +22,20 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_of(table(spark, sf_dir, "documents"))
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.section_tokens(table(spark, sf_dir, "documents"))
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_benchmark_decontamination, op2_secret_scan, op4_language_id, op10_ngram_jaccard_join)}
+    return {f.__name__: f for f in (op1_benchmark_decontamination, op2_secret_scan, op4_language_id, op6_best_fit_packing, op9_token_counts, op10_ngram_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
