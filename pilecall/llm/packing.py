@@ -38,10 +38,10 @@ class PackParams:
     capacity: int = 1024
     end_id: int = 2
     tokenizer: str | None = None  # a byte-level BPE file; None: the installed public one
-    rounds: int = 600  # of the multiplicative weights, at most
-    step: float = 1.0  # share of the demand that one round may cover
-    eta: float = 3.0
-    shares: tuple[float, ...] = (1.0, 0.8, 0.5, 0.25, 0.1)  # of the program's solution that are rounded; the best one is taken
+    rounds: int = 600  # of the multiplicative weights
+    step: float = 0.25  # share of a length's demand that one round may cover
+    eta: float = 4.0  # how fast a covered length loses weight
+    shares: tuple[float, ...] = (1.0, 0.9, 0.7, 0.4, 0.1)  # of the program's solution that are rounded; the best one is taken
     buckets: int = 1024  # for ranking the pieces of one length
 
 
@@ -145,16 +145,16 @@ def fractional(histogram: dict[int, int], p: PackParams) -> dict[tuple[tuple[int
     cover = np.zeros(len(lengths))
     solution: dict[tuple[tuple[int, int], ...], float] = {}
     for _ in range(p.rounds):
-        if cover.min() >= 1:
-            break
-        picked = best_filling(lengths, lengths * np.exp(-p.eta * cover), p.capacity)
-        picked = {k: min(a, int(demand[k])) for k, a in picked.items()}
+        values = lengths * np.exp(-p.eta * (cover - cover.min()))
+        picked = best_filling(lengths, values, p.capacity)
+        picked = {k: min(a, int(demand[k])) for k, a in picked.items() if values[k] > 1e-6}
         x = p.step * min(demand[k] / a for k, a in picked.items())
         for k, a in picked.items():
             cover[k] += a * x / demand[k]
         key = tuple(sorted((int(lengths[k]), a) for k, a in picked.items()))
         solution[key] = solution.get(key, 0.0) + x
-    return solution
+    scale = float(max(np.quantile(cover, 0.02), np.median(cover)))
+    return {key: x / scale for key, x in solution.items()} if scale > 0 else solution
 
 
 def completed(solution: dict, histogram: dict[int, int], finish, p: PackParams) -> list[tuple[dict[int, int], int]]:
