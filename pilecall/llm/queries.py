@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, html_extract, jaccard_join, langid, packing, quality_rules, secrets, token_counts
+from . import decontam, html_extract, jaccard_join, langid, packing, quality_rules, secrets, token_counts, toxicity
 from .common import table
 
 
@@ -26,6 +26,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_of(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op2_secret_scan,
         op3_html_extraction,
         op4_language_id,
+        op5_toxicity,
         op6_best_fit_packing,
         op8_quality_rules,
         op9_token_counts,
