@@ -16,7 +16,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pilecall.llm import decontam, jaccard_join, langid, packing, secrets
+from pilecall.llm import decontam, jaccard_join, langid, packing, secret_scan
 from pilecall.llm.common import table, written
 
 
@@ -33,7 +33,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return secrets.redact(docs)
+    return secret_scan.redact(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,10 +15,12 @@ more. The join finds every link that joins two different groups, in these steps:
    together withstand every allowed miss. A zone too small for that indexes each
    shingle alone as well.
 4. *Pairs.* Members of one signature are compared with the signature's hub (the member
-   whose zone is the most shared), first only with the closest hub, then with all
-   hubs, then, in signatures that still hold more than one component, with each other.
-   Pairs already in one component, of unfit sizes, or with too many unshared zone
-   shingles are not compared. Every compared pair is verified on the full sets.
+   whose zone is the most shared), first only with the closest hub, then with all hubs.
+   Where the members around one hub still are in several components, they are compared
+   with each other across components; what each shares with the hub, and how much of the
+   rest some other set holds, bounds what two of them can share, so most pairs end there. Pairs already in one component, of unfit
+   sizes, or with too many unshared zone shingles are not compared. Every compared pair
+   is verified on the full sets.
 
 Documents with equal sets are one node from the start.
 
@@ -215,34 +217,38 @@ def fits(x: str, y: str):
     return sizes & ends
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose full sets have a Jaccard similarity of 0.75 or more."""
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs`` (a, b) with the number of shingles that their full sets share, and whether that links them."""
     left = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
     right = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
-    both = pairs.join(left, "b").join(right, "a")
-    inter = F.size(F.array_intersect("x", "y"))
-    return both.where(100 * inter >= 75 * (F.size("x") + F.size("y") - inter)).select("a", "b")
+    both = pairs.join(left, "b").join(right, "a").withColumn("inter", F.size(F.array_intersect("x", "y")).cast("bigint"))
+    linked = 100 * F.col("inter") >= 75 * (F.size("x") + F.size("y") - F.col("inter"))
+    return both.select("a", "b", "inter", linked.alias("linked"))
 
 
-def full_sets(docs: DataFrame, zoned: DataFrame, wanted: DataFrame, p: JoinParams) -> DataFrame:
+def full_sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, p: JoinParams) -> DataFrame:
     """node, items (all shingle hashes) of the nodes in ``wanted``, written."""
-    ids = zoned.join(wanted, "node", "left_semi").select("node", "doc_id", "n", "digest")
+    ids = nodes.join(wanted, "node", "left_semi")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     k = p.words
 
     def run(batches):
-        memo = WordHashes()
+        memo, seen = WordHashes(), set()  # a repeated row meets its node again, in the same task
         for batch in batches:
-            sets = [shingle_set(t, memo, k) for t in batch.column("text").to_pylist()]
-            wanted = batch.column("digest").to_pylist()
-            keep = [i for i, s in enumerate(sets) if xxhash.xxh3_128_digest(s.tobytes()) == wanted[i]]
+            found, sets = batch.column("node").to_pylist(), batch.column("text").to_pylist()
+            sets = [None if n in seen else shingle_set(t, memo, k) for n, t in zip(found, sets)]
+            digests = batch.column("digest").to_pylist()
+            keep = []
+            for i, s in enumerate(sets):
+                if s is not None and found[i] not in seen and xxhash.xxh3_128_digest(s.tobytes()) == digests[i]:
+                    keep.append(i)
+                    seen.add(found[i])
             offsets = np.concatenate([[0], np.cumsum([len(sets[i]) for i in keep])]).astype(np.int32)
             items = pa.ListArray.from_arrays(offsets, np.concatenate([np.empty(0, np.int64), *(sets[i] for i in keep)]))
             yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(keep, pa.int64())), items], names=["node", "items"])
 
     rows = texts.join(ids, texts.doc_id.eqNullSafe(ids.doc_id)).select("node", "text", "digest")
-    rows = rows.mapInArrow(run, "node bigint, items array<bigint>")
-    return written(rows.dropDuplicates(["node"]), "sets")
+    return written(rows.mapInArrow(run, "node bigint, items array<bigint>"), "sets")
 
 
 def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -254,17 +260,21 @@ def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
     return written(labels.join(joined, "label", "left").select("node", F.coalesce("to", "label").alias("label")), "joined")
 
 
-def linked_nodes(docs: DataFrame, zoned: DataFrame, sigs: DataFrame, p: JoinParams) -> DataFrame:
+def linked_nodes(docs: DataFrame, nodes: DataFrame, sigs: DataFrame, p: JoinParams) -> DataFrame:
     """node, label: the components among the nodes that share a signature."""
+    spark = docs.sparkSession
     members = sigs.select("node").distinct()
-    sets = full_sets(docs, zoned, members, p)
-    labels = written(members.withColumn("label", F.col("node")), "joined")
     hub = F.max_by(F.struct("node", "n", "last", "lone"), F.struct("shared", -F.col("node")))
     hubs = sigs.groupBy("sig").agg(hub.alias("hub")).select("sig", "hub.*")
-    star = sigs.alias("y").join(hubs.alias("x"), "sig").where(F.col("x.node") != F.col("y.node")).where(fits("x", "y"))
-    star = star.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    star = written(star.groupBy("a", "b").agg(F.count("*").alias("common")), "star")
-    release(docs.sparkSession)
+    star = sigs.alias("y").join(hubs.alias("x"), "sig").where(F.col("x.node") != F.col("y.node"))
+    star = star.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), *(F.col(f"y.{c}") for c in ("n", "last", "lone")), fits("x", "y").alias("fits"))
+    star = star.groupBy("a", "b").agg(F.count("*").alias("common"), *(F.first(c).alias(c) for c in ("n", "last", "lone", "fits")))
+    star = written(star, "star")
+    release(spark)
+    sets = full_sets(docs, nodes, members, p)
+    labels = written(members.withColumn("label", F.col("node")), "joined")
+    drop_written(sigs)
+    release(spark)
 
     def apart(pairs: DataFrame) -> DataFrame:
         """Pairs whose ends are in different components by now."""
@@ -272,26 +282,41 @@ def linked_nodes(docs: DataFrame, zoned: DataFrame, sigs: DataFrame, p: JoinPara
         b = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
         return pairs.join(a, "a").join(b, "b").where("la <> lb").select("a", "b")
 
-    def join_by(pairs: DataFrame) -> DataFrame:
-        links = written(verified(pairs, sets), "links")
-        after = relabelled(labels, links)
-        drop_written(labels, links)
-        release(docs.sparkSession)
-        return after
-
-    closest = star.groupBy("b").agg(F.max_by("a", F.struct("common", -F.col("a"))).alias("a")).select("a", "b")
-    labels = join_by(closest)
-    labels = join_by(apart(star))
-    # signatures that still hold several components: their members against each other, across components only
-    tagged = sigs.join(labels, "node")
-    mixed_sigs = tagged.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("sig")
-    rest = written(tagged.join(mixed_sigs, "sig"), "rest")
+    def join_by(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        checked = written(compared(pairs, sets), "checked")
+        after = relabelled(labels, checked.where("linked").select("a", "b"))
+        drop_written(labels)
+        release(spark)
+        return after, checked
+
+    fit = star.where("fits")
+    closest = fit.groupBy("b").agg(F.max_by("a", F.struct("common", -F.col("a"))).alias("a")).select("a", "b")
+    labels, first = join_by(closest)
+    labels, second = join_by(apart(fit))
+    # Hubs around which several components are left: the members around one hub against each other, across
+    # components only. What two sets share lies within what both share with the hub, and what neither does.
+    known = first.union(second).select("a", "b", "inter").dropDuplicates(["a", "b"])
+    around = star.join(labels.withColumnRenamed("node", "b"), "b").join(known, ["a", "b"], "left")
+    several = around.groupBy("a").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("a")
+    rest = written(around.join(several, "a").select("a", F.col("b").alias("node"), "label", "n", "last", "lone", "inter"), "around")
+    # shingles that no other of these sets holds are shared with none of them
+    still = rest.select("node").union(rest.select("a")).distinct()
+    items = sets.join(still, "node", "left_semi").select("node", F.explode("items").alias("item"))
+    alone = items.groupBy("item").agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1")
+    alone = written(alone.groupBy("node").agg(F.count("*").alias("alone")), "alone")
+    rest = rest.join(alone, "node", "left").withColumn("held", F.col("n") - F.coalesce("alone", F.lit(0)))
+    rest = rest.withColumn("inside", F.coalesce("inter", "held")).withColumn("outside", F.col("held") - F.coalesce("inter", F.lit(0)))
+    rest = written(rest.select("a", "node", "label", "n", "last", "lone", "inside", "outside"), "rest")
     x, y = rest.alias("x"), rest.alias("y")
-    across = x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.label") < F.col("y.label"))).where(fits("x", "y"))
+    most = F.least("x.inside", "y.inside") + F.least("x.outside", "y.outside")
+    across = x.join(
+        y,
+        (F.col("x.a") == F.col("y.a")) & (F.col("x.label") < F.col("y.label")) & fits("x", "y") & (7 * most >= 3 * (F.col("x.n") + F.col("y.n"))),
+    )
     across = across.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    seen = star.select("a", "b").union(star.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    labels = join_by(across.join(seen, ["a", "b"], "left_anti"))
-    drop_written(rest, star, sets)
+    seen = known.select("a", "b").union(known.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    labels, last = join_by(across.join(seen, ["a", "b"], "left_anti"))
+    drop_written(rest, star, sets, first, second, last, alone)
     return labels
 
 
@@ -304,13 +329,15 @@ def clustered(docs: DataFrame, p: JoinParams = JoinParams()) -> DataFrame:
     drop_written(every)
     release(docs.sparkSession)
     sigs = signatures(zoned, p)
-    labels = linked_nodes(docs, zoned, sigs, p)
+    nodes = written(zoned.select("node", "doc_id", "digest"), "nodes")
+    drop_written(zoned)
+    labels = linked_nodes(docs, nodes, sigs, p)
     # a set's label; the smallest identifier of each label, map-side combined
-    nodes = zoned.select("node", "digest").join(labels, "node", "left").select("digest", F.coalesce("label", "node").alias("label"))
-    lowest = rows.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("lowest")).join(nodes, "digest")
+    labelled = nodes.join(labels, "node", "left").select("digest", F.coalesce("label", "node").alias("label"))
+    lowest = rows.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("lowest")).join(labelled, "digest")
     ids = lowest.groupBy("label").agg(F.min("lowest").alias("component_id"))
     named = written(lowest.join(ids, "label").select("digest", "component_id"), "named")
-    drop_written(zoned, sigs, labels)
+    drop_written(nodes, labels)
     release(docs.sparkSession)
     out = rows.join(named, "digest", "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))

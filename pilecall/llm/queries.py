@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, html_extract, jaccard_join, langid, packing, quality_rules, secrets, token_counts, toxicity
+from . import decontam, html_extract, jaccard_join, langid, packing, quality_rules, secret_scan, token_counts, toxicity
 from .common import table
 
 
@@ -15,7 +15,7 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.scanned(table(spark, sf_dir, "documents"))
+    return secret_scan.scanned(table(spark, sf_dir, "documents"))
 
 
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@ import hashlib
 import random
 import re
 
-from pilecall.llm import secrets as S
+from pilecall.llm import secret_scan as S
 from pilecall.llm.common import table
 
 from .edge import SF, docs_of, empty_docs, odd_docs
