@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, html_extract, jaccard_join, langid, packing, quality_rules, secret_scan, token_counts, toxicity
+from . import decontam, html_extract, jaccard_join, langid, packing, quality_rules, secret_scan, suffix_dedup, token_counts, toxicity
 from .common import table
 
 
@@ -34,6 +34,10 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.verdicts(table(spark, sf_dir, "documents"))
 
@@ -60,6 +64,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op4_language_id,
         op5_toxicity,
         op6_best_fit_packing,
+        op7_suffix_array_dedup,
         op8_quality_rules,
         op9_token_counts,
         op10_ngram_jaccard_join,
