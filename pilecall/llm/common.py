@@ -51,6 +51,11 @@ def tokenizer_path(name: str) -> str:
     return os.fspath(public_tokenizers.path(name))
 
 
+def default_tokenizer() -> tuple[str, str]:
+    """The public byte-level BPE vocabulary: its files of ranks and JSON."""
+    return tokenizer_path("byte_bpe_50k.tiktoken"), tokenizer_path("byte_bpe_50k.json")
+
+
 def drop_written(*tables: DataFrame) -> None:
     """Delete tables made by ``written`` that no later step reads, and free the shuffle files of finished jobs."""
     for df in tables:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import tokenizer_path, written
+from .common import default_tokenizer, written
 from .tokens import Encoder
 
 
@@ -37,7 +37,7 @@ from .tokens import Encoder
 class PackParams:
     capacity: int = 1024
     end_id: int = 2
-    tokenizer: str | None = None  # a byte-level BPE file; None: the installed public one
+    tokenizer: tuple[str, str] | None = None  # files of ranks and JSON; None: the installed public ones
     rounds: int = 600  # of the multiplicative weights
     step: float = 0.25  # share of a length's demand that one round may cover
     eta: float = 4.0  # how fast a covered length loses weight
@@ -47,24 +47,23 @@ class PackParams:
 
 def pieces(docs: DataFrame, p: PackParams = PackParams()) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: the pieces of every document."""
-    path = p.tokenizer or tokenizer_path("byte_bpe_50k.json")
+    paths = p.tokenizer or default_tokenizer()
 
     def run(batches):
-        encoder = Encoder(path)
+        encoder = Encoder(*paths)
         for batch in batches:
             docs_, texts = batch.column("doc_id"), batch.column("text").to_pylist()
             where, piece, start, length, crc = [], [], [], [], []
-            for at in range(0, len(texts), 100):
-                for k, ids in enumerate(encoder.ids([t or "" for t in texts[at : at + 100]]), at):
-                    ids = np.append(ids, np.uint32(p.end_id)).astype("<u4")
-                    first = len(ids) % p.capacity or p.capacity
-                    cuts = [0, *range(first, len(ids) + 1, p.capacity)]
-                    for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                        where.append(k)
-                        piece.append(i)
-                        start.append(a)
-                        length.append(b - a)
-                        crc.append(zlib.crc32(ids[a:b].tobytes()))
+            for k, text in enumerate(texts):
+                ids = np.append(encoder.ids(text or ""), np.uint32(p.end_id)).astype("<u4")
+                first = len(ids) % p.capacity or p.capacity
+                cuts = [0, *range(first, len(ids) + 1, p.capacity)]
+                for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                    where.append(k)
+                    piece.append(i)
+                    start.append(a)
+                    length.append(b - a)
+                    crc.append(zlib.crc32(ids[a:b].tobytes()))
             yield pa.RecordBatch.from_arrays(
                 [docs_.take(pa.array(where, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))],
                 names=["doc_id", "piece", "start", "length", "ids_crc32"],

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import tokenizer_path
+from .common import default_tokenizer
 from .tokens import Encoder
 
 
@@ -40,18 +40,19 @@ def allocate(starts: np.ndarray, ends: np.ndarray, borders: np.ndarray, size: in
     return np.bincount(first, minlength=len(borders))
 
 
-def section_tokens(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
+def section_tokens(docs: DataFrame, tokenizer: tuple[str, str] | None = None) -> DataFrame:
     """doc_id, section (from 0), start, stop (code points), n_tokens: one row per line of every document."""
-    path = tokenizer or tokenizer_path("byte_bpe_50k.json")
+    paths = tokenizer or default_tokenizer()
 
     def run(batches):
-        encoder = Encoder(path, spans=True, limit=200_000)
+        encoder = Encoder(*paths)
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for at in range(0, len(texts), 200):
                 part = texts[at : at + 200]
                 where, section, start, stop, n = [], [], [], [], []
-                for k, (text, (a, b)) in enumerate(zip(part, encoder.token_spans(part)), at):
+                for k, text in enumerate(part, at):
+                    a, b = encoder.token_spans(text)
                     borders = line_starts(text)
                     counts = allocate(a, b, borders, len(text))
                     where.append(np.full(len(borders), k))
