@@ -20,7 +20,9 @@ WITH li AS (
          CASE WHEN l_linenumber % 2 = 0 THEN 'normal' ELSE 'tumor' END AS sample,
          CASE WHEN l_returnflag = 'R' THEN 16 ELSE 0 END
            + CASE WHEN l_partkey % 23 = 0 THEN 1024 ELSE 0 END
-           + CASE WHEN l_partkey % 29 = 0 THEN 256 ELSE 0 END AS flag,
+           + CASE WHEN l_partkey % 29 = 0 THEN 256 ELSE 0 END
+           + CASE WHEN l_partkey % 31 = 0 THEN 2048 ELSE 0 END AS flag,
+         CASE WHEN l_partkey % 62 = 0 THEN 1 ELSE 0 END AS sup,
          cast(10 + l_partkey % 51 AS integer) AS mapq,
          cast(20 + cast(l_quantity AS bigint) % 20 AS integer) AS q,
          cast(l_suppkey % 4 AS integer) AS k
@@ -51,29 +53,30 @@ reads AS (
          WHEN k = 3 AND o_clip BETWEEN 10 AND 25 THEN concat(substr(r, 1, o_clip), substr(r, o_clip + 21, 40 - o_clip))
          WHEN k = 0 AND start_pos % 50 = 0 THEN concat(substr(r, 1, 15), substr(r, 36, 25))
          WHEN k = 0 AND (sample = 'tumor' OR (start_pos + o_snv) % 2 = 0)
-              THEN concat(substr(r, 1, o_snv), translate(substr(r, o_snv + 1, 1), 'ACGT', 'CGTA'), substr(r, o_snv + 2, 39 - o_snv))
+              THEN concat(substr(r, 1, o_snv), translate(substr(r, o_snv + 1, n_snv), 'ACGT', 'CGTA'), substr(r, o_snv + n_snv + 1, 40 - n_snv - o_snv))
          ELSE substr(r, 1, 40) END AS seq,
     repeat(chr(33 + q), 40) AS qual,
     CASE WHEN k = 1 AND o_ins BETWEEN 10 AND 30 THEN 2 WHEN k = 2 AND o_del BETWEEN 10 AND 30 THEN 3
-         WHEN k = 0 AND start_pos % 50 <> 0 AND (sample = 'tumor' OR (start_pos + o_snv) % 2 = 0) THEN 1 ELSE 0 END AS nm,
-    chr AS mate_chr, start_pos + 60 AS mate_start, 100 AS insert_size
-  FROM rf),
+         WHEN k = 0 AND start_pos % 50 <> 0 AND (sample = 'tumor' OR (start_pos + o_snv) % 2 = 0) THEN n_snv ELSE 0 END AS nm,
+    chr AS mate_chr, start_pos + 60 AS mate_start, 100 AS insert_size,
+    CASE WHEN sup = 1 THEN concat(chr, ',', cast(start_pos AS varchar(20)), ',+,40M,60,0;') END AS sa_tag
+  FROM (SELECT *, CASE WHEN (start_pos + o_snv) % 3 = 0 THEN 2 ELSE 1 END AS n_snv FROM rf) rf),
 ref_blocks AS (
   SELECT chr, blk AS block, 32 * blk + 1 AS block_start,
          translate(md5(concat(chr, ':', cast(blk AS varchar(20)))), '0123456789abcdef', 'ACGTACGTACGTACGT') AS seq
   FROM (SELECT chr, blk FROM off UNION SELECT chr, blk + 1 FROM off UNION SELECT chr, blk + 2 FROM off) b),
 contigs AS (SELECT chr, 32 * (max(block) + 1) AS length FROM ref_blocks GROUP BY chr),
 regions AS (
-  SELECT p_partkey AS region_id,
-         concat('chr', cast(1 + cast(floor(p_partkey / 20) AS bigint) % 5 AS varchar(20))) AS chr,
-         1 + p_partkey AS region_start, 21 + p_partkey + p_size AS region_end, p_name AS gene
-  FROM part WHERE p_partkey % 20 = 0),
+  SELECT p_partkey AS region_id, concat('chr', cast(1 + p_partkey % 5 AS varchar(20))) AS chr,
+         1 + 6 * p_partkey AS region_start, 1 + 6 * p_partkey + p_size AS region_end,
+         p_name AS gene
+  FROM part),
 amplicons AS (
   SELECT p_partkey AS amplicon_id,
-         concat('chr', cast(1 + cast(floor(p_partkey / 10) AS bigint) % 5 AS varchar(20))) AS chr,
-         1 + p_partkey AS amp_start, 41 + p_partkey + p_size AS amp_end, p_name AS gene,
-         11 + p_partkey AS istart, 31 + p_partkey + p_size AS iend
-  FROM part WHERE p_partkey % 10 = 0),
+         concat('chr', cast(1 + p_partkey % 5 AS varchar(20))) AS chr,
+         1 + 6 * p_partkey AS amp_start, 41 + 6 * p_partkey + p_size AS amp_end, p_name AS gene,
+         11 + 6 * p_partkey AS istart, 31 + 6 * p_partkey + p_size AS iend
+  FROM part),
 segments AS (
   SELECT p_partkey AS segment_id,
          concat(CASE WHEN p_partkey % 3 = 0 THEN '' ELSE 'chr' END, cast(1 + p_partkey % 5 AS varchar(20))) AS chr,

@@ -141,9 +141,9 @@ def call_alleles(var: DataFrame, ref_blocks: DataFrame, p: CallParams) -> DataFr
     dellen = F.regexp_extract("allele", r"^-(\d+)", 1)
     v = var.withColumn("dellen", F.when(F.col("allele").startswith("-"), dellen.cast("int")).otherwise(F.lit(0)))
     w = Window.partitionBy(*POS)
-    v = v.withColumn("_maxdel", F.max("dellen").over(w))
+    v = v.withColumn("_widest", F.max(F.greatest("dellen", F.length("allele"))).over(w))
     lo = F.greatest(F.lit(1), F.col("region_start") - p.flank, F.col("pos") - 80)
-    hi = F.least(F.col("region_end") + p.flank, F.col("pos") + F.col("_maxdel") + 100)
+    hi = F.least(F.col("region_end") + p.flank, F.col("pos") + F.col("_widest") + 100)
     keys = v.select(*POS, "chr", lo.alias("_lo"), hi.alias("_hi")).distinct()
     ctx = ref_context(keys, ref_blocks, "_lo", "_hi", POS)
     v = v.join(ctx, POS, "left")

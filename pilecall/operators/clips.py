@@ -26,12 +26,12 @@ _OK3 = (
 )
 
 
-def clip_bases(region_reads: DataFrame, ref_blocks: DataFrame, p: CallParams, max_read_len: int = 160) -> DataFrame:
+def clip_bases(region_reads: DataFrame, ref_blocks: DataFrame, p: CallParams) -> DataFrame:
     """E11 per read: the clipped bases kept by the walk, as (region, side, pos, idx, base, q, dir)."""
     ops = read_ops(region_reads)
     is5 = (F.col("op") == "S") & (F.col("idx") == 0)
     is3 = (F.col("op") == "S") & (F.col("idx") == F.col("nops") - 1) & (F.col("idx") > 0)
-    s = attach_windows(ops.where(is5 | is3), ref_blocks, max_read_len)
+    s = attach_windows(ops.where(is5 | is3), ref_blocks)
     s = s.withColumn("side", F.when(F.col("idx") == 0, F.lit(5)).otherwise(F.lit(3)))
     ap = F.when(F.col("side") == 5, F.expr(f"array_position(transform(sequence(0, len - 1), t -> {_OK5}), false)")).otherwise(
         F.expr(f"array_position(transform(sequence(0, len - 1), t -> {_OK3}), false)"))

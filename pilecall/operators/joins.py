@@ -86,32 +86,18 @@ def region_ref_window(regions: DataFrame, ref_blocks: DataFrame, flank: int = 70
     return j.select("region_id", "chr", "pos", F.substring("seq", F.col("i") + 1, 1).alias("base"))
 
 
-def ref_windows(ref_blocks: DataFrame, nblocks: int) -> DataFrame:
-    """Reference windows of ``nblocks`` consecutive blocks keyed by the first block.
+def needed_windows(keys: DataFrame, ref_blocks: DataFrame) -> DataFrame:
+    """Reference text of the block ranges in ``keys`` (chr, wblock, wlast), as wseq.
 
-    Each block is copied into the ``nblocks`` windows that contain it and the
-    windows are assembled by one bounded ``groupBy`` (at most ``nblocks`` rows per
-    key). Missing blocks become '.' so string offsets equal genome offsets;
-    '.' reads as "reference unknown". Computed once per reference.
+    Only the blocks that some key names are read and regrouped; a group holds the
+    blocks of one range. Missing blocks become '.' so string offsets equal genome
+    offsets; '.' reads as "reference unknown".
     """
-    exploded = ref_blocks.select(
-        "chr", "block", "seq", F.explode(F.sequence(F.lit(0), F.lit(nblocks - 1))).alias("j")
-    ).select("chr", (F.col("block") - F.col("j")).alias("wblock"), "j", "seq")
-    exploded = exploded.where(F.col("wblock") >= 0)
-    grouped = exploded.groupBy("chr", "wblock").agg(
-        F.map_from_entries(F.collect_list(F.struct("j", "seq"))).alias("m")
-    )
-    wseq = F.expr(
-        f"array_join(transform(sequence(0, {nblocks - 1}), j -> coalesce(m[j], repeat('.', {BLOCK}))), '')"
-    )
-    return grouped.select(
-        "chr", "wblock", (F.col("wblock") * BLOCK + 1).alias("wstart"), wseq.alias("wseq")
-    )
-
-
-def window_nblocks(max_span: int) -> int:
-    """Blocks needed so a window starting at any offset covers ``max_span`` bases."""
-    return (BLOCK - 1 + max_span + BLOCK - 1) // BLOCK
+    k = keys.withColumn("block", F.explode(F.sequence("wblock", "wlast")))
+    j = k.join(ref_blocks.select("chr", "block", "seq"), ["chr", "block"])
+    g = j.groupBy("chr", "wblock", "wlast").agg(F.map_from_entries(F.collect_list(F.struct("block", "seq"))).alias("m"))
+    wseq = F.expr(f"array_join(transform(sequence(wblock, wlast), b -> coalesce(m[b], repeat('.', {BLOCK}))), '')")
+    return g.select("chr", "wblock", "wlast", wseq.alias("wseq"))
 
 
 def ref_char(wseq: Column, wstart: Column, pos: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pilecall.operators import calls as C
 from pilecall.operators.joins import region_read_overlap
 from pilecall.operators.pileup import pileup, pileup_tables, splice_counts  # noqa: F401
-from pilecall.operators.read_filters import apply_read_filters, dedup
+from pilecall.operators.read_filters import apply_read_filters
 from pilecall.params import CallParams
 
 
@@ -17,18 +17,12 @@ def regions_with_contigs(regions: DataFrame, contigs: DataFrame) -> DataFrame:
     return regions.join(contigs.select("chr", F.col("length").alias("contig_len")), "chr", "left")
 
 
-def region_reads(reads: DataFrame, regions: DataFrame, contigs: DataFrame, p: CallParams,
-                 ref_blocks: DataFrame | None = None, max_read_len: int = 160) -> DataFrame:
+def region_reads(reads: DataFrame, regions: DataFrame, contigs: DataFrame, p: CallParams) -> DataFrame:
     """Filtered reads joined to the regions they overlap (D-chain + C2)."""
+    if p.realign:
+        raise NotImplementedError("local realignment is not available; pass CallParams(realign=False)")
     r = apply_read_filters(reads, p)
-    if p.remove_dups:
-        r = dedup(r)
-    rr = region_read_overlap(regions_with_contigs(regions, contigs), r)
-    if p.realign and ref_blocks is not None:
-        from pilecall.operators.normalize import normalize_cigar
-
-        rr = normalize_cigar(rr, p, ref_blocks, max_read_len)
-    return rr
+    return region_read_overlap(regions_with_contigs(regions, contigs), r)
 
 
 def region_genes(regions: DataFrame, rr: DataFrame) -> DataFrame:
@@ -38,18 +32,18 @@ def region_genes(regions: DataFrame, rr: DataFrame) -> DataFrame:
     when every region has a gene, AQE sees the empty side and drops the read scan.
     """
     unnamed = regions.where(F.coalesce(F.col("gene"), F.lit("")) == "").select("region_id")
-    first = rr.join(F.broadcast(unnamed), "region_id", "left_semi").groupBy("region_id").agg(
+    first = rr.join(unnamed, "region_id", "left_semi").groupBy("region_id").agg(
         F.min("read_name").alias("_first_read"))
     g = regions.select("region_id", "gene").join(first, "region_id", "left")
     gene = F.when(F.coalesce(F.col("gene"), F.lit("")) == "", F.coalesce(F.col("_first_read"), F.lit(""))).otherwise(F.col("gene"))
     return g.select("region_id", gene.alias("gene"))
 
 
-def candidate_calls(rr: DataFrame, ref_blocks: DataFrame, p: CallParams, max_read_len: int = 160,
+def candidate_calls(rr: DataFrame, ref_blocks: DataFrame, p: CallParams,
                     alleles: DataFrame | None = None) -> DataFrame:
     """Pileup -> allele statistics -> ranked, annotated non-reference alleles."""
     if alleles is None:
-        alleles, _ = pileup_tables(rr, ref_blocks, p, max_read_len)
+        alleles, _ = pileup_tables(rr, ref_blocks, p)
     stats = C.allele_stats(alleles, ref_blocks, p)
     var = C.rank_alleles(stats, p)
     var = C.with_bias_pair(var)
@@ -63,12 +57,11 @@ def call_single(
     ref_blocks: DataFrame,
     p: CallParams,
     sample: str,
-    max_read_len: int = 160,
 ) -> DataFrame:
     """The flagship chain — filters, region join, pileup, statistics, filter, output."""
-    rr = region_reads(reads, regions, contigs, p, ref_blocks, max_read_len)
-    alleles, splices = pileup_tables(rr, ref_blocks, p, max_read_len)
-    var = candidate_calls(rr, ref_blocks, p, max_read_len, alleles)
+    rr = region_reads(reads, regions, contigs, p)
+    alleles, splices = pileup_tables(rr, ref_blocks, p)
+    var = candidate_calls(rr, ref_blocks, p, alleles)
     var = C.good_variant_flag(var, splices, p)
     var = var.where(~F.col("ref_allele").contains("N"))
     if not p.pileup:
@@ -129,12 +122,11 @@ def call_pileup(
     ref_blocks: DataFrame,
     p: CallParams,
     sample: str,
-    max_read_len: int = 160,
 ) -> DataFrame:
     """F15 (-p): every region position — all alleles unfiltered, the reference row, or a zero row."""
     p = p.with_(pileup=True, freq=-1.0, minr=0)
-    rr = region_reads(reads, regions, contigs, p, ref_blocks, max_read_len)
-    alleles, splices = pileup_tables(rr, ref_blocks, p, max_read_len)
+    rr = region_reads(reads, regions, contigs, p)
+    alleles, splices = pileup_tables(rr, ref_blocks, p)
     stats = C.allele_stats(alleles, ref_blocks, p)
     var = C.rank_alleles(stats, p)
     var = C.with_bias_pair(var)
@@ -153,9 +145,9 @@ PAIRED_COLS = ["region_id", "pos", "allele", "status", "vartype", "start", "end"
                "tumor_cov", "tumor_tcov", "tumor_freq", "normal_cov", "normal_tcov", "normal_freq"]
 
 
-def _sample_calls(reads, regions, contigs, ref_blocks, p, max_read_len):
-    rr = region_reads(reads, regions, contigs, p, ref_blocks, max_read_len)
-    alleles, splices = pileup_tables(rr, ref_blocks, p, max_read_len)
+def _sample_calls(reads, regions, contigs, ref_blocks, p):
+    rr = region_reads(reads, regions, contigs, p)
+    alleles, splices = pileup_tables(rr, ref_blocks, p)
     stats = C.allele_stats(alleles, ref_blocks, p)
     var = C.with_bias_pair(C.rank_alleles(stats, p, keep_quiet=True))
     var = C.call_alleles(var, ref_blocks, p)
@@ -170,7 +162,6 @@ def call_paired(
     contigs: DataFrame,
     ref_blocks: DataFrame,
     p: CallParams,
-    max_read_len: int = 160,
 ) -> DataFrame:
     """Somatic classification of tumor vs normal alleles per position.
 
@@ -184,8 +175,8 @@ def call_paired(
     """
     from pilecall.operators.filters import noise_flag
 
-    v1, sp1, pos1 = _sample_calls(tumor, regions, contigs, ref_blocks, p, max_read_len)
-    v2, sp2, pos2 = _sample_calls(normal, regions, contigs, ref_blocks, p, max_read_len)
+    v1, sp1, pos1 = _sample_calls(tumor, regions, contigs, ref_blocks, p)
+    v2, sp2, pos2 = _sample_calls(normal, regions, contigs, ref_blocks, p)
     splices = sp1.unionByName(sp2)
     v1 = C.complex_trim(C.good_variant_flag(v1, splices, p))
     v2 = noise_flag(C.complex_trim(C.good_variant_flag(v2, splices, p)), p)

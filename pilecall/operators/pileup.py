@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pilecall.operators.joins import ref_char, ref_windows, window_nblocks
+from pilecall.operators.joins import BLOCK, needed_windows, ref_char
 from pilecall.params import CallParams
 
 EVENT_COLS = [
@@ -85,7 +85,7 @@ class _Kinds:
         self.goodq = goodq
         self.kinds: list[tuple[Column, dict[str, Column]]] = []
 
-    def add(self, cond, pos, allele, *, q, tp, cnt=1, is_ins=False, std=True, cov=1, hilo=True, keep=None):
+    def add(self, cond, pos, allele, *, q, tp, cnt=1, is_ins=False, std=True, cov=1, hilo=True, keep=None, nmoff=None):
         self.kinds.append((cond, {
             "pos": pos.cast("long"),
             "allele": allele,
@@ -96,6 +96,7 @@ class _Kinds:
             "std": F.lit(std),
             "cov": F.lit(cov),
             "hilo": F.lit(hilo),
+            "nmoff": nmoff if nmoff is not None else F.lit(0),
             "_keep": keep if keep is not None else F.lit(True),
         }))
 
@@ -126,7 +127,7 @@ class _Kinds:
             (sgn * F.col("tp")).cast("long").alias("tp_sum"),
             (sgn * q).alias("q_sum"),
             (sgn * F.col("mapq")).cast("long").alias("mq_sum"),
-            (sgn * F.col("tnm")).cast("long").alias("nm_sum"),
+            (sgn * (F.col("tnm") - F.col("nmoff"))).cast("long").alias("nm_sum"),
             (sgn * hi).alias("hicnt"),
             (sgn * lo).alias("locnt"),
             F.when(F.col("std"), F.col("tp")).cast("int").alias("std_tp"),
@@ -235,13 +236,15 @@ def _ref_events(ops: DataFrame, p: CallParams) -> DataFrame:
     n = F.col("qofs") + F.col("i")
     base = F.substring("seq", n + 1, 1)
     base_ok = (base != "N") & _not_trimmed(n, p)
+    # mismatches that the op's MNPs have absorbed up to here count once
+    absorbed = F.expr("aggregate(filter(mnps, x -> x.s <= i), 0, (a, x) -> a + x.l - 1)")
     kinds.add(is_m & F.col("mnp").isNull(), F.col("seg_start") + F.col("i"), base, q=_q_at(n),
-              tp=_tp(F.col("pofs") + F.col("i")), keep=base_ok)
+              tp=_tp(F.col("pofs") + F.col("i")), keep=base_ok, nmoff=absorbed)
     mlen = F.col("mnp.l")
     allele = F.concat(base, F.lit("&"), F.expr("substr(seq, qofs + i + 2, mnp.l - 1)"))
     qmean = F.expr("aggregate(sequence(0, mnp.l - 1), 0D, (a, k2) -> a + ascii(substr(seq_qual, qofs + i + k2 + 1, 1)) - 33) / mnp.l")
     kinds.add(is_m & (F.col("mnp.s") == F.col("i")), F.col("seg_start") + F.col("i"), allele, q=qmean,
-              tp=_tp(F.col("pofs") + F.col("i") + mlen - 1), keep=base_ok)
+              tp=_tp(F.col("pofs") + F.col("i") + mlen - 1), keep=base_ok, nmoff=absorbed)
     kinds.add(is_m, F.col("seg_start") + F.col("i"), F.lit(""), q=F.lit(0.0), tp=F.lit(0), cnt=0, std=False,
               hilo=False, keep=base_ok & _in_region(F.col("seg_start") + F.col("mnp.s")))
     # I: the insertion, the anchor subtraction, the anchor added after a leading clip
@@ -280,19 +283,24 @@ def _ref_lo() -> Column:
     return F.greatest(lo, F.lit(1))
 
 
-def attach_windows(ops: DataFrame, ref_blocks: DataFrame, max_read_len: int) -> DataFrame:
-    """C4: one equi-join of each op to the reference window starting at its block."""
-    from pilecall.fixtures import BLOCK
+def _ref_hi() -> Column:
+    hi = (
+        F.when(F.col("op") == "I", F.col("seg_start") - 1)
+        .when((F.col("op") == "S") & (F.col("idx") == 0), F.col("start_pos") - 1)
+        .otherwise(F.col("seg_start") + F.col("len") - 1)
+    )
+    return F.greatest(hi, _ref_lo())
+
 
-    nb = window_nblocks(max_read_len + 2)
-    win = ref_windows(ref_blocks, nb)
-    keyed = ops.withColumn("wblock", F.floor((_ref_lo() - 1) / BLOCK))
-    out = keyed.join(win, ["chr", "wblock"], "left")
-    out = out.withColumn("wseq", F.coalesce("wseq", F.lit("")))
-    return out.withColumn("wstart", F.coalesce("wstart", F.col("wblock") * BLOCK + 1))
+def attach_windows(ops: DataFrame, ref_blocks: DataFrame) -> DataFrame:
+    """C4: one equi-join of each op to the reference blocks that it touches, however long it is."""
+    keyed = ops.withColumns({"wblock": F.floor((_ref_lo() - 1) / BLOCK), "wlast": F.floor((_ref_hi() - 1) / BLOCK)})
+    win = needed_windows(keyed.select("chr", "wblock", "wlast").distinct(), ref_blocks)
+    out = keyed.join(win, ["chr", "wblock", "wlast"], "left").withColumn("wstart", F.col("wblock") * BLOCK + 1)
+    return out.withColumn("wseq", F.coalesce("wseq", F.lit("")))
 
 
-def pileup_events(region_reads: DataFrame, ref_blocks: DataFrame, p: CallParams, max_read_len: int = 160,
+def pileup_events(region_reads: DataFrame, ref_blocks: DataFrame, p: CallParams,
                   splices: bool = False) -> DataFrame:
     """All signed event rows (EVENT_COLS) of the reads that overlap each region.
 
@@ -301,7 +309,7 @@ def pileup_events(region_reads: DataFrame, ref_blocks: DataFrame, p: CallParams,
     """
     ops = read_ops(region_reads)
     plain = _plain_events(ops.where(~_needs_ref()), p, splices)
-    withref = _ref_events(attach_windows(ops.where(_needs_ref()), ref_blocks, max_read_len), p)
+    withref = _ref_events(attach_windows(ops.where(_needs_ref()), ref_blocks), p)
     return plain.unionByName(withref)
 
 
@@ -326,13 +334,12 @@ def aggregate_events(events: DataFrame) -> DataFrame:
     )
 
 
-def pileup(region_reads: DataFrame, ref_blocks: DataFrame, p: CallParams, max_read_len: int = 160) -> DataFrame:
+def pileup(region_reads: DataFrame, ref_blocks: DataFrame, p: CallParams) -> DataFrame:
     """Allele accumulators per (region, pos, allele); rows with allele '' carry coverage only."""
-    return aggregate_events(pileup_events(region_reads, ref_blocks, p, max_read_len))
+    return aggregate_events(pileup_events(region_reads, ref_blocks, p))
 
 
-def pileup_tables(region_reads: DataFrame, ref_blocks: DataFrame, p: CallParams,
-                  max_read_len: int = 160) -> tuple[DataFrame, DataFrame]:
+def pileup_tables(region_reads: DataFrame, ref_blocks: DataFrame, p: CallParams) -> tuple[DataFrame, DataFrame]:
     """(alleles, splices) from one aggregation over the reads.
 
     The aggregate is checkpointed (eager) into the session's shared checkpoint
@@ -342,7 +349,7 @@ def pileup_tables(region_reads: DataFrame, ref_blocks: DataFrame, p: CallParams,
     """
     from pilecall.session import ensure_checkpoint_dir
 
-    agg = aggregate_events(pileup_events(region_reads, ref_blocks, p, max_read_len, splices=True))
+    agg = aggregate_events(pileup_events(region_reads, ref_blocks, p, splices=True))
     ensure_checkpoint_dir(agg.sparkSession)
     agg = agg.checkpoint(eager=True)
     is_sp = F.col("is_splice")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pilecall.functions import cigar as cg
@@ -41,7 +41,7 @@ def filter_mismatch(reads: DataFrame, p: CallParams) -> DataFrame:
 def filter_supplementary(reads: DataFrame) -> DataFrame:
     """Drop supplementary alignments that carry an SA tag, mate mapped to the same contig."""
     if "sa_tag" not in reads.columns:
-        return reads
+        raise ValueError("filter_supplementary needs the column sa_tag (null where the read has no SA tag)")
     drop = (
         (F.col("flag").bitwiseAND(F.lit(MATE_UNMAPPED)) == 0)
         & (F.col("mate_chr") == F.col("chr"))
@@ -69,16 +69,15 @@ def downsample(reads: DataFrame, fraction: float | None) -> DataFrame:
     return reads.where(h % 1000000 >= int(round(fraction * 1000000)))
 
 
-def dedup(reads: DataFrame, partition_cols: list[str] | None = None) -> DataFrame:
-    """Keep the first read per duplicate key.
+def dedup(reads: DataFrame) -> DataFrame:
+    """Keep the first read per sample and duplicate key.
 
     Key (start, mate contig, mate start) when mate start < 10, or
     (start, cigar) when the mate is unmapped; other reads always pass. The
     reference keeps whichever arrives first; here the order is ``read_name``.
-    Windows are partitioned by the full key, so a hot key is one partition of
-    identical-key rows only (a running row_number, nothing collected).
+    The first read is a map-side combined minimum, so a key with very many reads
+    is no hot partition.
     """
-    partition_cols = partition_cols or []
     mate_ref = F.when(F.col("mate_chr").isNull(), F.lit("*")).when(
         F.col("mate_chr") == F.col("chr"), F.lit("=")
     ).otherwise(F.col("mate_chr"))
@@ -87,9 +86,10 @@ def dedup(reads: DataFrame, partition_cols: list[str] | None = None) -> DataFram
         .when(F.col("flag").bitwiseAND(F.lit(MATE_UNMAPPED)) != 0, F.concat_ws("-", F.col("start_pos").cast("string"), F.col("cigar")))
     )
     keyed = reads.withColumn("_dupkey", key)
-    w = Window.partitionBy(*partition_cols, "chr", "_dupkey").orderBy("read_name", "sample", "flag", "cigar", "seq")
-    first = keyed.where(F.col("_dupkey").isNotNull()).withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-    return first.unionByName(keyed.where(F.col("_dupkey").isNull())).drop("_dupkey")
+    order = F.struct("read_name", "flag", "cigar", "seq")
+    first = keyed.where(F.col("_dupkey").isNotNull()).groupBy("sample", "chr", "_dupkey").agg(
+        F.min_by(F.struct(*reads.columns), order).alias("_first"))
+    return first.select("_first.*").unionByName(keyed.where(F.col("_dupkey").isNull()).drop("_dupkey"))
 
 
 def amplicon_filter(region_reads: DataFrame, p: CallParams) -> DataFrame:
@@ -127,9 +127,11 @@ def amplicon_filter(region_reads: DataFrame, p: CallParams) -> DataFrame:
 
 
 def apply_read_filters(reads: DataFrame, p: CallParams) -> DataFrame:
-    """The live filter chain in reference order."""
+    """The live filter chain in reference order."""
     r = downsample(reads, p.downsample)
     r = filter_flags(r, p)  # cheap bit tests first: they reach the scan
+    if p.remove_dups:
+        r = dedup(r)  # before D7: a read with too many mismatches still marks its key
     r = with_read_columns(r)
     r = filter_mismatch(r, p)
     r = filter_supplementary(r)

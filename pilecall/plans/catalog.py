@@ -22,26 +22,25 @@ from pilecall.params import CallParams
 # The oracle-checked configuration: reference defaults with local realignment
 # off (-k 0); realignment has its own queries.
 CHECK = CallParams(realign=False)
-READ_LEN = 40  # fixture reads are 40 bases
 
 
 def _fx(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     return fixtures(spark, sf)
 
 
-def _rr(spark, sf, p: CallParams = CHECK, sample: str | None = "tumor") -> DataFrame:
+def _rr(spark, sf, p: CallParams = CHECK, sample: str | None = None) -> DataFrame:
     fx = _fx(spark, sf)
     reads = fx["reads"] if sample is None else fx["reads"].where(F.col("sample") == sample)
     return M.region_reads(reads, fx["regions"], fx["contigs"], p)
 
 
 def _alleles(spark, sf, p: CallParams = CHECK) -> DataFrame:
-    return PU.pileup(_rr(spark, sf, p), _fx(spark, sf)["ref_blocks"], p, READ_LEN)
+    return PU.pileup(_rr(spark, sf, p), _fx(spark, sf)["ref_blocks"], p)
 
 
 def _candidates(spark, sf, p: CallParams = CHECK) -> DataFrame:
     fx = _fx(spark, sf)
-    return M.candidate_calls(_rr(spark, sf, p), fx["ref_blocks"], p, READ_LEN)
+    return M.candidate_calls(_rr(spark, sf, p), fx["ref_blocks"], p)
 
 
 # -- B: regions --------------------------------------------------------------
@@ -175,7 +174,7 @@ def q_splice_counts(spark, sf):
 def _clip_table(spark, sf):
     from pilecall.operators.clips import clip_bases, softclip_table
 
-    return softclip_table(clip_bases(_rr(spark, sf), _fx(spark, sf)["ref_blocks"], CHECK, READ_LEN))
+    return softclip_table(clip_bases(_rr(spark, sf), _fx(spark, sf)["ref_blocks"], CHECK))
 
 
 def q_softclip_collect(spark, sf):
@@ -196,7 +195,7 @@ def q_spanning_reads(spark, sf):
     dels = _candidates(spark, sf).where(plain_del).select(
         F.concat_ws(":", F.col("region_id").cast("string"), F.col("pos").cast("string"), "allele").alias("interval_id"),
         "chr", F.col("sp").alias("s"), F.col("ep").alias("e"))
-    reads = RF.with_read_columns(fx["reads"].where(F.col("sample") == "tumor"))
+    reads = RF.with_read_columns(fx["reads"])
     return spanning_reads(dels, reads)
 
 
@@ -293,7 +292,7 @@ def q_noise_flag(spark, sf):
 def q_call_single(spark, sf):
     fx = _fx(spark, sf)
     reads = fx["reads"].where(F.col("sample") == "tumor")
-    calls = M.call_single(reads, fx["regions"], fx["contigs"], fx["ref_blocks"], CHECK, "tumor", READ_LEN)
+    calls = M.call_single(reads, fx["regions"], fx["contigs"], fx["ref_blocks"], CHECK, "tumor")
     return calls.drop("pos")
 
 
@@ -388,33 +387,20 @@ def q_write_calls_roundtrip(spark, sf):
 def q_call_pileup(spark, sf):
     fx = _fx(spark, sf)
     reads = fx["reads"].where(F.col("sample") == "tumor")
-    return M.call_pileup(reads, fx["regions"], fx["contigs"], fx["ref_blocks"], CHECK, "tumor", READ_LEN)
+    return M.call_pileup(reads, fx["regions"], fx["contigs"], fx["ref_blocks"], CHECK, "tumor")
 
 
 def q_call_paired(spark, sf):
     fx = _fx(spark, sf)
     r = fx["reads"]
     return M.call_paired(r.where(F.col("sample") == "tumor"), r.where(F.col("sample") == "normal"),
-                         fx["regions"], fx["contigs"], fx["ref_blocks"], CHECK, READ_LEN)
-
-
-def q_cigar_normalize(spark, sf):
-    """D15 (rows-only): reads after CIGAR normalisation, with the original alignment."""
-    fx = _fx(spark, sf)
-    reads = RF.apply_read_filters(fx["reads"], CHECK).withColumnsRenamed({"start_pos": "orig_start", "cigar": "orig_cigar"})
-    reads = reads.withColumn("start_pos", F.col("orig_start")).withColumn("cigar", F.col("orig_cigar"))
-    rr = J.region_read_overlap(M.regions_with_contigs(fx["regions"], fx["contigs"]), reads)
-    from pilecall.operators.normalize import normalize_cigar
+                         fx["regions"], fx["contigs"], fx["ref_blocks"], CHECK)
 
-    out = normalize_cigar(rr, CallParams(), fx["ref_blocks"], READ_LEN)
-    return out.select("region_id", "read_name", "sample", "orig_start", "orig_cigar", "start_pos", "cigar", "rlen1", "rlen2")
 
-
-def q_call_single_realign(spark, sf):
-    """I1 with the original defaults, local realignment on (rows-only)."""
-    fx = _fx(spark, sf)
-    reads = fx["reads"].where(F.col("sample") == "tumor")
-    return M.call_single(reads, fx["regions"], fx["contigs"], fx["ref_blocks"], CallParams(), "tumor", READ_LEN).drop("pos")
+def q_mnp_merge(spark, sf):
+    """Adjacent mismatches of a read counted as one allele."""
+    al = _alleles(spark, sf).where(F.col("allele").contains("&"))
+    return al.select("region_id", "pos", "allele", "cnt", "fwd", "rev", "tp_sum", "q_sum", "mq_sum", "nm_sum", "hicnt", "locnt", "pstd", "qstd")
 
 
 def queries() -> dict:
@@ -436,6 +422,7 @@ def queries() -> dict:
         "cigar_lengths": q_cigar_lengths,
         "read_length_max": q_read_length_max,
         "base_pileup": q_base_pileup,
+        "mnp_merge": q_mnp_merge,
         "insertion_pileup": q_insertion_pileup,
         "deletion_pileup": q_deletion_pileup,
         "coverage": q_coverage,
@@ -461,8 +448,6 @@ def queries() -> dict:
         "call_single": q_call_single,
         "call_pileup": q_call_pileup,
         "call_paired": q_call_paired,
-        "cigar_normalize": q_cigar_normalize,
-        "call_single_realign": q_call_single_realign,
         "scan_regions": q_scan_regions,
         "scan_bed": q_scan_bed,
         "scan_bed_amplicon": q_scan_bed_amplicon,

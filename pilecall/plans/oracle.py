@@ -24,7 +24,8 @@ _READS = r"""
       CAST(coalesce(list_sum(list_transform(regexp_extract_all(cigar, '(\d+)[MI=X]', 1), lambda x: CAST(x AS INTEGER))), 0) AS INTEGER) AS rlen1,
       CAST(coalesce(list_sum(list_transform(regexp_extract_all(cigar, '(\d+)[MIS=X]', 1), lambda x: CAST(x AS INTEGER))), 0) AS INTEGER) AS rlen2
     FROM rids) t)
-, fr AS (SELECT * FROM rl WHERE seq <> '*' AND (flag & 256) = 0 AND nm IS NOT NULL AND tnm <= 8)
+, fr AS (SELECT * FROM rl WHERE seq <> '*' AND (flag & 256) = 0 AND nm IS NOT NULL AND tnm <= 8
+  AND NOT ((flag & 8) = 0 AND mate_chr = chr AND sa_tag IS NOT NULL AND (flag & 2048) <> 0))
 , rg AS (SELECT g.*, c.length AS contig_len FROM regions g LEFT JOIN contigs c ON g.chr = c.chr)
 """
 
@@ -76,10 +77,10 @@ def _q(idx0: str) -> str:
     return f"(ascii(substr(qual, CAST({idx0} AS INTEGER) + 1, 1)) - 33)"
 
 
-def _ev(pos, allele, sgn, tp, q, std, cov, hilo, is_ins="false") -> str:
+def _ev(pos, allele, sgn, tp, q, std, cov, hilo, is_ins="false", nmoff="0") -> str:
     return (f"region_id, chr, region_start, region_end, contig_len, CAST({pos} AS BIGINT) AS pos, {allele} AS allele, "
             f"{is_ins} AS is_ins, {sgn} AS sgn, flag, mapq, tnm, CAST({tp} AS BIGINT) AS tp, CAST({q} AS DOUBLE) AS q, "
-            f"{std} AS std, {cov} AS cov, {hilo} AS hilo")
+            f"{std} AS std, {cov} AS cov, {hilo} AS hilo, {nmoff} AS nmoff")
 
 
 _IN_REGION = "BETWEEN region_start AND region_end"
@@ -95,15 +96,17 @@ _PILEUP = f"""
 , mmr AS (SELECT *, i - row_number() OVER (PARTITION BY region_id, rid, idx ORDER BY i) AS grp FROM mbr WHERE mm)
 , runs AS (
   SELECT region_id, rid, idx, grp, min(i) AS a, max(i) AS b,
-         min(CASE WHEN {_q('qofs + i')} >= {GOODQ} THEN i END) AS f,
+         min(CASE WHEN {_q('qofs + i')} >= {GOODQ} AND seg_start + i >= region_start - 1 THEN i END) AS f,
          any_value(seg_start) AS seg_start, any_value(region_start) AS region_start, any_value(region_end) AS region_end
   FROM mmr GROUP BY region_id, rid, idx, grp)
 , mnp AS (
   SELECT region_id, rid, idx, f, least(b, region_end - seg_start) - f + 1 AS l
-  FROM runs WHERE f IS NOT NULL AND seg_start + f {_IN_REGION} AND least(b, region_end - seg_start) > f)
+  FROM runs WHERE f IS NOT NULL AND least(b, region_end - seg_start) > f)
 , mrole AS (
   SELECT mbr.*, m.f, m.l,
-         CASE WHEN m.f IS NULL OR mbr.i < m.f OR mbr.i >= m.f + m.l THEN 'single' WHEN mbr.i = m.f THEN 'head' ELSE 'inner' END AS role
+         CASE WHEN m.f IS NULL OR mbr.i < m.f OR mbr.i >= m.f + m.l THEN 'single' WHEN mbr.i = m.f THEN 'head' ELSE 'inner' END AS role,
+         CAST((SELECT coalesce(sum(o.l - 1), 0) FROM mnp o
+               WHERE o.region_id = mbr.region_id AND o.rid = mbr.rid AND o.idx = mbr.idx AND o.f <= mbr.i) AS INTEGER) AS nmoff
   FROM mbr LEFT JOIN mnp m ON m.region_id = mbr.region_id AND m.rid = mbr.rid AND m.idx = mbr.idx
                            AND mbr.i BETWEEN m.f AND m.f + m.l - 1)
 , s5 AS (
@@ -128,14 +131,14 @@ _PILEUP = f"""
   FROM rops LEFT JOIN refpos rp ON rp.chr = rops.chr AND rp.pos = rops.seg_start - 1
   WHERE op = 'I' AND seg_start - 1 {_IN_REGION} AND NOT contains('+' || substr(seq, qofs + 1, len), 'N'))
 , ev AS (
-  SELECT {_ev('pos', 'base', 1, _tp('p'), _q('n'), 'true', 1, 'true')} FROM mrole
+  SELECT {_ev('pos', 'base', 1, _tp('p'), _q('n'), 'true', 1, 'true', nmoff='nmoff')} FROM mrole
    WHERE role = 'single' AND base <> 'N' AND pos {_IN_REGION}
   UNION ALL
   SELECT {_ev('pos', "base || '&' || substr(seq, CAST(n AS INTEGER) + 2, CAST(l AS INTEGER) - 1)", 1, _tp('p + l - 1'),
-               f"(SELECT avg(ascii(substr(qual, CAST(n + k AS INTEGER) + 1, 1)) - 33) FROM range(0, l) u(k))", 'true', 1, 'true')}
+               f"(SELECT avg(ascii(substr(qual, CAST(n + k AS INTEGER) + 1, 1)) - 33) FROM range(0, l) u(k))", 'true', 1, 'true', nmoff='nmoff')}
     FROM mrole WHERE role = 'head' AND base <> 'N' AND pos {_IN_REGION}
   UNION ALL
-  SELECT {_ev('pos', "''", 0, 0, 0, 'false', 1, 'false')} FROM mrole WHERE role = 'inner' AND base <> 'N' AND pos {_IN_REGION}
+  SELECT {_ev('pos', "''", 0, 0, 0, 'false', 1, 'false')} FROM mrole WHERE role = 'inner' AND base <> 'N' AND pos {_IN_REGION} AND seg_start + f {_IN_REGION}
   UNION ALL
   SELECT {_ev('anchor', 'key', 1, _tp('pofs'), 'iq', 'true', 1, 'true', 'true')} FROM ins
   UNION ALL
@@ -167,7 +170,7 @@ _PILEUP = f"""
     CAST(sum(sgn * tp) AS BIGINT) AS tp_sum,
     CAST(sum(sgn * q) AS DOUBLE) AS q_sum,
     CAST(sum(sgn * mapq) AS BIGINT) AS mq_sum,
-    CAST(sum(sgn * tnm) AS BIGINT) AS nm_sum,
+    CAST(sum(sgn * (tnm - nmoff)) AS BIGINT) AS nm_sum,
     CAST(sum(CASE WHEN hilo AND q >= {GOODQ} THEN sgn ELSE 0 END) AS BIGINT) AS hicnt,
     CAST(sum(CASE WHEN hilo AND q < {GOODQ} THEN sgn ELSE 0 END) AS BIGINT) AS locnt,
     min(CASE WHEN std THEN tp END) <> max(CASE WHEN std THEN tp END) AS pstd,
@@ -465,12 +468,15 @@ def _with(*ctes: str) -> str:
     return PRELUDE + "".join(ctes)
 
 
-def _pileup_ctes(sample_filter: str = "r.sample = 'tumor'") -> tuple[str, ...]:
+_TUMOR = "r.sample = 'tumor'"
+
+
+def _pileup_ctes(sample_filter: str = "true") -> tuple[str, ...]:
     return (_READS, _OPS, _rr(sample_filter), _PILEUP)
 
 
-def _cand_ctes() -> tuple[str, ...]:
-    return (*_pileup_ctes(), _STATS, _CALLS, _CALLS2)
+def _cand_ctes(sample_filter: str = "true") -> tuple[str, ...]:
+    return (*_pileup_ctes(sample_filter), _STATS, _CALLS, _CALLS2)
 
 
 _ACC = "region_id, pos, allele, cnt, fwd, rev, tp_sum, q_sum, mq_sum, nm_sum, hicnt, locnt, pstd, qstd"
@@ -495,7 +501,7 @@ def _pileup_mode_sql() -> str:
     calls2 = _CALLS2.replace("ref_freq >= 0.05", "ref_freq >= -1")
     assert stats != _STATS and calls2 != _CALLS2
     region = "chr || ':' || CAST(region_start AS VARCHAR) || '-' || CAST(region_end AS VARCHAR)"
-    body = _with(*_pileup_ctes(), stats, _CALLS, calls2, "\n, gk AS (SELECT * FROM cfin WHERE NOT contains(ref_allele, 'N'))", _trim("gk"))
+    body = _with(*_pileup_ctes(_TUMOR), stats, _CALLS, calls2, "\n, gk AS (SELECT * FROM cfin WHERE NOT contains(ref_allele, 'N'))", _trim("gk"))
     final_var = _FINAL.replace("SELECT region_id, sample, gene,", "SELECT region_id, CAST(pos AS BIGINT) AS pos, sample, gene,")
     return body + f"""
 , vrows AS ({final_var})
@@ -636,7 +642,7 @@ WHERE EXISTS (SELECT 1 FROM ref_blocks b WHERE b.chr = g.chr AND b.block_start +
 , k AS (SELECT *, CASE WHEN ms < 10 THEN CAST(start_pos AS VARCHAR) || '-' || (CASE WHEN mate_chr IS NULL THEN '*' WHEN mate_chr = chr THEN '=' ELSE mate_chr END) || '-' || CAST(ms AS VARCHAR)
                       WHEN (flag & 8) <> 0 THEN CAST(start_pos AS VARCHAR) || '-' || cigar END AS dk FROM m)
 SELECT read_name, sample, start_pos, cigar, ms AS mate_start FROM (
-  SELECT *, row_number() OVER (PARTITION BY chr, dk ORDER BY read_name, sample, flag, cigar, seq) AS rn FROM k WHERE dk IS NOT NULL) t WHERE rn = 1
+  SELECT *, row_number() OVER (PARTITION BY sample, chr, dk ORDER BY read_name, flag, cigar, seq) AS rn FROM k WHERE dk IS NOT NULL) t WHERE rn = 1
 UNION ALL
 SELECT read_name, sample, start_pos, cigar, ms AS mate_start FROM k WHERE dk IS NULL"""
     q["read_downsample_hash"] = PRELUDE + r"""
@@ -658,6 +664,7 @@ WHERE CASE WHEN regexp_matches(cigar, '^\d+S') OR regexp_matches(cigar, '\d+S$')
            ELSE coalesce(NOT (abs(ps - rs) > 10 OR abs(pe - re) > 10 OR abs((greatest(ps, rs) - least(pe, re)) / (pe - ps)) <= 0.95), false) END"""
     q["cigar_lengths"] = _with(_READS) + "\nSELECT read_name, sample, start_pos, cigar, span AS ref_span, end_pos, rlen1, rlen2, idl AS indel_len FROM rl"
     q["read_length_max"] = _with(_READS, _OPS, _rr("true")) + "\nSELECT region_id, max(rlen2) AS max_rlen FROM rr GROUP BY region_id"
+    q["mnp_merge"] = _with(*_pileup_ctes()) + f"\nSELECT {_ACC} FROM al WHERE contains(allele, '&')"
     q["base_pileup"] = _with(*_pileup_ctes()) + f"\nSELECT {_ACC} FROM al WHERE allele <> '' AND NOT is_ins AND NOT starts_with(allele, '-')"
     q["insertion_pileup"] = _with(*_pileup_ctes()) + f"\nSELECT {_ACC} FROM al WHERE is_ins"
     q["deletion_pileup"] = _with(*_pileup_ctes()) + f"\nSELECT {_ACC} FROM al WHERE starts_with(allele, '-')"
@@ -686,7 +693,7 @@ FROM cfin"""
     q["splice_antijoin"] = _with(*cand, _splices("rops")) + r"""
 SELECT region_id, pos, allele FROM cfin
 WHERE NOT EXISTS (SELECT 1 FROM spl WHERE spl.region_id = cfin.region_id AND spl.junction = CAST(cfin.sp AS VARCHAR) || '-' || CAST(cfin.ep AS VARCHAR))"""
-    q["call_single"] = _with(*cand, _splices("rops"), _GOOD) + r"""
+    q["call_single"] = _with(*_cand_ctes(_TUMOR), _splices("rops"), _GOOD) + r"""
 , gk AS (SELECT * FROM gd WHERE reason IS NULL AND NOT contains(ref_allele, 'N'))""" + _trim("gk") + _FINAL
     q["scan_regions"] = PRELUDE + "\nSELECT chr, region_start, region_end, gene FROM regions"
     q["scan_bed"] = PRELUDE + "\nSELECT chr, region_start, region_end, gene, false AS amplicon_mode FROM regions"
@@ -718,7 +725,7 @@ WHERE a.consensus <> '' AND b.consensus <> '' AND a.pos - b.pos <= rl2.rlen / 1.
 , iv AS (SELECT CAST(region_id AS VARCHAR) || ':' || CAST(pos AS VARCHAR) || ':' || allele AS interval_id, chr, sp AS s, ep AS e
          FROM cfin WHERE regexp_full_match(allele, '-\d+'))
 , tr AS (SELECT *, start_pos + CAST(coalesce(list_sum(list_transform(regexp_extract_all(cigar, '(\d+)[MD]', 1), lambda x: CAST(x AS INTEGER))), 0) AS INTEGER) AS re
-         FROM rl WHERE sample = 'tumor')
+         FROM rl)
 , j AS (SELECT iv.interval_id, iv.s, iv.e, tr.start_pos AS rs, tr.re FROM iv JOIN tr
         ON tr.chr = iv.chr AND tr.start_pos <= iv.e AND tr.end_pos >= iv.s AND NOT contains(tr.cigar, CAST(iv.e - iv.s AS VARCHAR) || 'D'))
 SELECT iv.interval_id, CAST(coalesce(sum(CASE WHEN re > e + 2 AND rs < s - 2 THEN 1 ELSE 0 END), 0) AS BIGINT) AS cnt,

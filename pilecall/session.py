@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -34,10 +33,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; set one only when the session has none.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/S3) folder and is
-    used as is. Only a test session without it gets a scratch folder.
+    used as is. Only a local session without it (tests) gets a scratch folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="pilecall-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
@@ -46,10 +47,4 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def shared_scratch(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder (for written tables)."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    path = f"{base}/pilecall/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path:
-        os.makedirs(os.path.dirname(path), exist_ok=True)
-    return path
+    return f"{ensure_checkpoint_dir(spark)}/pilecall/{name}-{uuid.uuid4().hex[:12]}"

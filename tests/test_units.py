@@ -1,10 +1,9 @@
-"""Hand-computed unit cases: F3, F8, F12, F13, G3, B1, D14, D15, E13."""
+"""Hand-computed unit cases: F3, F8, F12, F13, G3, B1, D14, E4, E13, D6, F10."""
 
 from pyspark.sql import functions as F
 
 from pilecall.functions.exprs import low_complexity, round_half_up, strand_bias, variant_type
 from pilecall.operators.calls import complex_trim, msi_score
-from pilecall.operators.normalize import _make_rewriter
 from pilecall.operators.regions import amplicon_groups, region_parse
 
 
@@ -82,27 +81,6 @@ def test_cigar_parse(spark):
     assert ops[4] == ("D", 1, 13, 20, 15)
 
 
-def _rw():
-    return _make_rewriter(10)
-
-
-def test_normalize_indel_near_end():
-    rw = _rw()
-    seq = "A" * 40
-    # <=8 matches after an insertion at the end become a soft clip (2I + 8M -> 10S)
-    assert rw(2, 100, "30M2I8M", seq, "I" * 40, None, 0) == (100, "30M10S")
-    # clip then deletion at the start: position moves by 2 (kept quirk)
-    assert rw(3, 100, "5S3D35M", "C" * 40, "I" * 40, None, 0) == (102, "5S35M")
-
-
-def test_normalize_clip_rematch():
-    rw = _rw()
-    ref = "ACGTACGTAC" * 6  # positions 1..60
-    read = ref[:30] + ref[30:40]  # the clip matches the reference
-    pos, cig = rw(0, 1, "30M10S", read, "I" * 40, ref, 1)
-    assert (pos, cig) == (1, "40M")
-
-
 def test_softclip_consensus(spark):
     from pilecall.operators.clips import softclip_consensus
 
@@ -147,3 +125,57 @@ def test_clip_pair_join_matches_brute_force(spark):
                   if a[0] == b[0] and a[1] == 5 and b[1] == 3
                   and a[2] - b[2] <= rlen[a[0]] / 1.5 and b[2] - a[2] <= rlen[a[0]] - 10)
     assert got == want and len(want) > 0
+
+
+def _sam(spark, rows):
+    """Reads from (name, sample, start, cigar, seq, nm)."""
+    full = [(n, s, "c", st, 0, 60, cg, q, "I" * len(q), nm, "c", 100, 100, None) for n, s, st, cg, q, nm in rows]
+    return spark.createDataFrame(full, "read_name string, sample string, chr string, start_pos long, flag int, mapq int, cigar string, "
+                                 "seq string, qual string, nm int, mate_chr string, mate_start long, insert_size long, sa_tag string")
+
+
+def _reference(spark, length):
+    from pilecall.operators.joins import BLOCK
+
+    text = ("ACGTTGCAAGCTTAGCCATGGATCCTTAACGG" * (length // 32 + 1))[:length]
+    rows = [("c", b, b * BLOCK + 1, text[b * BLOCK : (b + 1) * BLOCK]) for b in range(-(-length // BLOCK))]
+    return text, spark.createDataFrame(rows, "chr string, block long, block_start long, seq string")
+
+
+def test_mnp_far_into_a_long_read(spark):
+    """Adjacent mismatches 230 bases into a 300-base read are one allele; each read adds nm - 1 mismatches."""
+    from pilecall.operators.modes import region_reads
+    from pilecall.operators.pileup import pileup
+    from pilecall.params import CallParams
+
+    text, blocks = _reference(spark, 640)
+    swap = str.maketrans("ACGT", "CGTA")
+    seq = text[100:330] + text[330:332].translate(swap) + text[332:400]
+    reads = _sam(spark, [(f"r{i}", "t", 101, "300M", seq, 2) for i in range(4)])
+    regions = spark.createDataFrame([(1, "c", 300, 360, "g")], "region_id long, chr string, region_start long, region_end long, gene string")
+    contigs = spark.createDataFrame([("c", 640)], "chr string, length long")
+    p = CallParams(realign=False)
+    rows = pileup(region_reads(reads, regions, contigs, p), blocks, p).where("allele LIKE '%&%'").collect()
+    assert [(r.pos, r.allele, r.cnt, r.nm_sum) for r in rows] == [(331, seq[230] + "&" + seq[231], 4, 4)]
+
+
+def test_dedup_within_a_sample(spark):
+    from pilecall.operators.read_filters import dedup
+
+    reads = _sam(spark, [("b", "t", 5, "4M", "ACGT", 0), ("a", "t", 5, "4M", "ACGT", 0), ("c", "n", 5, "4M", "ACGT", 0)])
+    reads = reads.withColumn("mate_start", F.lit(3).cast("long"))
+    assert sorted(r.read_name for r in dedup(reads).collect()) == ["a", "c"]
+
+
+def test_right_flank_of_a_long_insertion(spark):
+    """The reference context reaches past an insertion of any length."""
+    from pilecall.operators.modes import call_single
+    from pilecall.params import CallParams
+
+    text, blocks = _reference(spark, 640)
+    seq = text[100:140] + "GATTACAGTC" * 12 + text[140:180]
+    reads = _sam(spark, [(f"r{i}", "t", 101, "40M120I40M", seq, 120) for i in range(6)])
+    regions = spark.createDataFrame([(1, "c", 110, 170, "g")], "region_id long, chr string, region_start long, region_end long, gene string")
+    contigs = spark.createDataFrame([("c", 640)], "chr string, length long")
+    rows = call_single(reads, regions, contigs, blocks, CallParams(realign=False), "t").where("vartype = 'Insertion'").collect()
+    assert rows and all(len(r.rightseq) == 20 and r.rightseq in text for r in rows)
