@@ -397,6 +397,19 @@ def q_call_paired(spark, sf):
                          fx["regions"], fx["contigs"], fx["ref_blocks"], CHECK)
 
 
+def q_scan_fasta(spark, sf):
+    """A3: the reference written as FASTA (unknown blocks as N), read back."""
+    from pilecall.sources.text import scan_fasta
+
+    fx = _fx(spark, sf)
+    every = fx["contigs"].select("chr", F.explode(F.sequence(F.lit(0), (F.col("length") / 32).cast("long") - 1)).alias("block"))
+    lines = every.join(fx["ref_blocks"], ["chr", "block"], "left").select("chr", "block", F.coalesce("seq", F.repeat(F.lit("N"), 32)).alias("value"))
+    heads = fx["contigs"].select("chr", F.lit(-1).cast("long").alias("block"), F.concat(F.lit(">"), "chr", F.lit(" contig")).alias("value"))
+    path = _scratch(spark, "fasta")
+    lines.union(heads).repartition(3, "chr").sortWithinPartitions("chr", "block").select("value").write.text(path)
+    return scan_fasta(spark, path)
+
+
 def q_mnp_merge(spark, sf):
     """Adjacent mismatches of a read counted as one allele."""
     al = _alleles(spark, sf).where(F.col("allele").contains("&"))
@@ -423,6 +436,7 @@ def queries() -> dict:
         "read_length_max": q_read_length_max,
         "base_pileup": q_base_pileup,
         "mnp_merge": q_mnp_merge,
+        "scan_fasta": q_scan_fasta,
         "insertion_pileup": q_insertion_pileup,
         "deletion_pileup": q_deletion_pileup,
         "coverage": q_coverage,

@@ -695,6 +695,10 @@ SELECT region_id, pos, allele FROM cfin
 WHERE NOT EXISTS (SELECT 1 FROM spl WHERE spl.region_id = cfin.region_id AND spl.junction = CAST(cfin.sp AS VARCHAR) || '-' || CAST(cfin.ep AS VARCHAR))"""
     q["call_single"] = _with(*_cand_ctes(_TUMOR), _splices("rops"), _GOOD) + r"""
 , gk AS (SELECT * FROM gd WHERE reason IS NULL AND NOT contains(ref_allele, 'N'))""" + _trim("gk") + _FINAL
+    q["scan_fasta"] = PRELUDE + r"""
+SELECT e.chr, e.block, 32 * e.block + 1 AS block_start, coalesce(b.seq, repeat('N', 32)) AS seq
+FROM (SELECT chr, CAST(unnest(range(0, CAST(length / 32 AS BIGINT))) AS BIGINT) AS block FROM contigs) e
+LEFT JOIN ref_blocks b ON b.chr = e.chr AND b.block = e.block"""
     q["scan_regions"] = PRELUDE + "\nSELECT chr, region_start, region_end, gene FROM regions"
     q["scan_bed"] = PRELUDE + "\nSELECT chr, region_start, region_end, gene, false AS amplicon_mode FROM regions"
     q["scan_bed_amplicon"] = PRELUDE + r"""

@@ -119,31 +119,42 @@ def paired_sample_names(name: str | None) -> tuple[str | None, str | None]:
 
 
 def scan_fasta(spark: SparkSession, path: str, upper: bool = False) -> DataFrame:
-    """A3: FASTA text -> ``ref_blocks(chr, block, block_start, seq)`` of 32 bases.
+    """A3: FASTA text -> ``ref_blocks(chr, block, block_start, seq)``.
 
-    Lines are numbered in file order (``zipWithIndex``, the one place an RDD is
-    needed: text lines carry no offsets). Each line finds its header with a
-    range join on line numbers and gets positions from the contig's line width;
-    bases are regrouped into fixed blocks by one bounded ``groupBy``.
+    Lines are ordered within their file split; a split is cut into sections at its
+    headers. One row per section, a few for each contig and split, carries contig
+    names and base counts from split to split, so a line's position is its section's
+    offset and the running length within it. A line of any width is cut into the
+    blocks that it touches.
     """
-    lines = spark.read.text(path)
-    numbered = lines.rdd.zipWithIndex().map(lambda r: (r[0][0], r[1])).toDF(["line", "idx"])
-    heads = numbered.where(F.col("line").startswith(">")).select(
-        F.col("idx").alias("hidx"), F.regexp_extract("line", r"^>(\S+)", 1).alias("chr"))
-    w = Window.orderBy("hidx")  # one row per contig: bounded by the dictionary size
-    heads = heads.withColumn("hend", F.coalesce(F.lead("hidx").over(w), F.lit(2**62)))
-    body = numbered.where(~F.col("line").startswith(">"))
-    # header of each line: the contig table is small (one row per contig), so it is broadcast
-    body = body.join(F.broadcast(heads), (F.col("idx") > F.col("hidx")) & (F.col("idx") < F.col("hend")))
-    width = body.where(F.col("idx") == F.col("hidx") + 1).select("chr", F.length("line").alias("width"))
-    body = body.join(F.broadcast(width), "chr")
-    body = body.withColumn("line_start", (F.col("idx") - F.col("hidx") - 1) * F.col("width") + 1)
-    seq = F.upper(F.col("line")) if upper else F.col("line")
-    bases = body.select("chr", "line_start", F.posexplode(F.split(seq, "")).alias("i", "base"))
-    bases = bases.where(F.col("base") != "").withColumn("pos", F.col("line_start") + F.col("i"))
-    bases = bases.withColumn("block", F.floor((F.col("pos") - 1) / BLOCK))
-    blocks = bases.groupBy("chr", "block").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "base"))), lambda x: x["base"]), "").alias("seq"))
+    lines = spark.read.text(path).select(
+        F.trim("value").alias("line"), F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("line_no"))
+    split = ["file", "split"]
+    in_split = Window.partitionBy(*split).orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    is_head = F.col("line").startswith(">")
+    lines = lines.withColumn("section", F.sum(is_head.cast("int")).over(in_split))
+    lines = lines.withColumn("bases", F.when(is_head, 0).otherwise(F.length("line")).cast("long"))
+    name = F.max(F.when(is_head, F.regexp_extract("line", r"^>(\S+)", 1)))
+    sections = lines.groupBy(*split, "section").agg(name.alias("name"), F.sum("bases").alias("total"))
+    in_file = Window.partitionBy("file").orderBy("split", "section").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sections = sections.withColumn("chr", F.last("name", ignorenulls=True).over(in_file))
+    sections = sections.withColumn("contig", F.sum(F.col("name").isNotNull().cast("int")).over(in_file))
+    in_contig = Window.partitionBy("file", "contig").orderBy("split", "section").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sections = sections.withColumn("before", F.sum("total").over(in_contig) - F.col("total"))
+    in_section = Window.partitionBy(*split, "section").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    body = lines.withColumn("at", F.sum("bases").over(in_section) - F.col("bases")).where(F.col("bases") > 0)
+    body = body.join(sections.select(*split, "section", "chr", "before"), [*split, "section"]).where(F.col("chr").isNotNull())
+    body = body.withColumn("start", F.col("before") + F.col("at"))  # from 0
+    last = F.floor((F.col("start") + F.col("bases") - 1) / BLOCK)
+    cut = body.withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / BLOCK), last)))
+    lo = F.greatest(F.col("start"), F.col("block") * BLOCK)
+    hi = F.least(F.col("start") + F.col("bases"), (F.col("block") + 1) * BLOCK)
+    text = F.upper(F.col("line")) if upper else F.col("line")
+    piece = F.substring(text, (lo - F.col("start") + 1).cast("int"), (hi - lo).cast("int"))
+    parts = cut.select("chr", "block", F.struct(lo.alias("lo"), piece.alias("piece")).alias("part"))
+    blocks = parts.groupBy("chr", "block").agg(  # at most one part for each base of the block
+        F.array_join(F.transform(F.array_sort(F.collect_list("part")), lambda x: x["piece"]), "").alias("seq"))
     return blocks.select("chr", "block", (F.col("block") * BLOCK + 1).alias("block_start"), "seq")
 
 

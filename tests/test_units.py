@@ -179,3 +179,33 @@ def test_right_flank_of_a_long_insertion(spark):
     contigs = spark.createDataFrame([("c", 640)], "chr string, length long")
     rows = call_single(reads, regions, contigs, blocks, CallParams(realign=False), "t").where("vartype = 'Insertion'").collect()
     assert rows and all(len(r.rightseq) == 20 and r.rightseq in text for r in rows)
+
+
+def test_fasta_of_several_files_in_small_splits(spark, tmp_path):
+    """Contigs of two files, lines of uneven width, read in splits of a few lines."""
+    import random
+
+    from pilecall.sources.text import scan_fasta
+
+    rng, contigs = random.Random(5), {}
+    for f, names in enumerate((["c1", "c2"], ["c3"])):
+        lines = []
+        for n in names:
+            contigs[n] = "".join(rng.choice("ACGT") for _ in range(rng.randrange(3600, 5400)))
+            lines.append(f">{n} some text")
+            width = rng.choice([50, 61])
+            lines += [contigs[n][i:i + width] for i in range(0, len(contigs[n]), width)]
+        (tmp_path / f"ref{f}.fa").write_text("\n".join(lines) + "\n")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        rows = scan_fasta(spark, str(tmp_path)).orderBy("chr", "block").collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    got = {}
+    for r in rows:
+        assert r.block_start == r.block * 32 + 1 == len(got.get(r.chr, "")) + 1
+        got[r.chr] = got.get(r.chr, "") + r.seq
+    assert got == contigs
