@@ -1,145 +1,62 @@
-"""CIGAR column expressions (D14 and the op table every pileup stage explodes).
+"""CIGAR column expressions (D14 and the op table that every pileup stage explodes).
 
-All functions return Spark ``Column`` objects built from SQL higher-order
-functions, so they stay JVM-side and need no Python per row.
+All of them are Spark expressions, so reads stay in the JVM.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_TOKEN = r"(\\d+)[MIDNSHP=X]"
+OPS_TYPE = "array<struct<idx:int,len:int,op:string,raw:string,rofs:int,qofs:int,pofs:int,nops:int>>"
 
 
-def _len_sum(cigar: str, ops: str) -> Column:
-    """Sum of the lengths of the given operators (raw CIGAR, no edge rewrite)."""
-    return F.expr(
-        f"aggregate(regexp_extract_all({cigar}, '(\\\\d+)[{ops}]', 1), 0, "
-        f"(acc, x) -> acc + cast(x AS int))"
-    )
+def length_of(cigar: str, letters: str) -> Column:
+    """Sum of the lengths of the given operators."""
+    found = f"regexp_extract_all({cigar}, '(\\\\d+)[{letters}]', 1)"
+    return F.expr(f"coalesce(aggregate({found}, 0, (acc, x) -> acc + cast(x AS int)), 0)")
 
 
-def aligned_len(cigar: str = "cigar") -> Column:
-    """M+D(+N): reference span of the read; end = start + span - 1."""
-    return _len_sum(cigar, "MDN=X")
+def with_ops(df: DataFrame, cigar: str = "cigar", out: str = "ops") -> DataFrame:
+    """Add the op table ``out``: one struct per operator, in order.
 
-
-def md_len(cigar: str = "cigar") -> Column:
-    """M+D (amplicon filter span)."""
-    return _len_sum(cigar, "MD=X")
-
-
-def mis_len(cigar: str = "cigar") -> Column:
-    """M+I+S: total read length including soft clips (rlen2)."""
-    return _len_sum(cigar, "MIS=X")
-
-
-def mi_len(cigar: str = "cigar") -> Column:
-    """M+I: matched read length (rlen1, -M filter)."""
-    return _len_sum(cigar, "MI=X")
-
-
-def indel_len(cigar: str = "cigar") -> Column:
-    """I+D: subtracted from NM to get mismatches."""
-    return _len_sum(cigar, "ID")
-
-
-OPS_TYPE = (
-    "array<struct<idx:int,len:int,op:string,raw:string,rofs:int,qofs:int,pofs:int,nops:int>>"
-)
-PARSED_TYPE = f"struct<ops:{OPS_TYPE},span:int,mi:int,mis:int,id:int,md:int>"
-
-def parse_cigar(cigar="cigar") -> Column:
-    """CIGAR -> struct(ops, span, mi, mis, id, md), one Arrow-batched call per batch.
-
-    ops: array<struct<idx,len,op,raw,rofs,qofs,pofs,nops>> with edge ``I`` read as
-    ``S`` (``op``; ``raw`` keeps the letter). rofs: reference offset from the
-    alignment start; qofs: offset in the read; pofs: offset over M/I only.
-    ``=``/``X`` read as ``M``; ``H``/``P`` consume nothing. Parsing is
-    memoised per batch (most reads share a handful of CIGARs). A Python stage is
-    used because Catalyst would copy an equivalent lambda expression into every
-    pushed-down filter that reads one of its outputs.
+    Edge ``I`` reads as ``S`` (``op``; ``raw`` keeps the letter), ``=`` and ``X`` as ``M``;
+    ``H`` and ``P`` consume nothing. rofs: reference offset from the alignment start;
+    qofs: offset in the read; pofs: offset over M and I only.
     """
-    from pyspark.sql.functions import pandas_udf
-
-    global _UDF
-    if _UDF is None:
-        # Marked non-deterministic so Catalyst evaluates it once: a filter on one of
-        # its outputs is then never copied below the projection that computes it.
-        _UDF = pandas_udf(_make_parser(), PARSED_TYPE).asNondeterministic()
-    return _UDF(col_(cigar))
-
-
-def _make_parser():
-    """Build the batch parser as a closure so workers receive it by value."""
-
-    def parse_batch(cigars):
-        import re
-
-        import pandas as pd
-
-        token = re.compile(r"(\d+)([MIDNSHP=X])")
-        memo: dict = {}
-        out = []
-        for c in cigars:
-            r = memo.get(c)
-            if r is None:
-                toks = token.findall(c or "")
-                n = len(toks)
-                ops = []
-                rofs = qofs = pofs = 0
-                span = mi = mis = id_ = md = 0
-                for i, (ln, raw) in enumerate(toks):
-                    ln = int(ln)
-                    if raw in "=X":
-                        raw = "M"
-                    op = "S" if raw == "I" and (i == 0 or i == n - 1) else raw
-                    ops.append({"idx": i, "len": ln, "op": op, "raw": raw, "rofs": rofs,
-                                "qofs": qofs, "pofs": pofs, "nops": n})
-                    rofs += ln if op in "MDN" else 0
-                    qofs += ln if op in "MIS" else 0
-                    pofs += ln if op in "MI" else 0
-                    span += ln if raw in "MDN" else 0
-                    mi += ln if raw in "MI" else 0
-                    mis += ln if raw in "MIS" else 0
-                    id_ += ln if raw in "ID" else 0
-                    md += ln if raw in "MD" else 0
-                r = memo[c] = {"ops": ops, "span": span, "mi": mi, "mis": mis, "id": id_, "md": md}
-            out.append(r)
-        return pd.DataFrame(out, columns=["ops", "span", "mi", "mis", "id", "md"])
-
-    return parse_batch
-
-
-_UDF = None
-
-
-def col_(c):
-    return F.col(c) if isinstance(c, str) else c
-
-
-def with_ops(df, cigar: str = "cigar", out: str = "ops"):
-    """Add the op table ``out`` (see ``parse_cigar``)."""
     if out in df.columns:
         return df
-    return df.withColumn("_cg", parse_cigar(cigar)).withColumn(out, F.col("_cg.ops")).drop("_cg")
-
-
-def with_cigar_columns(reads, cigar: str = "cigar"):
-    """Add the op table and the derived lengths used by filters and pileup.
-
-    ref_span (M+D+N), rlen1 (M+I), rlen2 (M+I+S), indel_len (I+D), md_len (M+D).
+    token = r"'(\\d+)([MIDNSHP=X])'"
+    df = df.withColumns({
+        "_len": F.expr(f"transform(regexp_extract_all({cigar}, {token}, 1), x -> cast(x AS int))"),
+        "_raw": F.expr(f"transform(regexp_extract_all({cigar}, {token}, 2), x -> CASE WHEN x IN ('=', 'X') THEN 'M' ELSE x END)"),
+    })
+    op = "CASE WHEN _raw[i] = 'I' AND (i = 0 OR i = size(_len) - 1) THEN 'S' ELSE _raw[i] END"
+    df = df.withColumn("_op", F.expr(f"CASE WHEN size(_len) > 0 THEN transform(sequence(0, size(_len) - 1), i -> {op}) ELSE array() END"))
+
+    def advanced(offset: str, letters: str) -> str:
+        return f"a.{offset} + CASE WHEN instr('{letters}', _op[i]) > 0 THEN _len[i] ELSE 0 END AS {offset}"
+
+    row = ("named_struct('idx', i, 'len', _len[i], 'op', _op[i], 'raw', _raw[i], "
+           "'rofs', a.rofs, 'qofs', a.qofs, 'pofs', a.pofs, 'nops', size(_len))")
+    step = f"struct(concat(a.ops, array({row})) AS ops, {advanced('rofs', 'MDN')}, {advanced('qofs', 'MIS')}, {advanced('pofs', 'MI')})"
+    fold = (f"aggregate(sequence(0, size(_len) - 1), struct(cast(array() AS {OPS_TYPE}) AS ops, 0 AS rofs, 0 AS qofs, 0 AS pofs), "
+            f"(a, i) -> {step}, a -> a.ops)")
+    return df.withColumn(out, F.expr(f"CASE WHEN size(_len) > 0 THEN {fold} ELSE cast(array() AS {OPS_TYPE}) END")).drop("_len", "_raw", "_op")
+
+
+def with_cigar_columns(reads: DataFrame, cigar: str = "cigar") -> DataFrame:
+    """Add the derived lengths used by filters and pileup.
+
+    ref_span (M+D+N), rlen1 (M+I), rlen2 (M+I+S), indel_len (I+D), md_len (M+D). The op
+    table is added where reads are piled up, after the filters and the region join.
     """
-    df = reads.withColumn("_cg", parse_cigar(cigar))
-    return df.withColumns(
-        {
-            "ops": F.col("_cg.ops"),
-            "ref_span": F.col("_cg.span"),
-            "end_pos": F.col("start_pos") + F.col("_cg.span") - 1,
-            "rlen1": F.col("_cg.mi"),
-            "rlen2": F.col("_cg.mis"),
-            "indel_len": F.col("_cg.id"),
-            "md_len": F.col("_cg.md"),
-        }
-    ).drop("_cg")
+    span = length_of(cigar, "MDN=X")
+    return reads.withColumns({
+        "ref_span": span,
+        "end_pos": F.col("start_pos") + span - 1,
+        "rlen1": length_of(cigar, "MI=X"),
+        "rlen2": length_of(cigar, "MIS=X"),
+        "indel_len": length_of(cigar, "ID"),
+        "md_len": length_of(cigar, "MD=X"),
+    })

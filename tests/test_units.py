@@ -70,10 +70,10 @@ def test_amplicon_groups(spark):
 
 
 def test_cigar_parse(spark):
-    from pilecall.functions.cigar import with_cigar_columns
+    from pilecall.functions.cigar import with_cigar_columns, with_ops
 
     df = spark.createDataFrame([("5S10M2I3M1D20M", 100)], "cigar string, start_pos long")
-    r = with_cigar_columns(df).collect()[0]
+    r = with_ops(with_cigar_columns(df)).collect()[0]
     assert (r.ref_span, r.rlen1, r.rlen2, r.indel_len, r.end_pos) == (34, 35, 40, 3, 133)
     ops = [(o.op, o.len, o.rofs, o.qofs, o.pofs) for o in r.ops]
     assert ops[0] == ("S", 5, 0, 0, 0)
