@@ -95,23 +95,9 @@ _SPREAD_KEY = {"lineitem": "l_orderkey", "part": "p_partkey"}
 
 
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; spread by its key when the file yields fewer scan tasks than cores.
-
-    The driver files hold one row group each, so without this every derived
-    fixture would be computed by a single task. Large inputs split on their own.
-    """
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key in _MEMO:
-        return _MEMO[key]
+    """A driver table, spread by its key: its files hold one row group each."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in _SPREAD_KEY and df.rdd.getNumPartitions() < cores:
-        # Cached after the spread: the cache is a leaf for the optimizer, so the
-        # fixture predicates are evaluated in parallel above it rather than
-        # pushed into the single scan task.
-        df = df.repartition(cores, _SPREAD_KEY[name]).cache()
-    _MEMO[key] = df
-    return df
+    return df.repartition(_SPREAD_KEY[name]) if name in _SPREAD_KEY else df
 
 
 _MEMO: dict = {}

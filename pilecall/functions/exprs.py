@@ -16,11 +16,6 @@ def round_half_up(c, dp: int) -> Column:
     return F.floor(col(c) * F.lit(s) + F.lit(0.5)).cast("double") / F.lit(s)
 
 
-def base_quality(qual, idx0) -> Column:
-    """Phred value of the base at 0-based index ``idx0`` (ascii - 33)."""
-    return F.ascii(F.substring(col(qual), col(idx0) + 1, 1)) - 33
-
-
 def strand_bias(fwd, rev, bias: float = 0.05, minb: int = 2) -> Column:
     """0: too few reads and one strand only, 1: biased, 2: both strands."""
     f, r = col(fwd), col(rev)

@@ -12,19 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pilecall.operators.pileup import attach_windows, read_ops
+from pilecall.operators.pileup import RESCUED_3, RESCUED_5, attach_windows, read_ops
 from pilecall.params import CallParams
 
-_OK5 = (
-    "(start_pos - 1 - t > 0 AND start_pos - 1 - t <= contig_len AND start_pos - 1 - t >= wstart "
-    "AND substr(seq, len - t, 1) = substr(wseq, start_pos - 1 - t - wstart + 1, 1) "
-    "AND ascii(substr(seq_qual, len - t, 1)) - 33 > 10)"
-)
-_OK3 = (
-    "(substr(seq, qofs + t + 1, 1) = substr(wseq, seg_start + t - wstart + 1, 1) "
-    "AND ascii(substr(seq_qual, qofs + t + 1, 1)) - 33 > 10)"
-)
-
 
 def clip_bases(region_reads: DataFrame, ref_blocks: DataFrame, p: CallParams) -> DataFrame:
     """E11 per read: the clipped bases kept by the walk, as (region, side, pos, idx, base, q, dir)."""
@@ -33,8 +23,8 @@ def clip_bases(region_reads: DataFrame, ref_blocks: DataFrame, p: CallParams) ->
     is3 = (F.col("op") == "S") & (F.col("idx") == F.col("nops") - 1) & (F.col("idx") > 0)
     s = attach_windows(ops.where(is5 | is3), ref_blocks)
     s = s.withColumn("side", F.when(F.col("idx") == 0, F.lit(5)).otherwise(F.lit(3)))
-    ap = F.when(F.col("side") == 5, F.expr(f"array_position(transform(sequence(0, len - 1), t -> {_OK5}), false)")).otherwise(
-        F.expr(f"array_position(transform(sequence(0, len - 1), t -> {_OK3}), false)"))
+    ap = F.when(F.col("side") == 5, F.expr(f"array_position(transform(sequence(0, len - 1), t -> {RESCUED_5}), false)")).otherwise(
+        F.expr(f"array_position(transform(sequence(0, len - 1), t -> {RESCUED_3}), false)"))
     s = s.withColumn("rescued", F.when(ap == 0, F.col("len")).otherwise(ap - 1))
     s = s.withColumn("m", F.col("len") - F.col("rescued")).where(F.col("m") > 0)
     # read index of walk step t: 5' walks leftwards from the clip end, 3' rightwards

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pilecall.functions.exprs import homopolymer_start, low_complexity
 from pilecall.params import CallParams
 
 
@@ -15,13 +14,3 @@ def noise_flag(calls: DataFrame, p: CallParams) -> DataFrame:
     noise = (((q < 4.5) | ((q < 12) & ~F.col("qstd"))) & (cov <= 3)) | (
         (q < p.goodq) & (F.col("freq_raw") < 2 * p.lofreq) & (cov <= 1))
     return calls.withColumn("noise", noise)
-
-
-def low_complexity_flag(df: DataFrame, col: str, out: str = "low_complexity") -> DataFrame:
-    """One base makes up more than 75 % of ``col``."""
-    return df.withColumn(out, low_complexity(col))
-
-
-def homopolymer_flag(df: DataFrame, col: str, out: str = "homopolymer") -> DataFrame:
-    """A clip sequence that starts (after one base) with 7 A or 7 T."""
-    return df.withColumn(out, homopolymer_start(col))

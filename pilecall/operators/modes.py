@@ -141,10 +141,6 @@ def call_pileup(
     return out.join(genes, "region_id", "left")
 
 
-PAIRED_COLS = ["region_id", "pos", "allele", "status", "vartype", "start", "end", "ref_allele", "alt_allele",
-               "tumor_cov", "tumor_tcov", "tumor_freq", "normal_cov", "normal_tcov", "normal_freq"]
-
-
 def _sample_calls(reads, regions, contigs, ref_blocks, p):
     rr = region_reads(reads, regions, contigs, p)
     alleles, splices = pileup_tables(rr, ref_blocks, p)

@@ -192,6 +192,18 @@ _MNP_FOLD = (
 )
 
 
+# whether clipped base t (from the alignment outwards) matches the reference
+RESCUED_5 = (
+    "(start_pos - 1 - t > 0 AND start_pos - 1 - t <= contig_len AND start_pos - 1 - t >= wstart "
+    "AND substr(seq, len - t, 1) = substr(wseq, start_pos - 1 - t - wstart + 1, 1) "
+    "AND ascii(substr(seq_qual, len - t, 1)) - 33 > 10)"
+)
+RESCUED_3 = (
+    "(substr(seq, qofs + t + 1, 1) = substr(wseq, seg_start + t - wstart + 1, 1) "
+    "AND ascii(substr(seq_qual, qofs + t + 1, 1)) - 33 > 10)"
+)
+
+
 def _ref_events(ops: DataFrame, p: CallParams) -> DataFrame:
     """Ops joined to a reference window: MNP runs (E4), insertions (E5), clip rescue."""
     goodq = p.goodq
@@ -204,20 +216,11 @@ def _ref_events(ops: DataFrame, p: CallParams) -> DataFrame:
     empty = F.expr("cast(array() AS array<struct<s:int,l:int>>)")
     ops = ops.withColumn("mnps", F.when(is_m & (F.size("mmidx") >= 2), F.expr(_MNP_FOLD.format(goodq=goodq))).otherwise(empty))
     # -- soft clips: how many clipped bases are rescued
-    ok5 = (
-        "(start_pos - 1 - t > 0 AND start_pos - 1 - t <= contig_len AND start_pos - 1 - t >= wstart "
-        "AND substr(seq, len - t, 1) = substr(wseq, start_pos - 1 - t - wstart + 1, 1) "
-        "AND ascii(substr(seq_qual, len - t, 1)) - 33 > 10)"
-    )
-    ok3 = (
-        "(substr(seq, qofs + t + 1, 1) = substr(wseq, seg_start + t - wstart + 1, 1) "
-        "AND ascii(substr(seq_qual, qofs + t + 1, 1)) - 33 > 10)"
-    )
     is5 = (F.col("op") == "S") & (F.col("idx") == 0)
     is3 = (F.col("op") == "S") & (F.col("idx") == F.col("nops") - 1) & (F.col("idx") > 0)
     ap = (
-        F.when(is5, F.expr(f"array_position(transform(sequence(0, len - 1), t -> {ok5}), false)"))
-        .when(is3, F.expr(f"array_position(transform(sequence(0, len - 1), t -> {ok3}), false)"))
+        F.when(is5, F.expr(f"array_position(transform(sequence(0, len - 1), t -> {RESCUED_5}), false)"))
+        .when(is3, F.expr(f"array_position(transform(sequence(0, len - 1), t -> {RESCUED_3}), false)"))
     )
     ops = ops.withColumn("rescued", F.when(ap == 0, F.col("len")).otherwise(ap - 1))
     lo, hi = _m_range()

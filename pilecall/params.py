@@ -18,7 +18,6 @@ class CallParams:
     goodq: float = 25.0          # -q  good base quality
     mismatch: int = 8            # -m  max mismatches (NM - indel length)
     trim: int = 0                # -T  trim bases after this read position (0 = off)
-    vext: int = 3                # -X  look-ahead for complex variants
     read_pos_filter: int = 5     # -P  minimum mean read position
     qratio: float = 1.5          # -o  minimum high/low quality ratio
     mapq: float = 0.0            # -O  minimum mean mapping quality
@@ -33,10 +32,9 @@ class CallParams:
     remove_dups: bool = False    # -t
     minmatch: int = 0            # -M  minimum matched bases (M+I)
     downsample: float | None = None  # -Z fraction to drop (deterministic hash)
-    realign: bool = True         # -k  local realignment / CIGAR normalisation
+    realign: bool = True         # -k  local realignment; not available, so callers pass False
     move_indels_3: bool = False  # -3
     pileup: bool = False         # -p  emit every position
-    chr_is_number: bool = False  # -C  strip 'chr'
     flank: int = 700             # reference flank loaded around a region
     amplicon_dist: int = 10      # amplicon distance (10:0.95)
     amplicon_overlap: float = 0.95
