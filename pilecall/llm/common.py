@@ -39,6 +39,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def slices(batches, rows: int = 512):
+    """Arrow batches cut into parts of ``rows`` rows, so that a Python worker holds few texts at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def crc_mod(col: str, n: int) -> Column:
     """``crc32(col as text) mod n``; null for null."""
     return F.crc32(F.col(col).cast("string").cast("binary")) % n

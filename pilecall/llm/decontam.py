@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
+
 WORD = re.compile(r"[^\W_]+")
 
 
@@ -187,7 +189,7 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, p: DecontamParams = Decont
 
         def run(batches, shared=shared):
             index = shared.value
-            for batch in batches:
+            for batch in slices(batches):
                 old = batch.column(name)
                 hits = [
                     (had or []) + [dict(zip(("item_id", "at", "score", "question", "answer"), x)) for x in index.leaks(t)]

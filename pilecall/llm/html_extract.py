@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import slices, written
 
 # Element names of HTML by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -206,7 +206,7 @@ def host_paths(pages: DataFrame) -> DataFrame:
     """host, path: the path with the largest sum of votes in each host (the first by name on a tie)."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             votes = [vote_of(h) for h in batch.column("html").to_pylist()]
             kept = [i for i, v in enumerate(votes) if v]
             yield pa.RecordBatch.from_arrays(
@@ -228,7 +228,7 @@ def main_text(pages: DataFrame) -> DataFrame:
     rows = rows.join(host_paths(pages), "host", "left").select("page_id", "url", "html", "path")
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts = [text_at(h, p) for h, p in zip(batch.column("html").to_pylist(), batch.column("path").to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],

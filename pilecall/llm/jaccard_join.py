@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_written, release, written
+from .common import drop_written, release, slices, written
 from .graph import components
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -111,7 +111,7 @@ def zones(docs: DataFrame, p: JoinParams = JoinParams()) -> DataFrame:
 
     def run(batches):
         memo = WordHashes()
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingle_set(t, memo, k) for t in batch.column("text").to_pylist()]
             parts = [s[: zone_size(len(s))] for s in sets]
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int32)
@@ -177,7 +177,7 @@ def signatures(zoned: DataFrame, p: JoinParams = JoinParams()) -> DataFrame:
     heads = zoned.select("node", "n", F.element_at("zone", -1).alias("last"))
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             nodes, sizes, lasts = (batch.column(c).to_pylist() for c in ("node", "n", "last"))
             col = batch.column("tokens")
             offsets = np.asarray(col.offsets)
@@ -234,7 +234,7 @@ def full_sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, p: JoinParam
 
     def run(batches):
         memo, seen = WordHashes(), set()  # a repeated row meets its node again, in the same task
-        for batch in batches:
+        for batch in slices(batches):
             found, sets = batch.column("node").to_pylist(), batch.column("text").to_pylist()
             sets = [None if n in seen else shingle_set(t, memo, k) for n, t in zip(found, sets)]
             digests = batch.column("digest").to_pylist()

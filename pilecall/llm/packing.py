@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import default_tokenizer, written
+from .common import default_tokenizer, slices, written
 from .tokens import Encoder
 
 
@@ -51,7 +51,7 @@ def pieces(docs: DataFrame, p: PackParams = PackParams()) -> DataFrame:
 
     def run(batches):
         encoder = Encoder(*paths)
-        for batch in batches:
+        for batch in slices(batches):
             docs_, texts = batch.column("doc_id"), batch.column("text").to_pylist()
             where, piece, start, length, crc = [], [], [], [], []
             for k, text in enumerate(texts):
@@ -222,7 +222,7 @@ def pack(docs: DataFrame, p: PackParams = PackParams()) -> DataFrame:
 
     def run(batches):
         slots = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             lengths, ranks = np.asarray(batch.column("length")), np.asarray(batch.column("rank"))
             sequence, offset = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
             for n in np.unique(lengths).tolist():

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import slices, written
 from .jaccard_join import WordHashes, mixed
 
 SYMBOLS = "#*$%&|<>"
@@ -82,7 +82,7 @@ def features(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         memo = WordHashes()
-        for batch in batches:
+        for batch in slices(batches):
             rows = [measured(t, memo) for t in batch.column("text").to_pylist()]
             columns = zip(*rows) if rows else [[]] * len(FEATURES)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in columns)], names=["doc_id", *FEATURES])

@@ -22,6 +22,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
+
 KINDS = ("assign", "access", "hex", "novel")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -120,7 +122,7 @@ def with_spans(docs: DataFrame, p: SecretParams = SecretParams(), name: str = "s
 
     def run(batches):
         novelty = Novelty(p)
-        for batch in batches:
+        for batch in slices(batches):
             found = [[dict(zip(fields, s)) for s in spans_of(t, novelty)] for t in batch.column("text").to_pylist()]
             yield batch.append_column(name, pa.array(found, kind))
 
@@ -150,7 +152,7 @@ def redact(docs: DataFrame, p: SecretParams = SecretParams(), mark: str = "[secr
 
     def run(batches):
         novelty = Novelty(p)
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column("text").to_pylist()
             sizes = batch.column("n_chars").to_pylist() if "n_chars" in batch.schema.names else None
             for i, t in enumerate(texts):

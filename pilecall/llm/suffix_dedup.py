@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_written, release, written
+from .common import drop_written, release, slices, written
 from .jaccard_join import mixed
 
 
@@ -225,7 +225,7 @@ def segments(texts: DataFrame, p: SuffixParams, columns: list[str]) -> DataFrame
 
     def run(batches):
         anchors = Anchors(p)
-        for batch in batches:
+        for batch in slices(batches):
             ids, values = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
             for at in range(0, len(ids), 64):
                 found = []
@@ -245,7 +245,7 @@ def bands(texts: DataFrame, wanted: DataFrame, p: SuffixParams) -> DataFrame:
     rows = texts.join(listed, texts.doc_id == listed.doc).select("doc", "text", "list")
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             for doc, text, found in zip(*(batch.column(c).to_pylist() for c in ("doc", "text", "list"))):
                 data = (text or "").encode("utf-8", "replace")
                 spots = set()
@@ -277,7 +277,7 @@ def resolved(groups: DataFrame, p: SuffixParams) -> DataFrame:
     length, width = p.length, p.band
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             out: dict[str, list[int]] = {"doc": [], "start": [], "stop": []}
             for found in batch.column("list").to_pylist():
                 found.sort(key=lambda b: (b["doc"], b["at"]))  # a class's first band is then its first in the corpus
@@ -368,7 +368,7 @@ def without_repeats(docs: DataFrame, p: SuffixParams = SuffixParams()) -> DataFr
     rows = texts.join(listed, texts.doc_id == listed.doc, "left").select("doc_id", "text", "list")
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             kept, removed, runs, sizes = [], [], [], []
             for text, found in zip(batch.column("text").to_pylist(), batch.column("list").to_pylist()):
                 data = (text or "").encode("utf-8", "replace")

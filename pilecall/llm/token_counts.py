@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import default_tokenizer
+from .common import default_tokenizer, slices
 from .tokens import Encoder
 
 
@@ -46,7 +46,7 @@ def section_tokens(docs: DataFrame, tokenizer: tuple[str, str] | None = None) ->
 
     def run(batches):
         encoder = Encoder(*paths)
-        for batch in batches:
+        for batch in slices(batches):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for at in range(0, len(texts), 200):
                 part = texts[at : at + 200]

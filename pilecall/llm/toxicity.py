@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod
+from .common import crc_mod, slices
 
 RUN = re.compile(r"[^\W\d_]{1,64}")
 
@@ -332,7 +332,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, p: ToxicParams = ToxicParams())
 
     def run(batches):
         scorer = Scorer(shared.value)
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column("text").to_pylist()
             parts = [scorer.scores(texts[at : at + 200]) for at in range(0, len(texts), 200)]
             scores = np.concatenate(parts).astype(float) if parts else np.empty(0)
