@@ -361,9 +361,10 @@ def pileup_tables(region_reads: DataFrame, ref_blocks: DataFrame, p: CallParams)
     return alleles, spl
 
 
-def coverage(alleles: DataFrame) -> DataFrame:
-    """Depth per (region, pos) from the aggregated rows."""
-    return alleles.groupBy(*_REGION_KEYS, "pos").agg(F.sum("cov_add").alias("cov"))
+def coverage(region_reads: DataFrame, ref_blocks: DataFrame, p: CallParams) -> DataFrame:
+    """Depth per (region, pos), summed from the events without their alleles."""
+    events = pileup_events(region_reads, ref_blocks, p)
+    return events.groupBy(*_REGION_KEYS, "pos").agg(F.sum("cov").cast("long").alias("cov"))
 
 
 def splice_counts(region_reads: DataFrame) -> DataFrame:

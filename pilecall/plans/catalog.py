@@ -163,7 +163,7 @@ def q_deletion_pileup(spark, sf):
 
 
 def q_coverage(spark, sf):
-    cov = PU.coverage(_alleles(spark, sf))
+    cov = PU.coverage(_rr(spark, sf), _fx(spark, sf)["ref_blocks"], CHECK)
     return cov.where((F.col("pos") >= F.col("region_start")) & (F.col("pos") <= F.col("region_end"))).select("region_id", "pos", "cov")
 
 
