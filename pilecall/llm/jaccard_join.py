@@ -14,13 +14,14 @@ more. The join finds every link that joins two different groups, in these steps:
    then withstands ``c - 1`` misses, the prefix is extended until all its classes
    together withstand every allowed miss. A zone too small for that indexes each
    shingle alone as well.
-4. *Pairs.* Members of one signature are compared with the signature's hub (the member
-   whose zone is the most shared), first only with the closest hub, then with all hubs.
-   Where the members around one hub still are in several components, they are compared
-   with each other across components; what each shares with the hub, and how much of the
-   rest some other set holds, bounds what two of them can share, so most pairs end there. Pairs already in one component, of unfit
-   sizes, or with too many unshared zone shingles are not compared. Every compared pair
-   is verified on the full sets.
+4. *Pairs.* Every member of a signature is compared with the closest of its signatures'
+   hubs (a hub is the member whose zone is the most shared). The members of all
+   signatures whose hubs ended in one component are a family and are compared with its
+   centre. Members that still are in other components than the centre are then compared
+   with the family's other members; what each shares with the centre, and how much of
+   the rest some other set holds, bounds what two of them can share, so most pairs end
+   there, as do pairs of unfit sizes or with too many unshared zone shingles. Every
+   compared pair is verified on the full sets.
 
 Documents with equal sets are one node from the start.
 
@@ -263,60 +264,60 @@ def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
 def linked_nodes(docs: DataFrame, nodes: DataFrame, sigs: DataFrame, p: JoinParams) -> DataFrame:
     """node, label: the components among the nodes that share a signature."""
     spark = docs.sparkSession
-    members = sigs.select("node").distinct()
+    facts = written(sigs.groupBy("node").agg(*(F.first(c).alias(c) for c in ("n", "last", "lone", "shared"))), "facts")
+    members = facts.select("node")
     hub = F.max_by(F.struct("node", "n", "last", "lone"), F.struct("shared", -F.col("node")))
-    hubs = sigs.groupBy("sig").agg(hub.alias("hub")).select("sig", "hub.*")
-    star = sigs.alias("y").join(hubs.alias("x"), "sig").where(F.col("x.node") != F.col("y.node"))
-    star = star.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), *(F.col(f"y.{c}") for c in ("n", "last", "lone")), fits("x", "y").alias("fits"))
-    star = star.groupBy("a", "b").agg(F.count("*").alias("common"), *(F.first(c).alias(c) for c in ("n", "last", "lone", "fits")))
-    star = written(star, "star")
+    hubs = written(sigs.groupBy("sig").agg(hub.alias("hub")).select("sig", "hub.*"), "hubs")
+    star = sigs.alias("y").join(hubs.alias("x"), "sig").where((F.col("x.node") != F.col("y.node")) & fits("x", "y"))
+    star = star.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).groupBy("a", "b").agg(F.count("*").alias("common"))
+    closest = star.groupBy("b").agg(F.max_by("a", F.struct("common", -F.col("a"))).alias("a")).select("a", "b")
+    closest = written(closest, "closest")
     release(spark)
     sets = full_sets(docs, nodes, members, p)
-    labels = written(members.withColumn("label", F.col("node")), "joined")
-    drop_written(sigs)
     release(spark)
 
-    def apart(pairs: DataFrame) -> DataFrame:
-        """Pairs whose ends are in different components by now."""
-        a = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
-        b = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
-        return pairs.join(a, "a").join(b, "b").where("la <> lb").select("a", "b")
-
-    def join_by(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def join_by(labels: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
         checked = written(compared(pairs, sets), "checked")
         after = relabelled(labels, checked.where("linked").select("a", "b"))
         drop_written(labels)
         release(spark)
         return after, checked
 
-    fit = star.where("fits")
-    closest = fit.groupBy("b").agg(F.max_by("a", F.struct("common", -F.col("a"))).alias("a")).select("a", "b")
-    labels, first = join_by(closest)
-    labels, second = join_by(apart(fit))
-    # Hubs around which several components are left: the members around one hub against each other, across
-    # components only. What two sets share lies within what both share with the hub, and what neither does.
-    known = first.union(second).select("a", "b", "inter").dropDuplicates(["a", "b"])
-    around = star.join(labels.withColumnRenamed("node", "b"), "b").join(known, ["a", "b"], "left")
-    several = around.groupBy("a").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("a")
-    rest = written(around.join(several, "a").select("a", F.col("b").alias("node"), "label", "n", "last", "lone", "inter"), "around")
+    labels, first = join_by(written(members.withColumn("label", F.col("node")), "joined"), closest)
+    # A family: the members of all signatures whose hubs are in one component by now, around the component's
+    # most shared hub. Two members of a signature are in one family at least.
+    hub_labels = hubs.select("sig", "node").join(labels, "node").select("sig", F.col("label").alias("family"))
+    family = written(sigs.select("sig", "node").join(hub_labels, "sig").groupBy("family", "node").agg(F.lit(1).alias("one")), "family")
+    drop_written(sigs)
+    centre = hubs.select("node").distinct().join(labels, "node").join(facts.select("node", "shared"), "node")
+    centre = centre.groupBy(F.col("label").alias("family")).agg(F.max_by("node", F.struct("shared", -F.col("node"))).alias("a"))
+    family = written(family.join(centre, "family").where(F.col("a") != F.col("node")).select("a", "node"), "families")
+    drop_written(hubs, closest)
+    labels, second = join_by(labels, family.select("a", F.col("node").alias("b")))
+    # Members that are not in their centre's component against the other members. What two sets share is in the
+    # centre and in both, or not in the centre and in another set.
+    inside = second.select("a", F.col("b").alias("node"), "inter").dropDuplicates(["a", "node"])
+    around = inside.join(labels, "node").join(labels.select(F.col("node").alias("a"), F.col("label").alias("main")), "a")
+    several = around.where("label <> main").select("a").distinct()
+    around = written(around.join(several, "a", "left_semi").join(facts.drop("shared"), "node"), "around")
     # shingles that no other of these sets holds are shared with none of them
-    still = rest.select("node").union(rest.select("a")).distinct()
+    still = around.select("node").union(around.select("a")).distinct()
     items = sets.join(still, "node", "left_semi").select("node", F.explode("items").alias("item"))
-    alone = items.groupBy("item").agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1")
+    alone = items.groupBy("item").agg(F.count("*").alias("k"), F.min("node").alias("node")).where("k = 1")
     alone = written(alone.groupBy("node").agg(F.count("*").alias("alone")), "alone")
-    rest = rest.join(alone, "node", "left").withColumn("held", F.col("n") - F.coalesce("alone", F.lit(0)))
-    rest = rest.withColumn("inside", F.coalesce("inter", "held")).withColumn("outside", F.col("held") - F.coalesce("inter", F.lit(0)))
-    rest = written(rest.select("a", "node", "label", "n", "last", "lone", "inside", "outside"), "rest")
-    x, y = rest.alias("x"), rest.alias("y")
-    most = F.least("x.inside", "y.inside") + F.least("x.outside", "y.outside")
+    rest = around.join(alone, "node", "left").withColumn("outside", F.col("n") - F.coalesce("alone", F.lit(0)) - F.col("inter"))
+    rest = written(rest.select("a", "node", "label", "main", "n", "last", "lone", "inter", "outside"), "rest")
+    x, y = rest.where("label <> main").alias("x"), rest.alias("y")
+    most = F.least("x.inter", "y.inter") + F.least("x.outside", "y.outside")
+    once = (F.col("y.label") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))
     across = x.join(
         y,
-        (F.col("x.a") == F.col("y.a")) & (F.col("x.label") < F.col("y.label")) & fits("x", "y") & (7 * most >= 3 * (F.col("x.n") + F.col("y.n"))),
+        (F.col("x.a") == F.col("y.a")) & (F.col("x.label") != F.col("y.label")) & once
+        & fits("x", "y") & (7 * most >= 3 * (F.col("x.n") + F.col("y.n"))),
     )
     across = across.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    seen = known.select("a", "b").union(known.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    labels, last = join_by(across.join(seen, ["a", "b"], "left_anti"))
-    drop_written(rest, star, sets, first, second, last, alone)
+    labels, last = join_by(labels, across)
+    drop_written(facts, family, around, rest, alone, sets, first, second, last)
     return labels
 
 
