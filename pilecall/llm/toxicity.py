@@ -38,7 +38,6 @@ class ToxicParams:
     hidden: int = 8  # states of each direction
     sample_docs: int = 900  # labelled toxic rows used for training, about
     clean_docs: int = 1400  # labelled clean rows used for training, about
-    sample_chars: int = 6000  # leading code points of each of them
     kept_out: int = 4  # every so manieth sampled document serves the calibration instead of the training
     dropout: float = 0.1  # share of a word's features left out in each training step
     epochs: int = 1  # on all windows
@@ -270,7 +269,7 @@ def calibration(x: np.ndarray, y: np.ndarray, odds: float | None = None) -> tupl
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, p: ToxicParams) -> tuple[list[tuple[str, int]], float]:
-    """A bounded sample of the usable labelled rows by a hash of the identifier, and the odds of toxic among all of them."""
+    """A bounded sample of the usable labelled rows by a hash of the identifier, whole texts, and the odds of toxic among all of them."""
     usable = labels.where(F.col("toxic").isin(0, 1) & (crc_mod("doc_id", 5) != 0)).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     usable = usable.dropDuplicates(["doc_id", "toxic"])
     sizes = {r["toxic"]: r["n"] for r in usable.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -280,7 +279,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, p: ToxicParams) -> tuple
     share = F.create_map(*(F.lit(x) for y, n in sizes.items() for x in (y, min(1.0, limits[y] / n))))
     spot = F.pmod(F.xxhash64("doc_id", F.lit("toxic sample")), F.lit(1 << 20)) / float(1 << 20)
     picked = usable.where(spot < share[F.col("toxic")])
-    texts = docs.where(F.col("text").isNotNull()).select("doc_id", F.substring("text", 1, p.sample_chars).alias("text"))
+    texts = docs.where(F.col("text").isNotNull()).select("doc_id", F.col("text").cast("string").alias("text"))
     rows = texts.join(F.broadcast(picked), "doc_id").select("doc_id", "text", "toxic")  # the limits bound what is broadcast
     rows = rows.limit(2 * sum(limits.values())).toLocalIterator()
     return [x[1:] for x in sorted((zlib.crc32(str(r["doc_id"]).encode()), r["text"], r["toxic"]) for r in rows)], sizes[1] / sizes[0]

@@ -71,3 +71,11 @@ def test_odd_rows(spark):
     assert T.toxicity(empty_docs(spark), labels).count() == 0
     unlabelled = T.toxicity(docs_of(spark, {1: "some words"}), labels.limit(0)).collect()
     assert [(r.score, r.predicted) for r in unlabelled] == [(0.0, 0)]
+
+
+def test_sampled_rows_are_whole(spark):
+    """A passage at the end of a long row is part of the training and of the calibration."""
+    texts = {i: "plain words " * 1500 + f"end{i}" for i in range(20)}
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in texts], "doc_id bigint, quality int, toxic int")
+    rows, odds = T.training_sample(docs_of(spark, texts), labels, T.ToxicParams())
+    assert rows and all(len(t) > 18_000 and t in texts.values() for t, _ in rows) and odds > 0
