@@ -3,7 +3,8 @@
 Besides the three base patterns, candidate strings near sensitive words are measured by
 how many bytes they add: the compressor is primed with a dictionary of identifiers and
 the text around the candidate, and the candidate's marginal size is the difference
-between compressing the surroundings with and without it. Strings that the surroundings
+between compressing the surroundings with and without it. Copies of the candidate are
+taken out of its surroundings, and all occurrences of a reported string are reported. Strings that the surroundings
 and the dictionary do not explain (``novelty`` bytes a character or more) are reported
 as ``novel``, unless a base span overlaps them.
 
@@ -61,6 +62,30 @@ class SecretParams:
     level: int = 3
 
 
+def core_of(s: str, least: int) -> str:
+    """The longest part of a candidate between ``=``, or all of it if that is short."""
+    part = max(s.split("="), key=len)
+    return part if len(part) >= least else s
+
+
+def occurrences(text: str, s: str, lo: int, hi: int) -> list[int]:
+    """Starts of all occurrences of ``s`` in ``text[lo:hi]``, overlapping ones too."""
+    out, at = [], text.find(s, lo, hi)
+    while at >= 0:
+        out.append(at)
+        at = text.find(s, at + 1, hi)
+    return out
+
+
+def without(text: str, s: str, lo: int, hi: int) -> str:
+    """``text[lo:hi]`` without the characters of any occurrence of ``s``, those across its ends included."""
+    parts, at = [], lo
+    for spot in occurrences(text, s, max(0, lo - len(s) + 1), hi + len(s) - 1):
+        parts.append(text[at : max(at, spot)])
+        at = min(hi, max(at, spot + len(s)))
+    return "".join(parts) + text[at:hi]
+
+
 class Novelty:
     """Marginal compressed size of strings within their surroundings."""
 
@@ -72,8 +97,10 @@ class Novelty:
 
     def __call__(self, text: str, start: int, end: int) -> float:
         """Added bytes for each character of ``text[start:end]``."""
-        before = text[max(0, start - self.p.around) : start].encode("utf-8", "replace")
-        after = text[end : end + self.p.around].encode("utf-8", "replace")
+        near = self.p.around
+        core = core_of(text[start:end], self.p.least_chars)
+        before = without(text, core, max(0, start - near), start).encode("utf-8", "replace")
+        after = without(text, core, end, min(len(text), end + near)).encode("utf-8", "replace")
         with_it = len(self.zstd.compress(before + after + text[start:end].encode("utf-8", "replace")))
         return (with_it - len(self.zstd.compress(before + after))) / (end - start)
 
@@ -96,7 +123,7 @@ def spans_of(text: str | None, novelty: Novelty) -> list[tuple[int, int, str, in
         out += [(m.start(), m.end(), "access", m.start(), None) for m in ACCESS.finditer(text) if len(m[0]) >= 20]
     out += [(m.start(), m.end(), "hex", m.start(), None) for m in HEX.finditer(text)]
     if marked:
-        p, taken, done = novelty.p, sorted((s, e) for s, e, *_ in out), 0
+        p, taken, done, found = novelty.p, sorted((s, e) for s, e, *_ in out), 0, {}
         for word in SENSITIVE.finditer(text):
             at = max(done, word.end())
             # a candidate starts within reach of the word; it is taken whole
@@ -107,9 +134,35 @@ def spans_of(text: str | None, novelty: Novelty) -> list[tuple[int, int, str, in
                 value = novelty(text, m.start(), m.end())
                 if value >= p.novelty:
                     out.append((m.start(), m.end(), "novel", m.start(), value))
+                    found.setdefault(m[0], value)
+        out += copies(text, found, out, p)
     return sorted(out, key=lambda x: (x[0], KINDS.index(x[2])))
 
 
+def copies(text: str, found: dict[str, float], spans: list, p: SecretParams) -> list[tuple[int, int, str, int, float | None]]:
+    """Spans of all other occurrences of the strings (or their random cores) in ``found``; none overlaps another span."""
+    parts = {}
+    for s, value in found.items():
+        core = core_of(s, p.least_chars)
+        parts.setdefault(core if looks_random(core) else s, value)
+    places = {}
+    for s, value in parts.items():
+        for at in occurrences(text, s, 0, len(text)):
+            if len(s) > places.get(at, (0,))[0]:
+                places[at] = (len(s), value)
+    taken, out = sorted((s, e) for s, e, *_ in spans), []
+    k, last = 0, 0
+    for at in sorted(places):
+        size, value = places[at]
+        while k < len(taken) and taken[k][0] < at + size:
+            last = max(last, taken[k][1])
+            k += 1
+        if last <= at:
+            out.append((at, at + size, "novel", at, value))
+            last = at + size
+    return out
+
+
 SPAN = "array<struct<start:bigint,stop:bigint,kind:string,value:bigint,novelty:double>>"
 
 

@@ -51,6 +51,16 @@ def test_novel_strings():
     assert not S.spans_of(f"no such word near {key}", novelty)
 
 
+def test_every_copy_of_a_secret_is_reported():
+    novelty = S.Novelty(S.SecretParams())
+    key = "q9Xz81LmPw03RtVb77YkHs52GdAe64JnUc19"
+    line = f"curl with the bearer {key} first\n"
+    for text in (line * 2, line * 5, line + "plain words " * 300 + key, f"the bearer a={key} and b={key} of both"):
+        spans = S.spans_of(text, novelty)
+        assert text.count(key) == len(spans) and all(key in text[s[0] : s[1]] and s[2] == "novel" for s in spans)
+    assert S.without("xabcabcaby", "abca", 2, 9) == "b" and S.without("abc", "zz", 0, 3) == "abc"
+
+
 def test_redaction_keeps_the_rest(spark):
     docs = docs_of(spark, {1: 'x token = "0123456789abcdef0123456789" y', 2: "plain", 3: None})
     got = {r.doc_id: r for r in S.redact(docs).collect()}
