@@ -16,7 +16,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
@@ -32,6 +34,7 @@ HEX = re.compile(r"[0-9a-f]{24,}")  # the maximal runs of 24 and more
 SENSITIVE = re.compile(r"pass(?:word|wd|phrase)|secret|token|api[ _-]?key|access[ _-]?key|private[ _-]?key|credential|bearer|authorization", re.I | re.A)
 MARKS = ("pass", "secret", "token", "key", "credential", "bearer", "authorization")  # one is in every text that SENSITIVE or ASSIGN matches
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.-]+")
+GAP = re.compile(r"""[\s"'`\\,]*""")  # between the parts of one value
 
 # Identifiers and phrases that code around secrets is made of.
 IDENTIFIERS = (
@@ -111,6 +114,71 @@ def looks_random(s: str) -> bool:
     return sum(k is not None for k in kinds) >= 2
 
 
+def pieces_of(text: str, words: list[tuple[int, int]], near: int) -> list[tuple[int, int, bool]]:
+    """(start, end, within reach of a word) of the candidates of ``text``, in order.
+
+    A candidate that starts within reach after a word is taken whole; another one that holds a
+    word is cut there.
+    """
+    starts, ends = [s for s, _ in words], [e for _, e in words]
+    out = []
+    for m in CANDIDATE.finditer(text):
+        s, e = m.span()
+        k = bisect_right(ends, s)  # the words before it
+        reached = k > 0 and s <= ends[k - 1] + near
+        if reached or k == len(words) or starts[k] >= e:
+            after = bisect_left(starts, e)
+            out.append((s, e, reached or after < len(words) and starts[after] - near <= e))
+        else:
+            out += [x for x in ((s, starts[k], True), (ends[k], e, True)) if x[0] < x[1]]
+    return out
+
+
+def near_words(text: str, taken: list[tuple[int, int]], novelty: Novelty) -> list[tuple[int, int, float]]:
+    """(start, end, novelty) of the novel candidates near sensitive words, on both sides.
+
+    The reach runs on, both ways, from each of them to the candidates that only white space,
+    quotes and the like part from it, as between the lines of a key.
+    """
+    p = novelty.p
+    words = [m.span() for m in SENSITIVE.finditer(text)]
+    if not words:
+        return []
+    pieces = pieces_of(text, words, p.near)
+    begins = [s for s, _ in taken]
+    highest = list(accumulate((e for _, e in taken), max))
+    values: dict[int, float] = {}
+    seen: set[int] = set()
+
+    def measure(i: int) -> bool:
+        if i not in seen:
+            seen.add(i)
+            s, e, _ = pieces[i]
+            k = bisect_left(begins, e)
+            if e - s >= p.least_chars and looks_random(text[s:e]) and not (k and highest[k - 1] > s):
+                value = novelty(text, s, e)
+                if value >= p.novelty:
+                    values[i] = value
+        return i in values
+
+    def run_on(i: int, step: int) -> None:
+        at = i
+        while 0 <= (j := at + step) < len(pieces):
+            left, right = min(at, j), max(at, j)
+            if not GAP.fullmatch(text, pieces[left][1], pieces[right][0]):
+                return
+            # a joining sign or the letter of an escape is passed over
+            if pieces[j][1] - pieces[j][0] > 2 and (j in seen or not measure(j)):
+                return
+            at = j
+
+    for i, (_, _, reached) in enumerate(pieces):
+        if reached and i not in seen and measure(i):
+            run_on(i, 1)
+            run_on(i, -1)
+    return [(*pieces[i][:2], values[i]) for i in sorted(values)]
+
+
 def spans_of(text: str | None, novelty: Novelty) -> list[tuple[int, int, str, int, float | None]]:
     """(start, end, kind, start of the value, novelty) by start, then kind as listed."""
     text = text or ""
@@ -123,18 +191,10 @@ def spans_of(text: str | None, novelty: Novelty) -> list[tuple[int, int, str, in
         out += [(m.start(), m.end(), "access", m.start(), None) for m in ACCESS.finditer(text) if len(m[0]) >= 20]
     out += [(m.start(), m.end(), "hex", m.start(), None) for m in HEX.finditer(text)]
     if marked:
-        p, taken, done, found = novelty.p, sorted((s, e) for s, e, *_ in out), 0, {}
-        for word in SENSITIVE.finditer(text):
-            at = max(done, word.end())
-            # a candidate starts within reach of the word; it is taken whole
-            while (m := CANDIDATE.search(text, at)) and m.start() <= word.end() + p.near:
-                at = done = m.end()
-                if m.end() - m.start() < p.least_chars or not looks_random(m[0]) or any(s < m.end() and m.start() < e for s, e in taken):
-                    continue
-                value = novelty(text, m.start(), m.end())
-                if value >= p.novelty:
-                    out.append((m.start(), m.end(), "novel", m.start(), value))
-                    found.setdefault(m[0], value)
+        p, found = novelty.p, {}
+        for start, end, value in near_words(text, sorted((s, e) for s, e, *_ in out), novelty):
+            out.append((start, end, "novel", start, value))
+            found.setdefault(text[start:end], value)
         out += copies(text, found, out, p)
     return sorted(out, key=lambda x: (x[0], KINDS.index(x[2])))
 
