@@ -106,8 +106,14 @@ def need(n: int) -> int:
     return min(extra(least), least - least // 4) if n else 0
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with _key1, _key2: a 128-bit key of each row's identifier and text, the same at every reading."""
+    row = (F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+    return docs.withColumns({"_key1": F.xxhash64(*row), "_key2": F.xxhash64(F.lit("row"), *row)})
+
+
 def zones(docs: DataFrame, p: JoinParams = JoinParams()) -> DataFrame:
-    """node, doc_id, n (set size), digest (of the set), zone (first shingle hashes): one row per document, written."""
+    """node, doc_id, _key1, _key2 (key of the row), n (set size), digest (of the set), zone (first shingle hashes): one row per document, written."""
     k = p.words
 
     def run(batches):
@@ -119,16 +125,16 @@ def zones(docs: DataFrame, p: JoinParams = JoinParams()) -> DataFrame:
             zone = pa.ListArray.from_arrays(offsets, np.concatenate(parts) if parts else np.empty(0, np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"),
+                    *(batch.column(c) for c in ("doc_id", "_key1", "_key2")),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                     zone,
                 ],
-                names=["doc_id", "n", "digest", "zone"],
+                names=["doc_id", "_key1", "_key2", "n", "digest", "zone"],
             )
 
-    schema = "doc_id bigint, n bigint, digest binary, zone array<bigint>"
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    schema = "doc_id bigint, _key1 bigint, _key2 bigint, n bigint, digest binary, zone array<bigint>"
+    rows = keyed(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), "_key1", "_key2")
     found = rows.mapInArrow(run, schema)
     return written(found.select(F.monotonically_increasing_id().alias("node"), "*"), "zones")
 
@@ -227,10 +233,15 @@ def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", "inter", linked.alias("linked"))
 
 
+def own_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node, text, digest: the texts of ``nodes``, each met by its own row (and its repetitions) only."""
+    texts = keyed(docs).select("_key1", "_key2", F.col("text").cast("string").alias("text"))
+    return texts.join(nodes, ["_key1", "_key2"]).select("node", "text", "digest")
+
+
 def full_sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, p: JoinParams) -> DataFrame:
     """node, items (all shingle hashes) of the nodes in ``wanted``, written."""
     ids = nodes.join(wanted, "node", "left_semi")
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     k = p.words
 
     def run(batches):
@@ -248,8 +259,7 @@ def full_sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, p: JoinParam
             items = pa.ListArray.from_arrays(offsets, np.concatenate([np.empty(0, np.int64), *(sets[i] for i in keep)]))
             yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(keep, pa.int64())), items], names=["node", "items"])
 
-    rows = texts.join(ids, texts.doc_id.eqNullSafe(ids.doc_id)).select("node", "text", "digest")
-    return written(rows.mapInArrow(run, "node bigint, items array<bigint>"), "sets")
+    return written(own_texts(docs, ids).mapInArrow(run, "node bigint, items array<bigint>"), "sets")
 
 
 def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -330,7 +340,7 @@ def clustered(docs: DataFrame, p: JoinParams = JoinParams()) -> DataFrame:
     drop_written(every)
     release(docs.sparkSession)
     sigs = signatures(zoned, p)
-    nodes = written(zoned.select("node", "doc_id", "digest"), "nodes")
+    nodes = written(zoned.select("node", "_key1", "_key2", "digest"), "nodes")
     drop_written(zoned)
     labels = linked_nodes(docs, nodes, sigs, p)
     # a set's label; the smallest identifier of each label, map-side combined

@@ -101,3 +101,13 @@ def test_odd_rows(spark):
     kept = J.keep_one(docs)
     assert kept.columns == docs.columns and kept.count() == 7  # the repeated row once
     assert J.near_duplicates(empty_docs(spark)).count() == 0
+
+
+def test_texts_without_an_identifier_meet_their_own_node_only(spark):
+    """Null or equal identifiers don't pair every row of a group with every node."""
+    texts = ["a common start of every text here " + " ".join(f"w{i % 9}x{j}" for j in range(12)) + f" end{i}" for i in range(60)]
+    docs, p = docs_of(spark, [(None if i % 2 else 5, t) for i, t in enumerate(texts)]), J.JoinParams()
+    zoned = J.zones(docs, p)
+    assert J.own_texts(docs, zoned).count() == 60
+    sets = J.full_sets(docs, zoned, zoned.select("node"), p)
+    assert sets.count() == 60 and sets.select("node").distinct().count() == 60
