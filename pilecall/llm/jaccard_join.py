@@ -331,41 +331,48 @@ def linked_nodes(docs: DataFrame, nodes: DataFrame, sigs: DataFrame, p: JoinPara
     return labels
 
 
-def clustered(docs: DataFrame, p: JoinParams = JoinParams()) -> DataFrame:
-    """node, doc_id, n_shingles, component_id: one row per document."""
+def grouped(docs: DataFrame, p: JoinParams = JoinParams()) -> tuple[DataFrame, DataFrame]:
+    """Rows (node, doc_id, key, n, digest: one per document), and for each digest of a set that isn't empty its
+    component's smallest identifier and first row (by identifier, nulls last, then node)."""
     every = zones(docs, p)
     first = every.where("n > 0").groupBy("digest").agg(F.min("node").alias("node"))
     zoned = written(every.join(first.select("node"), "node", "left_semi"), "distinct-zones")
-    rows = written(every.select("node", "doc_id", "n", "digest"), "rows")
+    rows = written(every.select("node", "doc_id", "_key1", "_key2", "n", "digest"), "rows")
     drop_written(every)
     release(docs.sparkSession)
     sigs = signatures(zoned, p)
     nodes = written(zoned.select("node", "_key1", "_key2", "digest"), "nodes")
     drop_written(zoned)
     labels = linked_nodes(docs, nodes, sigs, p)
-    # a set's label; the smallest identifier of each label, map-side combined
+    # a set's label; the first row of each label, map-side combined
     labelled = nodes.join(labels, "node", "left").select("digest", F.coalesce("label", "node").alias("label"))
-    lowest = rows.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("lowest")).join(labelled, "digest")
-    ids = lowest.groupBy("label").agg(F.min("lowest").alias("component_id"))
-    named = written(lowest.join(ids, "label").select("digest", "component_id"), "named")
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "node", "_key1", "_key2")
+    lowest = rows.where("n > 0").groupBy("digest").agg(F.min(place).alias("lowest")).join(labelled, "digest")
+    ids = lowest.groupBy("label").agg(F.min("lowest").alias("first"))
+    named = lowest.join(ids, "label").select("digest", F.col("first.doc_id").alias("component_id"), "first")
+    named = written(named, "named")
     drop_written(nodes, labels)
     release(docs.sparkSession)
-    out = rows.join(named, "digest", "left")
-    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("node", "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return rows, named
 
 
 def near_duplicates(docs: DataFrame, p: JoinParams = JoinParams()) -> DataFrame:
     """doc_id, n_shingles, component_id: one row per document."""
-    return clustered(docs, p).select("doc_id", "n_shingles", "component_id")
+    rows, named = grouped(docs, p)
+    out = rows.join(named.select("digest", "component_id"), "digest", "left")
+    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
 def keep_one(docs: DataFrame, p: JoinParams = JoinParams()) -> DataFrame:
-    """Documents that are the smallest of their component; columns unchanged, repeated rows once.
+    """One row of each component, its first by identifier (nulls last); columns unchanged, repeated rows once.
 
-    Rows without ``doc_id`` stay unless their component has an identified document.
+    Rows without words are near nothing and all stay, but for repetitions of one identifier and text.
     """
-    result = near_duplicates(docs, p)
-    lost = result.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    named = docs.where(F.col("doc_id").isNotNull()).join(lost, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return named.select(docs.columns).union(docs.where(F.col("doc_id").isNull()).select(docs.columns))
+    rows, named = grouped(docs, p)
+    key = ["_key1", "_key2"]
+    wordless = rows.where("n = 0")
+    once = named.select("first._key1", "first._key2").union(wordless.where("doc_id is not null").select(key)).distinct()
+    kept = keyed(docs).join(once, key, "left_semi").dropDuplicates(key).select(docs.columns)
+    loose = wordless.where("doc_id is null").select(key).distinct()
+    return kept.union(keyed(docs.where(F.col("doc_id").isNull())).join(loose, key, "left_semi").select(docs.columns))

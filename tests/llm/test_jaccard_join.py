@@ -111,3 +111,14 @@ def test_texts_without_an_identifier_meet_their_own_node_only(spark):
     assert J.own_texts(docs, zoned).count() == 60
     sets = J.full_sets(docs, zoned, zoned.select("node"), p)
     assert sets.count() == 60 and sets.select("node").distinct().count() == 60
+
+
+def test_one_row_of_each_component_stays(spark):
+    """Copies without identifiers are reduced to one; two texts under one identifier both stay."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(30)) for x in "abcd")
+    rows = [(None, a), (None, a), (None, a + " more"), (4, b), (4, c), (4, c), (None, b), (6, d), (7, d), (None, ""), (None, None)]
+    kept = [(r.doc_id, r.text) for r in J.keep_one(docs_of(spark, rows)).collect()]
+    assert len(kept) == 6
+    unnamed = [t for i, t in kept if i is None]
+    assert sum(t in (a, a + " more") for t in unnamed) == 1 and unnamed.count("") == 1 and unnamed.count(None) == 1
+    assert sorted((i, t) for i, t in kept if i is not None) == [(4, b), (4, c), (6, d)]
