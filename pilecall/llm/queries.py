@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, html_extract, jaccard_join, langid, packing, quality_rules, secret_scan, suffix_dedup, token_counts, toxicity
+from . import conversation_trie, decontam, html_extract, jaccard_join, langid, mixing, packing, quality_rules, secret_scan, suffix_dedup, token_counts, toxicity, whitening
 from .common import table
 
 
@@ -50,6 +50,18 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -68,10 +80,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_quality_rules,
         op9_token_counts,
         op10_ngram_jaccard_join,
+        op11_mixing_sources,
+        op12_conversation_trie,
+        op13_embedding_whitening,
         pipeline,
     )
     return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op12_conversation_trie": conversation_trie.ORACLE}
