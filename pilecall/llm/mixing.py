@@ -223,7 +223,8 @@ def mixed(lines: DataFrame, sources: list[Source], p: MixParams = MixParams()) -
     parts = words.withColumn("block", F.explode(F.expr("sequence(at div words, (at + size - 1) div words)")))
     first, last = F.greatest("at", F.expr("block * words")), F.least(F.expr("at + size"), F.expr("(block + 1) * words"))
     parts = parts.select("number", "block", "doc_id", "text_key", "at", (first - F.col("at")).alias("start"), (last - first).alias("length"))
-    return draws.join(parts, ["number", "block"]).select("shard", "place", "number", "epoch", "doc_id", "text_key", "at", "start", "length")
+    # made rows have no size that Spark could know: no broadcast of what grows with the mix
+    return draws.hint("merge").join(parts, ["number", "block"]).select("shard", "place", "number", "epoch", "doc_id", "text_key", "at", "start", "length")
 
 
 def mixed_texts(docs: DataFrame, p: MixParams = MixParams()) -> DataFrame:
@@ -246,7 +247,7 @@ def taken(docs: DataFrame, p: MixParams = MixParams()) -> DataFrame:
     got = mixed(lines, sources, p).groupBy("number", "at").agg(F.sum("length").alias("taken"))
     table = spark.createDataFrame([(s.name, i, s.size, s.target) for i, s in enumerate(sources)], "of string, number bigint, source_size bigint, target double")
     rows = lines.join(table, F.col("source").eqNullSafe(F.col("of")))
-    full = rows.where("size > 0").join(got, ["number", "at"], "left")
+    full = rows.where("size > 0").join(got.hint("merge"), ["number", "at"], "left")
     empty = rows.where("size = 0").withColumn("taken", F.lit(0).cast("bigint"))
     out = ["doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("bigint")).alias("taken"), "source"]
     return full.select(out).union(empty.select(out))
