@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pilecall.session import shared_scratch
+
 # The shared prelude text (see FIXTURES.md).
 PRELUDE = """
 WITH li AS (
@@ -112,16 +114,18 @@ def fixture(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One derived table as a DataFrame.
 
     The derived tables stand in for the stored inputs of a real run (reads and
-    reference as Parquet), so each is cached once per session like a table
-    read from storage; the library's own work is never cached here.
+    reference as Parquet), so each is derived once per session, written to the
+    shared folder and read from there, like any table in storage.
     """
     if table not in FIXTURE_TABLES:
         raise ValueError(table)
-    key = (spark.sparkContext.applicationId, sf_dir, "fixture", table)
+    key = (spark.sparkContext.applicationId, sf_dir, table)
     if key not in _MEMO:
         register_driver_tables(spark, sf_dir)
-        _MEMO[key] = spark.sql(PRELUDE + f"\nSELECT * FROM {table}").cache()
-    return _MEMO[key]
+        path = shared_scratch(spark, f"fixture-{table}")
+        spark.sql(PRELUDE + f"\nSELECT * FROM {table}").write.parquet(path)
+        _MEMO[key] = path
+    return spark.read.parquet(_MEMO[key])
 
 
 def fixtures(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

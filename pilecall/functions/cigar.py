@@ -5,58 +5,59 @@ All of them are Spark expressions, so reads stay in the JVM.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 OPS_TYPE = "array<struct<idx:int,len:int,op:string,raw:string,rofs:int,qofs:int,pofs:int,nops:int>>"
 
 
-def length_of(cigar: str, letters: str) -> Column:
-    """Sum of the lengths of the given operators."""
-    found = f"regexp_extract_all({cigar}, '(\\\\d+)[{letters}]', 1)"
-    return F.expr(f"coalesce(aggregate({found}, 0, (acc, x) -> acc + cast(x AS int)), 0)")
+# Derived lengths: the letters that each one adds up (of the raw operators, '=' and 'X' read as M).
+LENGTHS = {"ref_span": "MDN", "rlen1": "MI", "rlen2": "MIS", "indel_len": "ID", "md_len": "MD"}
 
 
-def with_ops(df: DataFrame, cigar: str = "cigar", out: str = "ops") -> DataFrame:
-    """Add the op table ``out``: one struct per operator, in order.
+def _op_table(cigar: str) -> str:
+    """SQL expression for the op table of a CIGAR string."""
+    letters = f"regexp_extract_all({cigar}, '(\\\\d+)([MIDNSHP=X])', 2)"
+    sizes = f"regexp_extract_all({cigar}, '(\\\\d+)([MIDNSHP=X])', 1)"
+    # pieces: (length, letter), bound once and walked once
+    pieces = f"arrays_zip({sizes}, {letters})"
+    raw = "CASE WHEN z.`1` IN ('=', 'X') THEN 'M' ELSE z.`1` END"
+    op = f"CASE WHEN z.`1` = 'I' AND (a.idx = 0 OR a.idx = size(zs) - 1) THEN 'S' ELSE {raw} END"
+
+    def advanced(offset: str, of: str) -> str:
+        return f"a.{offset} + CASE WHEN instr('{of}', {op}) > 0 THEN cast(z.`0` AS int) ELSE 0 END AS {offset}"
+
+    row = (f"named_struct('idx', a.idx, 'len', cast(z.`0` AS int), 'op', {op}, 'raw', {raw}, "
+           "'rofs', a.rofs, 'qofs', a.qofs, 'pofs', a.pofs, 'nops', size(zs))")
+    step = (f"struct(concat(a.ops, array({row})) AS ops, a.idx + 1 AS idx, {advanced('rofs', 'MDN')}, "
+            f"{advanced('qofs', 'MIS')}, {advanced('pofs', 'MI')})")
+    start = f"struct(cast(array() AS {OPS_TYPE}) AS ops, 0 AS idx, 0 AS rofs, 0 AS qofs, 0 AS pofs)"
+    fold = f"aggregate(zs, {start}, (a, z) -> {step}, a -> a.ops)"
+    return f"transform(array({pieces}), zs -> {fold})"
+
+
+def with_cigar_columns(reads: DataFrame, cigar: str = "cigar", out: str = "ops") -> DataFrame:
+    """Add the op table ``out`` and the derived lengths used by filters and pileup.
 
-    Edge ``I`` reads as ``S`` (``op``; ``raw`` keeps the letter), ``=`` and ``X`` as ``M``;
-    ``H`` and ``P`` consume nothing. rofs: reference offset from the alignment start;
-    qofs: offset in the read; pofs: offset over M and I only.
+    The op table has one struct per operator, in order: edge ``I`` reads as ``S`` (``op``;
+    ``raw`` keeps the letter), ``=`` and ``X`` as ``M``; ``H`` and ``P`` consume nothing. rofs:
+    reference offset from the alignment start; qofs: offset in the read; pofs: offset over M
+    and I only. Lengths: ref_span (M+D+N), rlen1 (M+I), rlen2 (M+I+S), indel_len (I+D), md_len.
+
+    Each read's CIGAR is parsed once: the columns come out of a generator, which filters on
+    them do not pass, so no filter or later projection holds a copy of the parse.
     """
+    if out in reads.columns:
+        return reads
+    total = "aggregate(filter(o, x -> instr('{}', x.raw) > 0), 0, (acc, x) -> acc + x.len)"
+    fields = ", ".join(f"{total.format(letters)} AS {name}" for name, letters in LENGTHS.items())
+    ops = f"transform(array(coalesce({cigar}, '')), c -> {_op_table('c')}[0])"
+    df = reads.select("*", F.expr(f"inline(transform({ops}, o -> struct(o AS {out}, {fields})))"))
+    return df.withColumn("end_pos", F.col("start_pos") + F.col("ref_span") - 1)
+
+
+def with_ops(df: DataFrame, cigar: str = "cigar", out: str = "ops") -> DataFrame:
+    """Add the op table only (see ``with_cigar_columns``)."""
     if out in df.columns:
         return df
-    token = r"'(\\d+)([MIDNSHP=X])'"
-    df = df.withColumns({
-        "_len": F.expr(f"transform(regexp_extract_all({cigar}, {token}, 1), x -> cast(x AS int))"),
-        "_raw": F.expr(f"transform(regexp_extract_all({cigar}, {token}, 2), x -> CASE WHEN x IN ('=', 'X') THEN 'M' ELSE x END)"),
-    })
-    op = "CASE WHEN _raw[i] = 'I' AND (i = 0 OR i = size(_len) - 1) THEN 'S' ELSE _raw[i] END"
-    df = df.withColumn("_op", F.expr(f"CASE WHEN size(_len) > 0 THEN transform(sequence(0, size(_len) - 1), i -> {op}) ELSE array() END"))
-
-    def advanced(offset: str, letters: str) -> str:
-        return f"a.{offset} + CASE WHEN instr('{letters}', _op[i]) > 0 THEN _len[i] ELSE 0 END AS {offset}"
-
-    row = ("named_struct('idx', i, 'len', _len[i], 'op', _op[i], 'raw', _raw[i], "
-           "'rofs', a.rofs, 'qofs', a.qofs, 'pofs', a.pofs, 'nops', size(_len))")
-    step = f"struct(concat(a.ops, array({row})) AS ops, {advanced('rofs', 'MDN')}, {advanced('qofs', 'MIS')}, {advanced('pofs', 'MI')})"
-    fold = (f"aggregate(sequence(0, size(_len) - 1), struct(cast(array() AS {OPS_TYPE}) AS ops, 0 AS rofs, 0 AS qofs, 0 AS pofs), "
-            f"(a, i) -> {step}, a -> a.ops)")
-    return df.withColumn(out, F.expr(f"CASE WHEN size(_len) > 0 THEN {fold} ELSE cast(array() AS {OPS_TYPE}) END")).drop("_len", "_raw", "_op")
-
-
-def with_cigar_columns(reads: DataFrame, cigar: str = "cigar") -> DataFrame:
-    """Add the derived lengths used by filters and pileup.
-
-    ref_span (M+D+N), rlen1 (M+I), rlen2 (M+I+S), indel_len (I+D), md_len (M+D). The op
-    table is added where reads are piled up, after the filters and the region join.
-    """
-    span = length_of(cigar, "MDN=X")
-    return reads.withColumns({
-        "ref_span": span,
-        "end_pos": F.col("start_pos") + span - 1,
-        "rlen1": length_of(cigar, "MI=X"),
-        "rlen2": length_of(cigar, "MIS=X"),
-        "indel_len": length_of(cigar, "ID"),
-        "md_len": length_of(cigar, "MD=X"),
-    })
+    return df.select("*", F.expr(f"inline(transform({_op_table(cigar)}, o -> struct(o AS {out})))"))

@@ -86,18 +86,33 @@ def region_ref_window(regions: DataFrame, ref_blocks: DataFrame, flank: int = 70
     return j.select("region_id", "chr", "pos", F.substring("seq", F.col("i") + 1, 1).alias("base"))
 
 
+TILE = 8 * BLOCK  # bases from one reference tile to the next; a tile's text is twice as long
+
+
+def reference_tiles(ref_blocks: DataFrame) -> DataFrame:
+    """The reference as overlapping texts: (chr, tile, wseq), ``2 * TILE`` bases from ``tile * TILE + 1`` on.
+
+    Any stretch of up to ``TILE`` bases lies inside the tile of its first base, so looking
+    one up is a single equi-join, without regrouping. Unknown bases read '.'.
+    """
+    per = TILE // BLOCK
+    home = F.floor(F.col("block") / per)
+    b = ref_blocks.select("chr", "block", "seq", F.explode(F.array(home, home - 1)).alias("tile")).where("tile >= 0")
+    at = F.col("block") - F.col("tile") * per
+    parts = [F.coalesce(F.max(F.when(at == k, F.col("seq"))), F.lit("." * BLOCK)) for k in range(2 * per)]
+    return b.groupBy("chr", "tile").agg(F.concat(*parts).alias("wseq"))
+
+
 def needed_windows(keys: DataFrame, ref_blocks: DataFrame) -> DataFrame:
-    """Reference text of the block ranges in ``keys`` (chr, wblock, wlast), as wseq.
+    """Reference text of the block ranges in ``keys`` (chr, wblock, wlast), as wseq, for stretches over ``TILE`` bases.
 
-    Only the blocks that some key names are read and regrouped; a group holds the
-    blocks of one range. Missing blocks become '.' so string offsets equal genome
-    offsets; '.' reads as "reference unknown".
+    Only the blocks that some key names are read; a group holds the blocks of one range.
+    Missing blocks become '.' so string offsets equal genome offsets.
     """
     k = keys.withColumn("block", F.explode(F.sequence("wblock", "wlast")))
-    j = k.join(ref_blocks.select("chr", "block", "seq"), ["chr", "block"])
-    g = j.groupBy("chr", "wblock", "wlast").agg(F.map_from_entries(F.collect_list(F.struct("block", "seq"))).alias("m"))
-    wseq = F.expr(f"array_join(transform(sequence(wblock, wlast), b -> coalesce(m[b], repeat('.', {BLOCK}))), '')")
-    return g.select("chr", "wblock", "wlast", wseq.alias("wseq"))
+    j = k.join(ref_blocks.select("chr", "block", "seq"), ["chr", "block"], "left")
+    text = F.expr(f"listagg(coalesce(seq, repeat('.', {BLOCK})), '') WITHIN GROUP (ORDER BY block)")
+    return j.groupBy("chr", "wblock", "wlast").agg(text.alias("wseq"))
 
 
 def ref_char(wseq: Column, wstart: Column, pos: Column) -> Column:

@@ -2,13 +2,15 @@
 
 Plan shape (one Spark job, two shuffles before calling):
 
-1. ``region_reads`` (reads already joined to regions) is exploded to one row
-   per CIGAR op (``inline`` over the op array).
+1. ``region_reads`` (reads already joined to regions, CIGARs parsed before the
+   join) is exploded to one row per CIGAR op (``inline`` over the op array) and
+   written once to the shared folder: the reads are scanned and joined once,
+   and every later step reads plain columns.
 2. Ops that need the reference — M runs of reads with two or more mismatches
    (possible MNP), insertions (anchor check) and soft clips (clip rescue) —
-   join one reference window each on ``(chr, block)``. Plain M runs of reads
-   with at most one mismatch skip the reference entirely; N and D ops never
-   need it.
+   join the one reference tile that holds them on ``(chr, tile)``. Plain M runs
+   of reads with at most one mismatch skip the reference entirely; N and D ops
+   never need it.
 3. Every op emits signed event rows with one fixed schema; M runs explode to
    bases only inside the region.
 4. ``groupBy(region, pos, allele)`` with map-side partial aggregation; counts,
@@ -19,11 +21,13 @@ Counting and quality rules follow SURVEY §2.14.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pilecall.operators.joins import BLOCK, needed_windows, ref_char
+from pilecall.functions.cigar import with_ops
+from pilecall.operators.joins import BLOCK, TILE, needed_windows, ref_char, reference_tiles
 from pilecall.params import CallParams
+from pilecall.session import ensure_checkpoint_dir, shared_scratch
 
 EVENT_COLS = [
     "region_id", "chr", "region_start", "region_end", "contig_len", "pos", "allele", "is_ins",
@@ -57,20 +61,26 @@ def _not_trimmed(n: Column, p: CallParams) -> Column:
 
 def read_ops(region_reads: DataFrame) -> DataFrame:
     """One row per CIGAR op with its offsets (idx, len, op, rofs, qofs, pofs, nops)."""
-    from pilecall.functions.cigar import with_ops
-
-    base = region_reads.select(
+    base = with_ops(region_reads).select(
         *_REGION_KEYS[:4],
         F.coalesce(F.col("contig_len"), F.lit(2**62).cast("long")).alias("contig_len"),
-        "start_pos", "end_pos", "flag", "mapq", "seq", F.col("qual").alias("seq_qual"),
-        "tnm", "rlen1", "rlen2", "cigar", *(["ops"] if "ops" in region_reads.columns else []),
-        (F.col("flag").bitwiseAND(F.lit(16)) != 0).alias("dir"),
+        "start_pos", "mapq", "seq", F.col("qual").alias("seq_qual"), "tnm", "rlen1", "rlen2",
+        (F.col("flag").bitwiseAND(F.lit(16)) != 0).alias("dir"), "ops",
     )
-    base = with_ops(base).drop("cigar")
     ops = base.select("*", F.inline("ops"))
-    ops = ops.withColumn("prev_op", F.expr("CASE WHEN idx > 0 THEN ops[idx - 1].op END"))
-    ops = ops.withColumn("first_op", F.expr("ops[0].op")).drop("ops")
-    return ops.withColumn("seg_start", F.col("start_pos") + F.col("rofs"))
+    return ops.withColumns({
+        "prev_op": F.expr("CASE WHEN idx > 0 THEN ops[idx - 1].op END"),
+        "first_op": F.expr("ops[0].op"),
+        "seg_start": F.col("start_pos") + F.col("rofs"),
+    }).drop("ops", "raw")
+
+
+def op_table(region_reads: DataFrame) -> DataFrame:
+    """``read_ops`` written to the shared folder and read again: what all later branches start from."""
+    ops = read_ops(region_reads)
+    path = shared_scratch(ops.sparkSession, "ops")
+    ops.write.option("compression", "zstd").parquet(path)
+    return ops.sparkSession.read.schema(ops.schema).parquet(path)
 
 
 class _Kinds:
@@ -296,21 +306,31 @@ def _ref_hi() -> Column:
 
 
 def attach_windows(ops: DataFrame, ref_blocks: DataFrame) -> DataFrame:
-    """C4: one equi-join of each op to the reference blocks that it touches, however long it is."""
-    keyed = ops.withColumns({"wblock": F.floor((_ref_lo() - 1) / BLOCK), "wlast": F.floor((_ref_hi() - 1) / BLOCK)})
-    win = needed_windows(keyed.select("chr", "wblock", "wlast").distinct(), ref_blocks)
-    out = keyed.join(win, ["chr", "wblock", "wlast"], "left").withColumn("wstart", F.col("wblock") * BLOCK + 1)
-    return out.withColumn("wseq", F.coalesce("wseq", F.lit("")))
+    """C4: the reference around each op, as ``wseq`` from ``wstart`` on.
+
+    An op of up to ``TILE`` bases joins the tile of its first base; a longer one (long
+    reads) joins exactly the blocks that it touches, put together once per range.
+    """
+    keyed = ops.withColumns({"_lo": _ref_lo(), "_hi": _ref_hi()})
+    short = keyed.where("len <= {}".format(TILE)).withColumn("tile", F.floor((F.col("_lo") - 1) / TILE))
+    out = short.join(reference_tiles(ref_blocks), ["chr", "tile"], "left").withColumn("wstart", F.col("tile") * TILE + 1).drop("tile")
+    far = keyed.where("len > {}".format(TILE))
+    if not far.isEmpty():
+        far = far.withColumns({"wblock": F.floor((F.col("_lo") - 1) / BLOCK), "wlast": F.floor((F.col("_hi") - 1) / BLOCK)})
+        win = needed_windows(far.select("chr", "wblock", "wlast").distinct(), ref_blocks)
+        far = far.join(win, ["chr", "wblock", "wlast"], "left").withColumn("wstart", F.col("wblock") * BLOCK + 1)
+        out = out.unionByName(far.drop("wblock", "wlast"))
+    return out.withColumn("wseq", F.coalesce("wseq", F.lit(""))).drop("_lo", "_hi")
 
 
 def pileup_events(region_reads: DataFrame, ref_blocks: DataFrame, p: CallParams,
                   splices: bool = False) -> DataFrame:
     """All signed event rows (EVENT_COLS) of the reads that overlap each region.
 
-    Two branches: ops that need no reference (the bulk) and ops joined to a
-    reference window. Each branch explodes once.
+    Two branches over one op table: ops that need no reference (the bulk) and ops joined
+    to a reference tile. Each branch explodes once.
     """
-    ops = read_ops(region_reads)
+    ops = op_table(region_reads)
     plain = _plain_events(ops.where(~_needs_ref()), p, splices)
     withref = _ref_events(attach_windows(ops.where(_needs_ref()), ref_blocks), p)
     return plain.unionByName(withref)
@@ -350,8 +370,6 @@ def pileup_tables(region_reads: DataFrame, ref_blocks: DataFrame, p: CallParams)
     every later window/join read it back instead of rescanning the reads, and a
     lost executor afterwards costs a re-read of the checkpoint, not a re-pileup.
     """
-    from pilecall.session import ensure_checkpoint_dir
-
     agg = aggregate_events(pileup_events(region_reads, ref_blocks, p, splices=True))
     ensure_checkpoint_dir(agg.sparkSession)
     agg = agg.checkpoint(eager=True)
@@ -361,10 +379,46 @@ def pileup_tables(region_reads: DataFrame, ref_blocks: DataFrame, p: CallParams)
     return alleles, spl
 
 
+def _covered(ops: DataFrame, p: CallParams) -> DataFrame:
+    """Depth changes (pos, step) of the ops that need no reference: two rows an op, whatever its length.
+
+    An M run covers its part inside the region (and the trimmed range); bases 'N' are
+    taken out one by one. A deletion whose start lies in the region covers its bases there.
+    """
+    lo, hi = _m_range()
+    if p.trim:
+        # n = qofs + i counts from 0: forward reads keep n <= trim, reverse ones rlen2 - n <= trim
+        hi = F.when(~F.col("dir"), F.least(hi, p.trim - F.col("qofs"))).otherwise(hi)
+        lo = F.when(F.col("dir"), F.greatest(lo, F.col("rlen2") - p.trim - F.col("qofs"))).otherwise(lo)
+    is_m = F.col("op") == "M"
+    rows = ops.where(F.col("op").isin("M", "D")).withColumns({"lo": lo.cast("int"), "hi": hi.cast("int")}).where(
+        (F.col("lo") <= F.col("hi")) & (is_m | _in_region(F.col("seg_start"))))
+    rows = rows.withColumn("part", F.when(is_m, F.expr("substr(seq, qofs + lo + 1, hi - lo + 1)")).otherwise(F.lit("")))
+    # a read may end before its CIGAR does: what lies beyond holds no base (an empty string is none of 'N')
+    steps = "array(struct(lo AS at, 1 AS step), struct(hi + 1 AS at, -1 AS step))"
+    gaps = ("flatten(transform(filter(sequence(1, length(part)), i -> substr(part, i, 1) = 'N'), "
+            "i -> array(struct(lo + i - 1 AS at, -1 AS step), struct(lo + i AS at, 1 AS step))))")
+    steps = f"CASE WHEN instr(part, 'N') > 0 THEN concat({steps}, {gaps}) ELSE {steps} END"
+    rows = rows.select(*_REGION_KEYS, "seg_start", F.expr(f"inline({steps})"))
+    return rows.select(*_REGION_KEYS, (F.col("seg_start") + F.col("at")).alias("pos"), "step")
+
+
 def coverage(region_reads: DataFrame, ref_blocks: DataFrame, p: CallParams) -> DataFrame:
-    """Depth per (region, pos), summed from the events without their alleles."""
-    events = pileup_events(region_reads, ref_blocks, p)
-    return events.groupBy(*_REGION_KEYS, "pos").agg(F.sum("cov").cast("long").alias("cov"))
+    """Depth per (region, pos), from changes of depth at the ends of segments.
+
+    Ops that need no reference give +1 and -1 at their ends; the events of the others give
+    theirs at each base. Changes are summed per position (map-side combined), and the
+    running sum over a region's changes is the depth up to the next change.
+    """
+    ops = op_table(region_reads)
+    points = _ref_events(attach_windows(ops.where(_needs_ref()), ref_blocks), p).where("cov <> 0")
+    points = points.select(*_REGION_KEYS, F.expr("inline(array(struct(pos, cov AS step), struct(pos + 1 AS pos, -cov AS step)))"))
+    steps = _covered(ops.where(~_needs_ref()), p).unionByName(points)
+    steps = steps.groupBy(*_REGION_KEYS, "pos").agg(F.sum("step").alias("step"))
+    # a window holds the changes inside one region: as many as the region has positions, at most
+    w = Window.partitionBy("region_id").orderBy("pos")
+    runs = steps.withColumns({"cov": F.sum("step").over(w).cast("long"), "_next": F.lead("pos").over(w)}).where("cov > 0")
+    return runs.select(*_REGION_KEYS, F.explode(F.sequence("pos", F.col("_next") - 1)).alias("pos"), "cov")
 
 
 def splice_counts(region_reads: DataFrame) -> DataFrame:
