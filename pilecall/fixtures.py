@@ -8,6 +8,8 @@ Every fixture grows with the driver tables.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from pilecall.session import shared_scratch
@@ -89,7 +91,58 @@ segments AS (
   FROM part)
 """
 
-FIXTURE_TABLES = ("reads", "ref_blocks", "contigs", "regions", "amplicons", "segments")
+# Alignments that reach the rules on clips and close indels: (CIGAR, what clipped bases are, mismatches at the match's
+# edge next to the clip). 'ref': the clip continues the reference; 'alt': every clipped base differs from it.
+EDGE_SHAPES = (
+    ("6S3I31M", "alt", 0), ("6S3D34M", "alt", 0), ("31M3I6S", "alt", 0), ("34M3D6S", "alt", 0),
+    ("5S8M2I25M", "alt", 0), ("5S8M2D27M", "alt", 0), ("25M2I8M5S", "alt", 0), ("27M2D8M5S", "alt", 0),
+    ("6M2I32M", "alt", 0), ("6M2D34M", "alt", 0), ("32M2I6M", "alt", 0), ("34M2D6M", "alt", 0),
+    ("12M3D4M2I5M2D17M", "alt", 0), ("12M3D9M2I9M2D8M", "alt", 0), ("15M2D5M3I17M", "alt", 0), ("15M2D5M3D20M", "alt", 0),
+    ("15M2D5M3D4I16M", "alt", 0), ("15M3I5M2D17M", "alt", 0), ("12M2I5M3I18M", "alt", 0), ("15M3I5M2D4I13M", "alt", 0),
+    ("30M10S", "ref", 0), ("30M10S", "alt", 0), ("10S30M", "ref", 0), ("10S30M", "alt", 0), ("40M", "alt", 0),
+    ("30M10S", "alt", 2), ("10S30M", "alt", 2), ("4S3I2M2D31M", "ref", 0), ("10M5N20M10S", "ref", 0), ("6M2D3M2D31M", "alt", 0),
+    ("31M3I6S", "ref", 0), ("6S3D34M", "ref", 0), ("25M2I8M5S", "ref", 0), ("5S8M2D27M", "ref", 0),
+)
+
+
+def _edge_read(cigar: str, clip: str, off: int) -> str:
+    """SQL for the bases of one shape, out of ``r`` (the reference from ten bases before the alignment on)."""
+    ops = [(int(n), o) for n, o in re.findall(r"(\d+)([MIDNS])", cigar)]
+    at, parts = 11, []
+    for k, (n, o) in enumerate(ops):
+        first = at - n if o == "S" and k == 0 else at
+        text = f"substr(r, {first}, {n})"
+        if o == "I":
+            parts.append(f"'{('GATC' * n)[:n]}'")
+        elif o == "S":
+            parts.append(text if clip == "ref" else f"translate({text}, 'ACGT', 'CGTA')")
+        elif o == "M" and off and k == 0:
+            parts.append(f"substr(r, {first}, {n - off}), translate(substr(r, {first + n - off}, {off}), 'ACGT', 'CGTA')")
+        elif o == "M" and off:
+            parts.append(f"translate(substr(r, {first}, {off}), 'ACGT', 'CGTA'), substr(r, {first + off}, {n - off})")
+        elif o == "M":
+            parts.append(text)
+        at += n if o in "MDN" else 0
+    return f"concat({', '.join(parts)}, '')"
+
+
+def _edge_prelude() -> str:
+    bases = " ".join(f"WHEN {k} THEN {_edge_read(*x)}" for k, x in enumerate(EDGE_SHAPES))
+    cigars = " ".join(f"WHEN {k} THEN '{x[0]}'" for k, x in enumerate(EDGE_SHAPES))
+    return f"""
+, edge_reads AS (
+  SELECT read_name, sample, chr, start_pos + 10 AS start_pos, flag, mapq, CASE shape {cigars} END AS cigar, CASE shape {bases} END AS seq,
+         concat(repeat(chr(33 + q), cast(start_pos % 37 AS integer)), chr(33 + cast(start_pos % 2 AS integer) * 20 + 5),
+                repeat(chr(33 + q), 39 - cast(start_pos % 37 AS integer))) AS qual,
+         7 AS nm, chr AS mate_chr, start_pos + 60 AS mate_start, 100 AS insert_size, sa_tag
+  FROM (SELECT *, cast((start_pos * 31 + q * 7 + mapq * 3 + k) % {len(EDGE_SHAPES)} AS integer) AS shape,
+               CASE WHEN sup = 1 THEN concat(chr, ',', cast(start_pos AS varchar(20)), ',+,40M,60,0;') END AS sa_tag FROM rf) shaped)
+"""
+
+
+PRELUDE += _edge_prelude()
+
+FIXTURE_TABLES = ("reads", "edge_reads", "ref_blocks", "contigs", "regions", "amplicons", "segments")
 BLOCK = 32  # bases per reference block
 
 

@@ -89,13 +89,12 @@ def region_ref_window(regions: DataFrame, ref_blocks: DataFrame, flank: int = 70
 TILE = 8 * BLOCK  # bases from one reference tile to the next; a tile's text is twice as long
 
 
-def reference_tiles(ref_blocks: DataFrame) -> DataFrame:
-    """The reference as overlapping texts: (chr, tile, wseq), ``2 * TILE`` bases from ``tile * TILE + 1`` on.
+def reference_tiles(ref_blocks: DataFrame, per: int = TILE // BLOCK) -> DataFrame:
+    """The reference as overlapping texts: (chr, tile, wseq), twice ``per`` blocks from block ``tile * per`` on.
 
-    Any stretch of up to ``TILE`` bases lies inside the tile of its first base, so looking
-    one up is a single equi-join, without regrouping. Unknown bases read '.'.
+    Any stretch of up to ``per`` blocks of bases lies inside the tile of its first base, so
+    looking one up is a single equi-join, without regrouping. Unknown bases read '.'.
     """
-    per = TILE // BLOCK
     home = F.floor(F.col("block") / per)
     b = ref_blocks.select("chr", "block", "seq", F.explode(F.array(home, home - 1)).alias("tile")).where("tile >= 0")
     at = F.col("block") - F.col("tile") * per
@@ -103,6 +102,25 @@ def reference_tiles(ref_blocks: DataFrame) -> DataFrame:
     return b.groupBy("chr", "tile").agg(F.concat(*parts).alias("wseq"))
 
 
+def with_reference(df: DataFrame, ref_blocks: DataFrame, per: int = TILE // BLOCK) -> DataFrame:
+    """C4: the reference around ``_lo`` .. ``_hi`` of each row, as ``wseq`` from position ``wstart`` on.
+
+    A stretch of up to ``per`` blocks joins the tile of its first base; a longer one (long
+    reads) joins exactly the blocks that it touches, put together once per range.
+    """
+    width = per * BLOCK
+    long = F.col("_hi") - F.col("_lo") >= width
+    short = df.where(~long).withColumn("tile", F.floor((F.col("_lo") - 1) / width))
+    out = short.join(reference_tiles(ref_blocks, per), ["chr", "tile"], "left").withColumn("wstart", F.col("tile") * width + 1).drop("tile")
+    far = df.where(long)
+    if not far.isEmpty():
+        far = far.withColumns({"wblock": F.floor((F.col("_lo") - 1) / BLOCK), "wlast": F.floor((F.col("_hi") - 1) / BLOCK)})
+        win = needed_windows(far.select("chr", "wblock", "wlast").distinct(), ref_blocks)
+        far = far.join(win, ["chr", "wblock", "wlast"], "left").withColumn("wstart", F.col("wblock") * BLOCK + 1)
+        out = out.unionByName(far.drop("wblock", "wlast"))
+    return out.withColumn("wseq", F.coalesce("wseq", F.lit(""))).drop("_lo", "_hi")
+
+
 def needed_windows(keys: DataFrame, ref_blocks: DataFrame) -> DataFrame:
     """Reference text of the block ranges in ``keys`` (chr, wblock, wlast), as wseq, for stretches over ``TILE`` bases.
 

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from pilecall.operators import calls as C
 from pilecall.operators.joins import region_read_overlap
 from pilecall.operators.pileup import pileup, pileup_tables, splice_counts  # noqa: F401
-from pilecall.operators.read_filters import apply_read_filters
+from pilecall.functions.cigar import LENGTHS, with_cigar_columns
+from pilecall.operators.normalize import normalize_cigar
+from pilecall.operators.read_filters import apply_read_filters, filter_minmatch
 from pilecall.params import CallParams
 
 
@@ -17,12 +19,26 @@ def regions_with_contigs(regions: DataFrame, contigs: DataFrame) -> DataFrame:
     return regions.join(contigs.select("chr", F.col("length").alias("contig_len")), "chr", "left")
 
 
-def region_reads(reads: DataFrame, regions: DataFrame, contigs: DataFrame, p: CallParams) -> DataFrame:
-    """Filtered reads joined to the regions they overlap (D-chain + C2)."""
+def region_reads(reads: DataFrame, regions: DataFrame, contigs: DataFrame, p: CallParams, ref_blocks: DataFrame | None = None) -> DataFrame:
+    """Filtered reads joined to the regions they overlap (D-chain + C2).
+
+    With ``p.normalize`` (needs ``ref_blocks``) CIGARs are normalised once per read (D15),
+    after the mismatch filter and before the minimum match (D10); which regions a read
+    belongs to is decided by its alignment as it came.
+    """
     if p.realign:
         raise NotImplementedError("local realignment is not available; pass CallParams(realign=False)")
-    r = apply_read_filters(reads, p)
-    return region_read_overlap(regions_with_contigs(regions, contigs), r)
+    regions = regions_with_contigs(regions, contigs)
+    if not p.normalize:
+        return region_read_overlap(regions, apply_read_filters(reads, p))
+    if ref_blocks is None:
+        raise ValueError("normalize needs ref_blocks")
+    r = apply_read_filters(reads, p.with_(minmatch=0)).withColumns({"_from": F.col("start_pos"), "_to": F.col("end_pos")})
+    r = normalize_cigar(r, ref_blocks, p.lowqual)
+    r = with_cigar_columns(r.drop("ops", "end_pos", *LENGTHS))
+    r = filter_minmatch(r, p).withColumnsRenamed({"start_pos": "_start", "end_pos": "_end", "_from": "start_pos", "_to": "end_pos"})
+    joined = region_read_overlap(regions, r).drop("start_pos", "end_pos")
+    return joined.withColumnsRenamed({"_start": "start_pos", "_end": "end_pos"})
 
 
 def region_genes(regions: DataFrame, rr: DataFrame) -> DataFrame:
@@ -59,7 +75,7 @@ def call_single(
     sample: str,
 ) -> DataFrame:
     """The flagship chain — filters, region join, pileup, statistics, filter, output."""
-    rr = region_reads(reads, regions, contigs, p)
+    rr = region_reads(reads, regions, contigs, p, ref_blocks)
     alleles, splices = pileup_tables(rr, ref_blocks, p)
     var = candidate_calls(rr, ref_blocks, p, alleles)
     var = C.good_variant_flag(var, splices, p)
@@ -125,7 +141,7 @@ def call_pileup(
 ) -> DataFrame:
     """F15 (-p): every region position — all alleles unfiltered, the reference row, or a zero row."""
     p = p.with_(pileup=True, freq=-1.0, minr=0)
-    rr = region_reads(reads, regions, contigs, p)
+    rr = region_reads(reads, regions, contigs, p, ref_blocks)
     alleles, splices = pileup_tables(rr, ref_blocks, p)
     stats = C.allele_stats(alleles, ref_blocks, p)
     var = C.rank_alleles(stats, p)
@@ -142,7 +158,7 @@ def call_pileup(
 
 
 def _sample_calls(reads, regions, contigs, ref_blocks, p):
-    rr = region_reads(reads, regions, contigs, p)
+    rr = region_reads(reads, regions, contigs, p, ref_blocks)
     alleles, splices = pileup_tables(rr, ref_blocks, p)
     stats = C.allele_stats(alleles, ref_blocks, p)
     var = C.with_bias_pair(C.rank_alleles(stats, p, keep_quiet=True))

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pilecall.functions.cigar import with_ops
-from pilecall.operators.joins import BLOCK, TILE, needed_windows, ref_char, reference_tiles
+from pilecall.operators.joins import ref_char, with_reference
 from pilecall.params import CallParams
 from pilecall.session import ensure_checkpoint_dir, shared_scratch
 
@@ -306,21 +306,8 @@ def _ref_hi() -> Column:
 
 
 def attach_windows(ops: DataFrame, ref_blocks: DataFrame) -> DataFrame:
-    """C4: the reference around each op, as ``wseq`` from ``wstart`` on.
-
-    An op of up to ``TILE`` bases joins the tile of its first base; a longer one (long
-    reads) joins exactly the blocks that it touches, put together once per range.
-    """
-    keyed = ops.withColumns({"_lo": _ref_lo(), "_hi": _ref_hi()})
-    short = keyed.where("len <= {}".format(TILE)).withColumn("tile", F.floor((F.col("_lo") - 1) / TILE))
-    out = short.join(reference_tiles(ref_blocks), ["chr", "tile"], "left").withColumn("wstart", F.col("tile") * TILE + 1).drop("tile")
-    far = keyed.where("len > {}".format(TILE))
-    if not far.isEmpty():
-        far = far.withColumns({"wblock": F.floor((F.col("_lo") - 1) / BLOCK), "wlast": F.floor((F.col("_hi") - 1) / BLOCK)})
-        win = needed_windows(far.select("chr", "wblock", "wlast").distinct(), ref_blocks)
-        far = far.join(win, ["chr", "wblock", "wlast"], "left").withColumn("wstart", F.col("wblock") * BLOCK + 1)
-        out = out.unionByName(far.drop("wblock", "wlast"))
-    return out.withColumn("wseq", F.coalesce("wseq", F.lit(""))).drop("_lo", "_hi")
+    """C4: the reference around each op, as ``wseq`` from ``wstart`` on."""
+    return with_reference(ops.withColumns({"_lo": _ref_lo(), "_hi": _ref_hi()}), ref_blocks)
 
 
 def pileup_events(region_reads: DataFrame, ref_blocks: DataFrame, p: CallParams,
@@ -386,11 +373,11 @@ def _covered(ops: DataFrame, p: CallParams) -> DataFrame:
     taken out one by one. A deletion whose start lies in the region covers its bases there.
     """
     lo, hi = _m_range()
+    is_m = F.col("op") == "M"
     if p.trim:
         # n = qofs + i counts from 0: forward reads keep n <= trim, reverse ones rlen2 - n <= trim
-        hi = F.when(~F.col("dir"), F.least(hi, p.trim - F.col("qofs"))).otherwise(hi)
-        lo = F.when(F.col("dir"), F.greatest(lo, F.col("rlen2") - p.trim - F.col("qofs"))).otherwise(lo)
-    is_m = F.col("op") == "M"
+        hi = F.when(is_m & ~F.col("dir"), F.least(hi, p.trim - F.col("qofs"))).otherwise(hi)
+        lo = F.when(is_m & F.col("dir"), F.greatest(lo, F.col("rlen2") - p.trim - F.col("qofs"))).otherwise(lo)
     rows = ops.where(F.col("op").isin("M", "D")).withColumns({"lo": lo.cast("int"), "hi": hi.cast("int")}).where(
         (F.col("lo") <= F.col("hi")) & (is_m | _in_region(F.col("seg_start"))))
     rows = rows.withColumn("part", F.when(is_m, F.expr("substr(seq, qofs + lo + 1, hi - lo + 1)")).otherwise(F.lit("")))

@@ -144,6 +144,14 @@ def q_read_length_max(spark, sf):
     return rr.groupBy("region_id").agg(F.max("rlen2").alias("max_rlen"))
 
 
+def q_cigar_normalize(spark, sf):
+    from pilecall.operators.normalize import normalize_cigar
+
+    fx = _fx(spark, sf)
+    r = normalize_cigar(RF.with_read_columns(fx["edge_reads"]), fx["ref_blocks"], CHECK.lowqual)
+    return r.select("read_name", "sample", "seq", "start_pos", "cigar")
+
+
 # -- E: pileup ---------------------------------------------------------------
 
 _ACC = ["region_id", "pos", "allele", "cnt", "fwd", "rev", "tp_sum", "q_sum", "mq_sum", "nm_sum", "hicnt", "locnt", "pstd", "qstd"]
@@ -433,6 +441,7 @@ def queries() -> dict:
         "read_downsample_hash": q_read_downsample_hash,
         "amplicon_read_filter": q_amplicon_read_filter,
         "cigar_lengths": q_cigar_lengths,
+        "cigar_normalize": q_cigar_normalize,
         "read_length_max": q_read_length_max,
         "base_pileup": q_base_pileup,
         "mnp_merge": q_mnp_merge,

@@ -209,3 +209,43 @@ def test_fasta_of_several_files_in_small_splits(spark, tmp_path):
         assert r.block_start == r.block * 32 + 1 == len(got.get(r.chr, "")) + 1
         got[r.chr] = got.get(r.chr, "") + r.seq
     assert got == contigs
+
+
+def test_normalized_reads_are_piled_up(spark):
+    """CallParams(normalize=True) piles up what normalize_cigar gives; D10 looks at the new CIGAR, regions at the old alignment."""
+    from pilecall.fixtures import fixtures
+    from pilecall.operators import modes as M
+    from pilecall.operators import read_filters as RF
+    from pilecall.operators.joins import region_read_overlap
+    from pilecall.operators.normalize import normalize_cigar
+    from pilecall.params import CallParams
+
+    fx = fixtures(spark, "/root/testdata/sf0.001")
+    p = CallParams(realign=False, normalize=True, minmatch=30)
+    reads = fx["edge_reads"].where("sample = 'tumor'")
+    got = M.region_reads(reads, fx["regions"], fx["contigs"], p, fx["ref_blocks"])
+    old = RF.apply_read_filters(reads, p.with_(minmatch=0))
+    new = normalize_cigar(old, fx["ref_blocks"], p.lowqual).select("read_name", "seq", "start_pos", "cigar")
+    new = RF.with_read_columns(new.withColumn("nm", F.lit(0))).where("rlen1 >= 30")
+    pairs = region_read_overlap(fx["regions"], old).select("region_id", "read_name", "seq")
+    want = pairs.join(new, ["read_name", "seq"]).select("region_id", "read_name", "seq", "start_pos", "end_pos", "cigar")
+    a, b = (sorted(map(tuple, d.select(want.columns).collect())) for d in (got, want))
+    assert a == b and len(a) > 100
+    assert got.where("cigar like '%S%' and start_pos <> end_pos").count() > 0
+
+
+def test_coverage_is_the_sum_of_events(spark):
+    """Depth from changes at segment ends equals the events summed base by base, trimming and N bases included."""
+    from pilecall.fixtures import fixtures
+    from pilecall.operators import modes as M
+    from pilecall.operators import pileup as PU
+    from pilecall.params import CallParams
+
+    fx = fixtures(spark, "/root/testdata/sf0.001")
+    reads = fx["edge_reads"].withColumn("seq", F.when(F.col("start_pos") % 3 == 0, F.expr("overlay(seq PLACING 'NAN' FROM 12)")).otherwise(F.col("seq")))
+    for trim in (0, 25):
+        p = CallParams(realign=False, trim=trim)
+        rr = M.region_reads(reads, fx["regions"], fx["contigs"], p)
+        events = PU.pileup_events(rr, fx["ref_blocks"], p).groupBy("region_id", "pos").agg(F.sum("cov").alias("cov")).where("cov > 0")
+        a, b = (sorted((r.region_id, r.pos, r.cov) for r in d.collect()) for d in (PU.coverage(rr, fx["ref_blocks"], p), events))
+        assert a == b and a
