@@ -1,3 +1,5 @@
+import collections
+import math
 import random
 
 import numpy as np
@@ -9,22 +11,59 @@ from pilecall.llm.common import table
 from .edge import SF, docs_of, empty_docs, odd_docs
 
 
+def bm25(items, k1=1.2, b=0.75):
+    """Scores of (item, term) as shares of the item's own score, from the formula."""
+    words = {i: D.words_of(t) for i, t in items}
+    mean = sum(map(len, words.values())) / len(words)
+    out = {}
+    for i, ws in words.items():
+        for t in set(ws):
+            n, tf = sum(t in w for w in words.values()), ws.count(t)
+            idf = math.log(1 + (len(words) - n + 0.5) / (n + 0.5))
+            out[i, t] = idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * len(ws) / mean))
+    own = collections.Counter()
+    for (i, _), s in out.items():
+        own[i] += s
+    return {(i, t): s / own[i] for (i, t), s in out.items()}
+
+
 def test_retrieval_misses_no_item_above_the_threshold():
     rng = random.Random(3)
     vocabulary = [f"w{i}" for i in range(60)]
-    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randrange(4, 30)))) for i in range(40)]
+    items = [(i, " ".join(rng.choices(vocabulary, [60 - k for k in range(60)], k=rng.randrange(4, 30)))) for i in range(40)]
+    formula = bm25(items)
     p = D.DecontamParams(threshold=0.5, block=4)
     index = D.Index(items, p)
-    for _ in range(60):
-        words = rng.choices(vocabulary, k=rng.randrange(1, 60)) + D.words_of(rng.choice(items)[1])[: rng.randrange(30)]
-        terms = {index.terms[w] for w in words if w in index.terms}
-        got = dict(index.retrieve(np.array(sorted(terms))))
-        want = {}
-        for k in range(len(items)):
-            score = sum(float(s) for t in terms for i, s in zip(index.items[index.starts[t] : index.starts[t + 1]], index.scores[index.starts[t] : index.starts[t + 1]]) if i == k)
-            if score >= p.threshold:
-                want[k] = score
+    found = 0
+    for _ in range(30):
+        passages = [set(rng.choices(vocabulary, k=rng.randrange(1, 30)) + D.words_of(rng.choice(items)[1])[: rng.randrange(30)]) for _ in range(rng.randrange(1, 5))]
+        pairs = sorted((k, index.terms[w]) for k, words in enumerate(passages) for w in words if w in index.terms)
+        got = {(k, index.ids[i]): s for k, i, s in index.retrieve(*(np.array(x) for x in zip(*pairs)))}
+        want = {(k, i): s for k, words in enumerate(passages) for i, _ in items if (s := sum(formula.get((i, w), 0) for w in words)) >= p.threshold}
         assert got == pytest.approx(want)
+        found += len(want)
+    assert found > 30
+
+
+def test_shards_share_the_statistics_of_the_whole(spark):
+    """Scores are the same however many items a shard holds, and equal the formula over all items."""
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(300)]
+    texts = {i: " ".join(rng.choices(vocabulary, k=rng.randrange(6, 40))) + "\n" + " ".join(rng.choices(vocabulary, k=4)) for i in range(30)}
+    items = spark.createDataFrame(list(texts.items()) + [(100, "exactly this one"), (101, "x y")], "item_id bigint, text string")
+    docs = docs_of(spark, {i: f"before {texts[i]} after" for i in range(0, 30, 3)} | {77: "so exactly THIS one it is", 78: "exactly one this", 79: "x y"})
+    results = []
+    for size in (1, 10, 1000):
+        rows = D.leaked_items(docs, items, D.DecontamParams(shard_items=size)).collect()
+        results.append(sorted((r.doc_id, r.item_id, r["at"], round(r.score, 9), r.question, r.answer) for r in rows))
+    assert results[0] == results[1] == results[2]
+    assert {(d, i) for d, i, *_ in results[0]} >= {(i, i) for i in range(0, 30, 3)} | {(77, 100), (79, 101)}
+    assert not [x for x in results[0] if x[0] == 78]
+    formula = bm25(list(texts.items()))
+    for d, i, at, score, *_ in results[0]:
+        if i < 100:
+            whole = set(D.words_of(f"before {texts[d]} after"))
+            assert score <= sum(s for (k, t), s in formula.items() if k == i and t in whole) + 1e-6
 
 
 def test_whole_items_are_found_wherever_they_stand():
