@@ -245,7 +245,7 @@ def shards(benchmark: DataFrame, p: DecontamParams):
     n = -(-items // p.shard_items)
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)))
     df = each.select(F.explode("part.terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-    named = rows.select("shard", F.explode("parts").alias("part")).select("shard", F.explode("part.terms").alias("term")).distinct().join(df, "term")
+    named = rows.select(F.col("shard").alias("of"), F.explode("parts").alias("part")).select("of", F.explode("part.terms").alias("term")).distinct().join(df, "term")
 
     def build(key, own, frequencies):
         own = own.sort_values(["item_id", "text"], na_position="last")
@@ -254,7 +254,7 @@ def shards(benchmark: DataFrame, p: DecontamParams):
         return type(own)({"shard": [key[0]], "index": [pickle.dumps(index)]})
 
     # a group is one shard: bounded by shard_items items of any text length
-    built = rows.select("shard", "item_id", "text").groupBy("shard").cogroup(named.groupBy("shard")).applyInPandas(build, "shard bigint, index binary")
+    built = rows.select("shard", "item_id", "text").groupBy("shard").cogroup(named.groupBy("of")).applyInPandas(build, "shard bigint, index binary")
     built = written(built, "index")
     for shard in range(n):
         for row in built.where(F.col("shard") == shard).select("index").collect():

@@ -49,15 +49,15 @@ def test_shards_share_the_statistics_of_the_whole(spark):
     """Scores are the same however many items a shard holds, and equal the formula over all items."""
     rng = random.Random(5)
     vocabulary = [f"w{i}" for i in range(300)]
-    texts = {i: " ".join(rng.choices(vocabulary, k=rng.randrange(6, 40))) + "\n" + " ".join(rng.choices(vocabulary, k=4)) for i in range(30)}
+    texts = {i: " ".join(rng.choices(vocabulary, k=rng.randrange(6, 40))) + "\n" + " ".join(rng.choices(vocabulary, k=4)) for i in range(7)}
     items = spark.createDataFrame(list(texts.items()) + [(100, "exactly this one"), (101, "x y")], "item_id bigint, text string")
-    docs = docs_of(spark, {i: f"before {texts[i]} after" for i in range(0, 30, 3)} | {77: "so exactly THIS one it is", 78: "exactly one this", 79: "x y"})
+    docs = docs_of(spark, {i: f"before {texts[i]} after" for i in range(0, 7, 3)} | {77: "so exactly THIS one it is", 78: "exactly one this", 79: "x y"})
     results = []
-    for size in (1, 10, 1000):
+    for size in (1, 4, 1000):
         rows = D.leaked_items(docs, items, D.DecontamParams(shard_items=size)).collect()
         results.append(sorted((r.doc_id, r.item_id, r["at"], round(r.score, 9), r.question, r.answer) for r in rows))
     assert results[0] == results[1] == results[2]
-    assert {(d, i) for d, i, *_ in results[0]} >= {(i, i) for i in range(0, 30, 3)} | {(77, 100), (79, 101)}
+    assert {(d, i) for d, i, *_ in results[0]} >= {(i, i) for i in range(0, 7, 3)} | {(77, 100), (79, 101)}
     assert not [x for x in results[0] if x[0] == 78]
     formula = bm25(list(texts.items()))
     for d, i, at, score, *_ in results[0]:
