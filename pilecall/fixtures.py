@@ -92,7 +92,8 @@ segments AS (
 """
 
 # Alignments that reach the rules on clips and close indels: (CIGAR, what clipped bases are, mismatches at the match's
-# edge next to the clip). 'ref': the clip continues the reference; 'alt': every clipped base differs from it.
+# edge next to the clip). 'ref': the clip continues the reference; 'alt': every clipped base differs from it; 'near':
+# no clip, the second and fourth base of a long match behind an indel differ.
 EDGE_SHAPES = (
     ("6S3I31M", "alt", 0), ("6S3D34M", "alt", 0), ("31M3I6S", "alt", 0), ("34M3D6S", "alt", 0),
     ("5S8M2I25M", "alt", 0), ("5S8M2D27M", "alt", 0), ("25M2I8M5S", "alt", 0), ("27M2D8M5S", "alt", 0),
@@ -101,6 +102,9 @@ EDGE_SHAPES = (
     ("15M2D5M3D4I16M", "alt", 0), ("15M3I5M2D17M", "alt", 0), ("12M2I5M3I18M", "alt", 0), ("15M3I5M2D4I13M", "alt", 0),
     ("30M10S", "ref", 0), ("30M10S", "alt", 0), ("10S30M", "ref", 0), ("10S30M", "alt", 0), ("40M", "alt", 0),
     ("30M10S", "alt", 2), ("10S30M", "alt", 2), ("4S3I2M2D31M", "ref", 0), ("10M5N20M10S", "ref", 0), ("6M2D3M2D31M", "alt", 0),
+    # close indels, and mismatches two and four bases behind them
+    ("14M3I2M2I19M", "near", 0), ("14M3I2M4D21M", "near", 0), ("14M4D3M2I21M", "near", 0), ("14M4D1M3D25M", "near", 0),
+    ("14M4D3I23M", "near", 0), ("15M2I23M", "near", 0), ("15M2D25M", "near", 0), ("14M2I2M3D2M2I20M", "near", 0),
     ("31M3I6S", "ref", 0), ("6S3D34M", "ref", 0), ("25M2I8M5S", "ref", 0), ("5S8M2D27M", "ref", 0),
 )
 
@@ -116,6 +120,9 @@ def _edge_read(cigar: str, clip: str, off: int) -> str:
             parts.append(f"'{('GATC' * n)[:n]}'")
         elif o == "S":
             parts.append(text if clip == "ref" else f"translate({text}, 'ACGT', 'CGTA')")
+        elif o == "M" and clip == "near" and k and n > 9:
+            parts += [f"substr(r, {first}, 1)", f"translate(substr(r, {first + 1}, 1), 'ACGT', 'CGTA')", f"substr(r, {first + 2}, 1)",
+                      f"translate(substr(r, {first + 3}, 1), 'ACGT', 'CGTA')", f"substr(r, {first + 4}, {n - 4})"]
         elif o == "M" and off and k == 0:
             parts.append(f"substr(r, {first}, {n - off}), translate(substr(r, {first + n - off}, {off}), 'ACGT', 'CGTA')")
         elif o == "M" and off:

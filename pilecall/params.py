@@ -22,6 +22,7 @@ class CallParams:
     qratio: float = 1.5          # -o  minimum high/low quality ratio
     mapq: float = 0.0            # -O  minimum mean mapping quality
     lofreq: float = 0.05         # -V  low-frequency cut for paired calls
+    vext: int = 3                # -X  matching bases between the parts of a complex indel
     indelsize: int = 120         # -I  max indel size
     bias: float = 0.05           # strand-bias fraction
     buffer: int = 200            # soft-clip window around a region

@@ -170,6 +170,15 @@ def q_deletion_pileup(spark, sf):
     return _alleles(spark, sf).where(F.col("allele").startswith("-")).select(*_ACC)
 
 
+def q_complex_indels(spark, sf):
+    from pilecall.operators.compound import complex_indels
+
+    fx = _fx(spark, sf)
+    rr = M.region_reads(fx["edge_reads"], fx["regions"], fx["contigs"], CHECK)
+    out = complex_indels(rr, fx["ref_blocks"], CHECK).select(*_ACC, "is_ins", "cov_add")
+    return out.fillna(False, ["pstd", "qstd"])  # null where a row only carries coverage
+
+
 def q_coverage(spark, sf):
     cov = PU.coverage(_rr(spark, sf), _fx(spark, sf)["ref_blocks"], CHECK)
     return cov.where((F.col("pos") >= F.col("region_start")) & (F.col("pos") <= F.col("region_end"))).select("region_id", "pos", "cov")
@@ -448,6 +457,7 @@ def queries() -> dict:
         "scan_fasta": q_scan_fasta,
         "insertion_pileup": q_insertion_pileup,
         "deletion_pileup": q_deletion_pileup,
+        "complex_indels": q_complex_indels,
         "coverage": q_coverage,
         "splice_counts": q_splice_counts,
         "softclip_collect": q_softclip_collect,

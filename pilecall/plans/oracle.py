@@ -9,7 +9,7 @@ array offsets. Each oracle is the shared fixture prelude plus CTEs below.
 from __future__ import annotations
 
 from pilecall.fixtures import PRELUDE
-from pilecall.plans import oracle_normalize
+from pilecall.plans import oracle_complex, oracle_normalize
 
 GOODQ = 25
 
@@ -663,6 +663,8 @@ SELECT region_id, read_name, sample, start_pos FROM k
 WHERE CASE WHEN regexp_matches(cigar, '^\d+S') OR regexp_matches(cigar, '\d+S$')
            THEN coalesce(abs(greatest(s0, rs) - least(e0, re)) / (e0 - s0) > 0.95, false)
            ELSE coalesce(NOT (abs(ps - rs) > 10 OR abs(pe - re) > 10 OR abs((greatest(ps, rs) - least(pe, re)) / (pe - ps)) <= 0.95), false) END"""
+    edge = _READS.replace("FROM reads)", "FROM edge_reads)")
+    q["complex_indels"] = _with(edge, _OPS, _rr("true")).replace("WITH li AS", "WITH RECURSIVE li AS", 1) + oracle_complex.ctes(GOODQ, _IN_REGION, _tp)
     q["cigar_normalize"] = oracle_normalize.sql()
     q["cigar_lengths"] = _with(_READS) + "\nSELECT read_name, sample, start_pos, cigar, span AS ref_span, end_pos, rlen1, rlen2, idl AS indel_len FROM rl"
     q["read_length_max"] = _with(_READS, _OPS, _rr("true")) + "\nSELECT region_id, max(rlen2) AS max_rlen FROM rr GROUP BY region_id"
