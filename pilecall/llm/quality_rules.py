@@ -104,8 +104,10 @@ def default_rules() -> dict[str, Column]:
     """The rules as vote columns over FEATURES. A rule whose passing says little abstains instead of voting good."""
     mean, chars = share("word_chars", "n_words"), share("n_symbols", "word_chars")
     symbols, dup, repeat = share("n_symbols", "n_words"), share("n_dup_lines", "n_lines"), share("n_repeat_words", "n_words")
-    ended, lettered, distinct = share("n_ended", "n_lines"), share("n_lettered", "n_words"), share("n_distinct", "n_words")
+    ended, lettered = share("n_ended", "n_lines"), share("n_lettered", "n_words")
     n, never = F.col("n_words"), F.lit(False)
+    # distinct words against words on a log scale, which hardly depends on the text's length
+    varied = F.when(n > 1, F.log(F.col("n_distinct")) / F.log(n))
     return {
         "length": two_sided(never, n < 10),
         "word_length": two_sided(never, (mean < 2) | (mean > 15)),
@@ -115,7 +117,7 @@ def default_rules() -> dict[str, Column]:
         "repeats": two_sided(repeat <= 0.05, repeat > 0.2),
         "sentence_ends": two_sided(ended >= 0.5, ended < 0.2),
         "letters": two_sided(never, lettered < 0.8),
-        "variety": two_sided((distinct >= 0.6) | (n > 1000), (distinct < 0.4) & (n < 1000)),
+        "variety": two_sided(varied >= 0.85, varied < 0.6),
     }
 
 

@@ -69,3 +69,12 @@ def test_odd_rows(spark):
     assert len(rows) == 8
     assert all(r.base_failed and not r.kept for r in rows if r.doc_id in (1, 2, 3, 7))
     assert Q.verdicts(empty_docs(spark)).count() == 0
+
+
+def test_variety_has_no_length_switch(spark):
+    """Few distinct words are no sign of quality at any length; many are one at any length."""
+    few = {n: " ".join(f"word{k * 7 % 10}" for k in range(n)) for n in (300, 900, 1100, 5000)}
+    many = {n + 1: " ".join(f"word{k}" for k in range(n)) for n in (300, 900, 1100, 5000)}
+    rules = Q.default_rules()
+    rows = Q.features(docs_of(spark, few | many)).withColumn("vote", rules["variety"]).select("doc_id", "vote").collect()
+    assert {r.doc_id: r.vote for r in rows} == {n: -1 for n in few} | {n: 1 for n in many}
