@@ -17,7 +17,6 @@ def plain(texts):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return [t.encode(x, add_special_tokens=False) for x in texts]
 
 
@@ -27,6 +26,10 @@ def texts(spark):
     return made + [r.text for r in table(spark, SF, "documents").collect()]
 
 
+def test_strings_of_added_tokens_follow_the_json_file():
+    assert Encoder(*default_tokenizer()).ids("a <|endoftext|> b").tolist() == [64, 220, 50256, 275]
+
+
 def test_both_files_give_the_same_tokens(spark):
     encoder = Encoder(*default_tokenizer())
     given = [*texts(spark), " " * 300_000 + "x", "a" * 100_000, "\n" * 50_000]
