@@ -16,6 +16,11 @@ def round_half_up(c, dp: int) -> Column:
     return F.floor(col(c) * F.lit(s) + F.lit(0.5)).cast("double") / F.lit(s)
 
 
+def fixed_decimal(c, dp: int) -> Column:
+    """A number as text with ``dp`` decimals, halves rounded up, whatever the locale."""
+    return F.format_string(f"%.{dp}f", round_half_up(c, dp))
+
+
 def strand_bias(fwd, rev, bias: float = 0.05, minb: int = 2) -> Column:
     """0: too few reads and one strand only, 1: biased, 2: both strands."""
     f, r = col(fwd), col(rev)

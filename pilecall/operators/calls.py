@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pilecall.fixtures import BLOCK
-from pilecall.functions.exprs import round_half_up, strand_bias, variant_type
+from pilecall.functions.exprs import fixed_decimal, round_half_up, strand_bias, variant_type
 from pilecall.operators.joins import ref_context, ref_range
 from pilecall.params import CallParams
 
@@ -358,6 +358,21 @@ def finalize_calls(v: DataFrame, sample: str) -> DataFrame:
     )
 
 
+def allele_debug(stats: DataFrame) -> DataFrame:
+    """(region_id, pos, debug), a description of every allele of a position, ' & ' between them.
+
+    Alleles stand in order, insertions last and marked 'I'. A position's alleles are few
+    (aggregated rows), so the list of one is short.
+    """
+    text = F.concat_ws(
+        ":", F.concat(F.when(F.col("is_ins"), F.lit("I")).otherwise(F.lit("")), F.col("allele")), (F.col("fwd") + F.col("rev")).cast("string"),
+        F.concat(F.lit("F-"), F.col("fwd").cast("string")), F.concat(F.lit("R-"), F.col("rev").cast("string")), fixed_decimal("freq_raw", 3),
+        F.col("bias_flag").cast("string"), F.col("pmean").cast("string"), F.col("pstd").cast("string"), F.col("qual").cast("string"), F.col("qstd").cast("string"),
+        fixed_decimal("hifreq_raw", 3), round_half_up(F.col("mapq_raw"), 1).cast("string"), round_half_up(F.col("qratio_raw"), 3).cast("string"))
+    each = F.array_sort(F.collect_list(F.struct(F.col("is_ins"), F.col("allele"), text.alias("text"))))
+    return stats.groupBy(*POS).agg(F.array_join(F.transform(each, lambda x: x["text"]), " & ").alias("debug"))
+
+
 def with_bias_pair(v: DataFrame) -> DataFrame:
     """``refbias;varbias`` (0 when the position has no reference row)."""
     refb = F.coalesce(F.col("_ref.bias").cast("string"), F.lit("0"))

@@ -56,6 +56,16 @@ def q_segment_explode(spark, sf):
     return RG.segment_explode(_fx(spark, sf)["segments"], extend=0, zero_based=False)
 
 
+def q_region_lines(spark, sf):
+    fx = _fx(spark, sf)
+    tab = "\t"
+    bed = fx["regions"].select(F.concat_ws(tab, "chr", F.col("region_start").cast("string"), F.col("region_end").cast("string"), "gene").alias("line"))
+    gap = [F.lit("x")]
+    table = fx["segments"].select(F.concat_ws(tab, F.lit("1"), F.lit("n"), "chr", *gap, *gap, *gap, F.col("cds_start").cast("string"), F.col("cds_end").cast("string"),
+                                              *gap, "seg_starts", "seg_ends", *gap, "gene").alias("line"))
+    return RG.region_lines(bed.unionByName(table), "line")
+
+
 def q_amplicon_groups(spark, sf):
     return RG.amplicon_groups(_fx(spark, sf)["amplicons"])
 
@@ -254,6 +264,10 @@ def q_allele_stats(spark, sf):
     )
 
 
+def q_allele_debug(spark, sf):
+    return C.allele_debug(C.allele_stats(_alleles(spark, sf), _fx(spark, sf)["ref_blocks"], CHECK))
+
+
 def q_strand_bias(spark, sf):
     a = _alleles(spark, sf).where(F.col("allele") != "")
     from pilecall.functions.exprs import strand_bias
@@ -377,6 +391,15 @@ def q_scan_sam(spark, sf):
     return scan_sam(spark, path).drop("path", "sa_tag")
 
 
+def q_scan_alignments(spark, sf):
+    from pilecall.sources.text import scan_alignments
+
+    fx = _fx(spark, sf)
+    parts = ["sample = 'tumor' AND start_pos % 2 = 0", "sample = 'tumor' AND start_pos % 2 = 1", "sample = 'normal'"]
+    a, b, c = (_write_sam(spark, fx | {"reads": fx["reads"].where(x)}) for x in parts)
+    return scan_alignments(spark, f"{a}:{b}|{c}").select("read_name", "sample", "flag", "chr", "start_pos", "cigar", "seq", "nm")
+
+
 def q_contig_lengths(spark, sf):
     from pilecall.sources.text import contig_lengths
 
@@ -485,6 +508,9 @@ def queries() -> dict:
         "scan_bed": q_scan_bed,
         "scan_bed_amplicon": q_scan_bed_amplicon,
         "scan_sam": q_scan_sam,
+        "scan_alignments": q_scan_alignments,
+        "region_lines": q_region_lines,
+        "allele_debug": q_allele_debug,
         "contig_lengths": q_contig_lengths,
         "sample_name": q_sample_name,
         "write_calls_roundtrip": q_write_calls_roundtrip,

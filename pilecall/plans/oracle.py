@@ -710,6 +710,21 @@ SELECT chr, CASE WHEN amp_start < amp_end THEN amp_start + 1 ELSE amp_start END
   CASE WHEN amp_start < amp_end THEN istart + 1 ELSE istart END AS istart, iend, true AS amplicon_mode FROM amplicons"""
     q["scan_sam"] = PRELUDE + r"""
 SELECT read_name, flag, chr, start_pos, mapq, cigar, chr AS mate_chr, mate_start, insert_size, seq, qual, nm FROM reads"""
+    q["scan_alignments"] = PRELUDE + "\nSELECT read_name, sample, flag, chr, start_pos, cigar, seq, nm FROM reads"
+    q["region_lines"] = PRELUDE + r"""
+, sl AS (SELECT concat_ws(chr(9), '1', 'n', s.chr, 'x', 'x', 'x', cds_start, cds_end, 'x', seg_starts, seg_ends, 'x', gene) AS line, s.*,
+           unnest(string_split(seg_starts, ',')) AS a, unnest(string_split(seg_ends, ',')) AS b FROM segments s)
+SELECT concat_ws(chr(9), chr, region_start, region_end, gene) AS line, chr,
+  CASE WHEN region_start < region_end THEN region_start + 1 ELSE region_start END AS region_start, region_end, gene FROM regions
+UNION ALL
+SELECT line, chr, greatest(CAST(a AS BIGINT), cds_start), least(CAST(b AS BIGINT), cds_end), gene FROM sl
+WHERE CAST(b AS BIGINT) >= cds_start AND CAST(a AS BIGINT) <= cds_end"""
+    q["allele_debug"] = _with(*_pileup_ctes(), _STATS) + f"""
+SELECT region_id, pos, string_agg(CASE WHEN is_ins THEN 'I' ELSE '' END || allele || ':' || CAST(fwd + rev AS VARCHAR) || ':F-' || CAST(fwd AS VARCHAR) || ':R-' || CAST(rev AS VARCHAR)
+    || ':' || printf('%.3f', {_r('freq_raw', 3)}) || ':' || CAST(bias_flag AS VARCHAR) || ':' || CAST(pmean AS VARCHAR) || ':' || CAST(pstd2 AS VARCHAR)
+    || ':' || CAST(qual AS VARCHAR) || ':' || CAST(qstd2 AS VARCHAR) || ':' || printf('%.3f', {_r('hifreq_raw', 3)}) || ':' || CAST({_r('mapq_raw', 1)} AS VARCHAR)
+    || ':' || CAST({_r('qratio_raw', 3)} AS VARCHAR), ' & ' ORDER BY is_ins, allele) AS debug
+FROM st GROUP BY region_id, pos"""
     q["contig_lengths"] = PRELUDE + "\nSELECT chr, length FROM contigs"
     q["sample_name"] = PRELUDE + r"""
 , p AS (SELECT DISTINCT CASE WHEN sample = 'tumor' THEN '/data/run1/' || chr || '_' || sample || '.sorted.dedup.bam'

@@ -64,7 +64,7 @@ def scan_bed(spark: SparkSession, path: str, delimiter: str = "\t", zero_based:
     )
 
 
-def scan_sam(spark: SparkSession, path: str) -> DataFrame:
+def scan_sam(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """A4: SAM text -> read rows (header lines skipped; NM and SA tags extracted)."""
     body = spark.read.text(path).where(~F.col("value").startswith("@"))
     f = F.split(F.col("value"), "\t")
@@ -91,6 +91,27 @@ def scan_sam(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def scan_alignments(spark: SparkSession, files: str, names: tuple[str | None, str | None] = (None, None)) -> DataFrame:
+    """The reads of several files in one scan, with the sample that they belong to.
+
+    ``files`` holds paths joined by ':' for one sample, and two such lists joined by '|' for
+    a tumor and its normal. All files are read by one scan; a file's sample follows from its
+    path. ``names`` are the samples' names (default 'tumor' and 'normal').
+    """
+    groups = [[path for path in part.split(":") if path] for part in files.split("|")]
+    if len(groups) > 2 or not all(groups):
+        raise ValueError("one list of files, or two separated by '|'")
+    sample = None
+    for paths, name, default in zip(groups, names, ("tumor", "normal")):
+        inside = None
+        for path in paths:
+            # a path names a file or a folder of files; schemes and slashes in front of it differ by file system
+            here = F.col("path").contains(path.rstrip("/") + "/") | F.col("path").endswith(path)
+            inside = here if inside is None else inside | here
+        sample = F.when(inside, F.lit(name or default)) if sample is None else sample.when(inside, F.lit(name or default))
+    return scan_sam(spark, [path for paths in groups for path in paths]).withColumn("sample", sample)
+
+
 def contig_lengths(spark: SparkSession, path: str) -> DataFrame:
     """A5: (chr, length) from the @SQ lines of a SAM header."""
     sq = spark.read.text(path).where(F.col("value").startswith("@SQ"))
