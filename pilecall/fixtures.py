@@ -137,13 +137,19 @@ def _edge_prelude() -> str:
     bases = " ".join(f"WHEN {k} THEN {_edge_read(*x)}" for k, x in enumerate(EDGE_SHAPES))
     cigars = " ".join(f"WHEN {k} THEN '{x[0]}'" for k, x in enumerate(EDGE_SHAPES))
     return f"""
-, edge_reads AS (
-  SELECT read_name, sample, chr, start_pos + 10 AS start_pos, flag, mapq, CASE shape {cigars} END AS cigar, CASE shape {bases} END AS seq,
+, edge_shapes AS (
+  SELECT *, CASE shape {cigars} END AS cigar, CASE shape {bases} END AS bases,
+         CASE WHEN sup = 1 THEN concat(chr, ',', cast(start_pos AS varchar(20)), ',+,40M,60,0;') END AS sa_tag
+  FROM (SELECT *, cast((start_pos * 31 + q * 7 + mapq * 3 + k) % {len(EDGE_SHAPES)} AS integer) AS shape FROM rf) shaped),
+edge_reads AS (
+  SELECT read_name, sample, chr, start_pos + 10 AS start_pos, flag + CASE WHEN start_pos % 17 < 3 THEN 8 ELSE 0 END AS flag, mapq, cigar,
+         CASE WHEN start_pos % 41 = 0 THEN '*' WHEN start_pos % 13 = 0 THEN concat(substr(bases, 1, 19), 'N', substr(bases, 21, 20)) ELSE bases END AS seq,
          concat(repeat(chr(33 + q), cast(start_pos % 37 AS integer)), chr(33 + cast(start_pos % 2 AS integer) * 20 + 5),
                 repeat(chr(33 + q), 39 - cast(start_pos % 37 AS integer))) AS qual,
-         7 AS nm, chr AS mate_chr, start_pos + 60 AS mate_start, 100 AS insert_size, sa_tag
-  FROM (SELECT *, cast((start_pos * 31 + q * 7 + mapq * 3 + k) % {len(EDGE_SHAPES)} AS integer) AS shape,
-               CASE WHEN sup = 1 THEN concat(chr, ',', cast(start_pos AS varchar(20)), ',+,40M,60,0;') END AS sa_tag FROM rf) shaped)
+         CASE WHEN start_pos % 11 = 0 THEN 20 WHEN start_pos % 53 = 0 THEN NULL ELSE 7 END AS nm,
+         CASE WHEN start_pos % 51 = 0 THEN NULL ELSE chr END AS mate_chr,
+         CASE WHEN start_pos % 5 = 0 THEN start_pos % 9 ELSE start_pos + 60 END AS mate_start, 100 AS insert_size, sa_tag
+  FROM edge_shapes)
 """
 
 

@@ -44,7 +44,7 @@ def filter_supplementary(reads: DataFrame) -> DataFrame:
         raise ValueError("filter_supplementary needs the column sa_tag (null where the read has no SA tag)")
     drop = (
         (F.col("flag").bitwiseAND(F.lit(MATE_UNMAPPED)) == 0)
-        & (F.col("mate_chr") == F.col("chr"))
+        & F.col("mate_chr").eqNullSafe(F.col("chr"))
         & F.col("sa_tag").isNotNull()
         & (F.col("flag").bitwiseAND(F.lit(SUPPLEMENTARY)) != 0)
     )

@@ -248,6 +248,59 @@ def q_position_amplicons(spark, sf):
     return J.position_amplicons(pos, fx["amplicons"]).select("chr", "pos", "amplicon_id")
 
 
+# -- the same operators over reads that reach their rules (see fixtures.EDGE_SHAPES) --
+
+EDGE = CHECK.with_(trim=25)
+
+
+def _edge_rr(spark, sf, p: CallParams = CHECK) -> DataFrame:
+    fx = _fx(spark, sf)
+    return M.region_reads(fx["edge_reads"], fx["regions"], fx["contigs"], p)
+
+
+def _edge_consensus(spark, sf):
+    from pilecall.operators.clips import clip_bases, softclip_consensus, softclip_table
+
+    return softclip_consensus(softclip_table(clip_bases(_edge_rr(spark, sf), _fx(spark, sf)["ref_blocks"], CHECK)))
+
+
+def q_edge_read_filters(spark, sf):
+    """D2-D7, D9, D10 as one chain: no sequence, no or high NM, unmapped mates, duplicates under both keys, short matches."""
+    p = CHECK.with_(remove_dups=True, min_mapq=20, apply_full_mask=True, minmatch=31)
+    return RF.apply_read_filters(_fx(spark, sf)["edge_reads"], p).select("read_name", "sample", "seq", "start_pos", "cigar", "flag", "tnm", "rlen1")
+
+
+def q_edge_pileup(spark, sf):
+    """N bases, trimmed bases, clips on both sides, quality that varies inside a read."""
+    a = PU.pileup(_edge_rr(spark, sf, EDGE), _fx(spark, sf)["ref_blocks"], EDGE)
+    return a.where(F.col("allele") != "").select(*_ACC, "is_ins").fillna(False, ["pstd", "qstd"])
+
+
+def q_edge_coverage(spark, sf):
+    cov = PU.coverage(_edge_rr(spark, sf, EDGE), _fx(spark, sf)["ref_blocks"], EDGE)
+    return cov.where((F.col("pos") >= F.col("region_start")) & (F.col("pos") <= F.col("region_end"))).select("region_id", "pos", "cov")
+
+
+def q_edge_clip_consensus(spark, sf):
+    """E11, E13 for clips at the start of a read as well."""
+    return _edge_consensus(spark, sf)
+
+
+def q_edge_clip_pairs(spark, sf):
+    """C12 with pairs."""
+    from pilecall.operators.realign import clip_pair_join
+
+    rlen = _edge_rr(spark, sf).groupBy("region_id").agg(F.max("rlen2").alias("max_rlen"))
+    return clip_pair_join(_edge_consensus(spark, sf), rlen)
+
+
+def q_region_genes(spark, sf):
+    """Every seventh region has no gene name."""
+    fx = _fx(spark, sf)
+    regions = fx["regions"].withColumn("gene", F.when(F.col("region_id") % 7 == 0, F.lit("")).otherwise(F.col("gene")))
+    return M.region_genes(regions, M.region_reads(fx["reads"], regions, fx["contigs"], CHECK))
+
+
 # -- F / J: allele statistics and call assembly --------------------------------
 
 def q_allele_stats(spark, sf):
@@ -481,6 +534,12 @@ def queries() -> dict:
         "insertion_pileup": q_insertion_pileup,
         "deletion_pileup": q_deletion_pileup,
         "complex_indels": q_complex_indels,
+        "edge_read_filters": q_edge_read_filters,
+        "edge_pileup": q_edge_pileup,
+        "edge_coverage": q_edge_coverage,
+        "edge_clip_consensus": q_edge_clip_consensus,
+        "edge_clip_pairs": q_edge_clip_pairs,
+        "region_genes": q_region_genes,
         "coverage": q_coverage,
         "splice_counts": q_splice_counts,
         "softclip_collect": q_softclip_collect,

@@ -26,7 +26,7 @@ _READS = r"""
       CAST(coalesce(list_sum(list_transform(regexp_extract_all(cigar, '(\d+)[MIS=X]', 1), lambda x: CAST(x AS INTEGER))), 0) AS INTEGER) AS rlen2
     FROM rids) t)
 , fr AS (SELECT * FROM rl WHERE seq <> '*' AND (flag & 256) = 0 AND nm IS NOT NULL AND tnm <= 8
-  AND NOT ((flag & 8) = 0 AND mate_chr = chr AND sa_tag IS NOT NULL AND (flag & 2048) <> 0))
+  AND NOT ((flag & 8) = 0 AND mate_chr IS NOT DISTINCT FROM chr AND sa_tag IS NOT NULL AND (flag & 2048) <> 0))
 , rg AS (SELECT g.*, c.length AS contig_len FROM regions g LEFT JOIN contigs c ON g.chr = c.chr)
 """
 
@@ -664,6 +664,29 @@ WHERE CASE WHEN regexp_matches(cigar, '^\d+S') OR regexp_matches(cigar, '\d+S$')
            THEN coalesce(abs(greatest(s0, rs) - least(e0, re)) / (e0 - s0) > 0.95, false)
            ELSE coalesce(NOT (abs(ps - rs) > 10 OR abs(pe - re) > 10 OR abs((greatest(ps, rs) - least(pe, re)) / (pe - ps)) <= 0.95), false) END"""
     edge = _READS.replace("FROM reads)", "FROM edge_reads)")
+    # trimming: forward reads keep read positions up to 25, reverse ones the last 25
+    kept = "CASE WHEN (flag & 16) = 0 THEN n <= 25 ELSE rlen2 - n <= 25 END"
+    trimmed = _PILEUP.replace("base <> 'N' AND pos", f"base <> 'N' AND {kept} AND pos")
+    edge_pileup = (edge, _OPS, _rr("true"), trimmed)
+    q["edge_pileup"] = _with(*edge_pileup) + f"\nSELECT {_ACC.replace('pstd, qstd', 'coalesce(pstd, false) AS pstd, coalesce(qstd, false) AS qstd')}, is_ins FROM al WHERE allele <> ''"
+    q["edge_coverage"] = _with(*edge_pileup) + f"\nSELECT region_id, pos, CAST(sum(cov_add) AS BIGINT) AS cov FROM al WHERE pos {_IN_REGION} GROUP BY region_id, pos HAVING sum(cov_add) > 0"
+    clips = _with(edge, _OPS, _rr("true"), _PILEUP, _CLIPS, _CONSENSUS)
+    q["edge_clip_consensus"] = clips + "\nSELECT region_id, side, pos, consensus, total, \"match\" FROM cons"
+    q["edge_clip_pairs"] = clips + r"""
+, longest AS (SELECT region_id, max(rlen2) AS rlen FROM rr GROUP BY region_id)
+SELECT a.region_id, a.pos AS p5, b.pos AS p3, a.consensus AS seq5, b.consensus AS seq3
+FROM (SELECT * FROM cons WHERE side = 5 AND consensus <> '') a JOIN (SELECT * FROM cons WHERE side = 3 AND consensus <> '') b USING (region_id)
+JOIN longest USING (region_id) WHERE b.pos BETWEEN a.pos - rlen / 1.5 AND a.pos + rlen - 10"""
+    q["region_genes"] = _with(_READS, _rr("true").split(", rops AS")[0]) + r"""
+SELECT g.region_id, CASE WHEN g.region_id % 7 <> 0 THEN g.gene ELSE coalesce((SELECT min(read_name) FROM rr WHERE rr.region_id = g.region_id), '') END AS gene FROM regions g"""
+    q["edge_read_filters"] = _with(edge).split(", fr AS")[0] + r"""
+, ok AS (SELECT *, CASE WHEN mate_start < 10 THEN concat_ws('-', start_pos, CASE WHEN mate_chr IS NULL THEN '*' WHEN mate_chr = chr THEN '=' ELSE mate_chr END, mate_start)
+                        WHEN (flag & 8) <> 0 THEN concat_ws('-', start_pos, cigar) END AS dup
+         FROM rl WHERE seq <> '*' AND mapq >= 20 AND (flag & 1280) = 0)
+, one AS (SELECT *, row_number() OVER (PARTITION BY sample, chr, dup ORDER BY read_name, flag, cigar, seq) AS nr FROM ok)
+SELECT read_name, sample, seq, start_pos, cigar, flag, tnm, rlen1 FROM one
+WHERE (dup IS NULL OR nr = 1) AND nm IS NOT NULL AND tnm <= 8 AND rlen1 >= 31
+  AND NOT (((flag & 8) = 0 AND coalesce(mate_chr = chr, false)) AND sa_tag IS NOT NULL AND (flag & 2048) <> 0)"""
     q["complex_indels"] = _with(edge, _OPS, _rr("true")).replace("WITH li AS", "WITH RECURSIVE li AS", 1) + oracle_complex.ctes(GOODQ, _IN_REGION, _tp)
     q["cigar_normalize"] = oracle_normalize.sql()
     q["cigar_lengths"] = _with(_READS) + "\nSELECT read_name, sample, start_pos, cigar, span AS ref_span, end_pos, rlen1, rlen2, idl AS indel_len FROM rl"
