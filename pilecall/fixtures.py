@@ -155,7 +155,29 @@ edge_reads AS (
 
 PRELUDE += _edge_prelude()
 
-FIXTURE_TABLES = ("reads", "edge_reads", "ref_blocks", "contigs", "regions", "amplicons", "segments")
+# Reads over two- and three-base changes at every 60th position: whole, cut by the read's end or start, clipped there,
+# in two versions that share some bases, and of low quality (bases counted one by one) in every third stretch.
+PRELUDE += """
+, mnp_sites AS (
+  SELECT *, CASE WHEN d < l0 THEN greatest(0 - d, 0) ELSE 60 - d END AS a, least(CASE WHEN d < l0 THEN l0 - d ELSE 60 - d + l1 END, 40) AS b
+  FROM (SELECT *, cast(start_pos % 60 AS integer) AS d, cast(2 + floor(start_pos / 60) % 2 AS integer) AS l0,
+               cast(2 + (floor(start_pos / 60) + 1) % 2 AS integer) AS l1 FROM rf) x),
+mnp_bases AS (
+  SELECT *, CASE WHEN k = 2 OR a >= 40 THEN substr(r, 1, 40)
+                 ELSE concat(substr(r, 1, a), translate(substr(r, a + 1, b - a), 'ACGT', CASE WHEN k = 3 THEN 'TGCA' ELSE 'CGTA' END), substr(r, b + 1, 40 - b)) END AS seq,
+         CASE WHEN k = 2 OR a >= 40 OR (mapq + q) % 3 > 0 THEN 0 WHEN a >= 28 THEN 3 WHEN b <= 12 THEN 5 ELSE 0 END AS clip
+  FROM mnp_sites),
+mnp_reads AS (
+  SELECT read_name, sample, chr, start_pos + CASE WHEN clip = 5 THEN b ELSE 0 END AS start_pos, flag, mapq,
+         CASE WHEN clip = 3 THEN concat(cast(a AS varchar(20)), 'M', cast(40 - a AS varchar(20)), 'S')
+              WHEN clip = 5 THEN concat(cast(b AS varchar(20)), 'S', cast(40 - b AS varchar(20)), 'M') ELSE '40M' END AS cigar,
+         seq, repeat(chr(33 + CASE WHEN floor(start_pos / 60) % 3 = 0 THEN q ELSE 30 + q % 10 END), 40) AS qual,
+         CASE WHEN k = 2 OR a >= 40 OR clip > 0 THEN 0 ELSE b - a END AS nm,
+         chr AS mate_chr, start_pos + 60 AS mate_start, 100 AS insert_size, cast(NULL AS varchar(20)) AS sa_tag
+  FROM mnp_bases)
+"""
+
+FIXTURE_TABLES = ("reads", "edge_reads", "mnp_reads", "ref_blocks", "contigs", "regions", "amplicons", "segments")
 BLOCK = 32  # bases per reference block
 
 

@@ -58,12 +58,15 @@ def allele_stats(alleles: DataFrame, ref_blocks: DataFrame, p: CallParams) -> Da
     a = a.withColumn("only_ref", (F.col("_nkeys") == 1) & F.col("is_ref"))
     a = a.where(F.col("is_ins") | (F.col("cnt") != 0))
     cnt = F.col("cnt")
-    ttcov = F.col("tcov")  # extracnt is 0 outside realignment, so F2 never moves it
+    # reads that joined an allele later (extracnt) may take its count beyond the depth
+    extra = F.col("extracnt") if "extracnt" in alleles.columns else F.lit(0).cast("long")
+    ttcov = F.when((cnt > F.col("tcov")) & (cnt - F.col("tcov") < extra), cnt).otherwise(F.col("tcov"))
     stats = {
         "bias_flag": strand_bias("fwd", "rev", p.bias, p.minb),
         "qual": round_half_up(F.col("q_sum") / cnt, 1),
         "mapq_raw": F.col("mq_sum") / cnt,
         "freq_raw": cnt / ttcov,
+        "extrafreq_raw": extra / ttcov,
         "pmean": round_half_up(F.col("tp_sum") / cnt, 1),
         "qratio_raw": F.col("hicnt") / F.when(F.col("locnt") != 0, F.col("locnt").cast("double")).otherwise(F.lit(0.5)),
         "hifreq_raw": F.when(F.col("hicov") > 0, F.col("hicnt") / F.col("hicov")).otherwise(F.lit(0.0)),
@@ -344,7 +347,7 @@ def finalize_calls(v: DataFrame, sample: str) -> DataFrame:
         round_half_up(F.col("mapq_raw"), 1).alias("mapq"),
         round_half_up(F.col("qratio_raw"), 3).alias("qratio"),
         round_half_up(F.col("hifreq_raw"), 4).alias("hifreq"),
-        F.lit(0.0).alias("extrafreq"),
+        round_half_up(F.col("extrafreq_raw"), 4).alias("extrafreq"),
         F.col("shift3").cast("int").alias("shift3"),
         round_half_up(F.col("msi"), 3).alias("msi"),
         F.col("msint").cast("int").alias("msint"),

@@ -14,10 +14,15 @@ from pyspark.sql import functions as F
 
 from pilecall.operators.pileup import RESCUED_3, RESCUED_5, attach_windows, read_ops
 from pilecall.params import CallParams
+from pilecall.session import shared_scratch
 
 
-def clip_bases(region_reads: DataFrame, ref_blocks: DataFrame, p: CallParams) -> DataFrame:
-    """E11 per read: the clipped bases kept by the walk, as (region, side, pos, idx, base, q, dir)."""
+# read index of walk step t: 5' walks leftwards from the clip end, 3' rightwards
+_STEP = "CASE WHEN side = 5 THEN base0 - t ELSE base0 + t END"
+
+
+def kept_clips(region_reads: DataFrame, ref_blocks: DataFrame, p: CallParams) -> DataFrame:
+    """E11 per read: one row per clip that is kept, with its side, position, length ``m`` and walk ``w``."""
     ops = read_ops(region_reads)
     is5 = (F.col("op") == "S") & (F.col("idx") == 0)
     is3 = (F.col("op") == "S") & (F.col("idx") == F.col("nops") - 1) & (F.col("idx") > 0)
@@ -27,10 +32,9 @@ def clip_bases(region_reads: DataFrame, ref_blocks: DataFrame, p: CallParams) ->
         F.expr(f"array_position(transform(sequence(0, len - 1), t -> {RESCUED_3}), false)"))
     s = s.withColumn("rescued", F.when(ap == 0, F.col("len")).otherwise(ap - 1))
     s = s.withColumn("m", F.col("len") - F.col("rescued")).where(F.col("m") > 0)
-    # read index of walk step t: 5' walks leftwards from the clip end, 3' rightwards
     s = s.withColumn("pos", F.when(F.col("side") == 5, F.col("start_pos") - F.col("rescued")).otherwise(F.col("seg_start") + F.col("rescued")))
     s = s.withColumn("base0", F.when(F.col("side") == 5, F.col("m") - 1).otherwise(F.col("qofs") + F.col("rescued")))
-    si = "CASE WHEN side = 5 THEN base0 - t ELSE base0 + t END"
+    si = _STEP
     walk = (
         "aggregate(sequence(0, m - 1), named_struct('stop', false, 'low', 0, 'qn', 0), (a, t) -> CASE "
         f"WHEN a.stop THEN a "
@@ -40,10 +44,19 @@ def clip_bases(region_reads: DataFrame, ref_blocks: DataFrame, p: CallParams) ->
         "ELSE named_struct('stop', false, 'low', a.low, 'qn', a.qn + 1) END)"
     )
     s = s.withColumn("w", F.expr(walk))
-    s = s.where((F.col("w.qn") >= 1) & (F.col("w.qn") > F.col("w.low"))
+    return s.where((F.col("w.qn") >= 1) & (F.col("w.qn") > F.col("w.low"))
                 & (F.col("pos") >= F.col("region_start") - p.buffer) & (F.col("pos") <= F.col("region_end") + p.buffer))
-    s = s.withColumn("t", F.explode(F.sequence(F.lit(0), F.col("w.qn") - 1)))
-    sidx = F.expr(si)
+
+
+def clip_bases(region_reads: DataFrame, ref_blocks: DataFrame, p: CallParams) -> DataFrame:
+    """E11 per read: the clipped bases kept by the walk, as (region, side, pos, idx, base, q, dir)."""
+    return kept_bases(kept_clips(region_reads, ref_blocks, p))
+
+
+def kept_bases(kept: DataFrame) -> DataFrame:
+    """The bases of kept clips, one row each, in the order of the walk."""
+    s = kept.withColumn("t", F.explode(F.sequence(F.lit(0), F.col("w.qn") - 1)))
+    sidx = F.expr(_STEP)
     return s.select(
         "region_id", "side", F.col("pos").cast("long").alias("pos"), F.col("t").alias("cidx"),
         F.substring("seq", sidx + 1, 1).alias("base"),
@@ -51,12 +64,34 @@ def clip_bases(region_reads: DataFrame, ref_blocks: DataFrame, p: CallParams) ->
     )
 
 
+def clip_evidence(region_reads: DataFrame, ref_blocks: DataFrame, p: CallParams) -> DataFrame:
+    """Per clip position its consensus (E13) and its accumulators; the kept clips are written once and read for both."""
+    kept = kept_clips(region_reads.where(F.col("cigar").contains("S")), ref_blocks, p)
+    path = shared_scratch(kept.sparkSession, "clips")
+    kept.select("region_id", "side", "pos", "m", "base0", "w", "mapq", "tnm", "dir", "seq", "seq_qual").write.option("compression", "zstd").parquet(path)
+    kept = kept.sparkSession.read.parquet(path)
+    consensus = softclip_consensus(softclip_table(kept_bases(kept))).select("region_id", "side", "pos", "consensus")
+    return consensus.join(clip_counts(kept, p), ["region_id", "side", "pos"])
+
+
 def softclip_table(clips: DataFrame) -> DataFrame:
     """E11 aggregate: per (region, side, clip position, index, base) count and quality sum."""
     return clips.groupBy("region_id", "side", "pos", "cidx", "base").agg(
         F.count(F.lit(1)).alias("cnt"), F.sum("q").cast("long").alias("q_sum"))
 
 
+def clip_counts(kept: DataFrame, p: CallParams) -> DataFrame:
+    """E11 accumulators of a clip position, as an allele has them: each clip counts once, with its mean base quality."""
+    q = F.expr(f"aggregate(transform(sequence(0, w.qn - 1), t -> ascii(substr(seq_qual, ({_STEP}) + 1, 1)) - 33), 0D, (a, x) -> a + x) / w.qn")
+    k = kept.select("region_id", "side", F.col("pos").cast("long").alias("pos"), "m", "mapq", "tnm", "dir", q.alias("q"))
+    return k.groupBy("region_id", "side", "pos").agg(
+        F.count(F.lit(1)).alias("cnt"),
+        F.count(F.when(~F.col("dir"), 1)).alias("fwd"), F.count(F.when(F.col("dir"), 1)).alias("rev"),
+        F.sum("m").cast("long").alias("tp_sum"), F.sum("q").alias("q_sum"),
+        F.sum("mapq").cast("long").alias("mq_sum"), F.sum("tnm").cast("long").alias("nm_sum"),
+        F.count(F.when(F.col("q") >= p.goodq, 1)).alias("hicnt"), F.count(F.when(F.col("q") < p.goodq, 1)).alias("locnt"))
+
+
 def softclip_consensus(table: DataFrame) -> DataFrame:
     """Per clip position, the highest-quality base per index, walked until the second weak index.
 

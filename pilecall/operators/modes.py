@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pilecall.operators import calls as C
+from pilecall.operators.clips import clip_evidence
 from pilecall.operators.joins import region_read_overlap
+from pilecall.operators.mnp import mnp_adjust
 from pilecall.operators.pileup import pileup, pileup_tables, splice_counts  # noqa: F401
 from pilecall.functions.cigar import LENGTHS, with_cigar_columns
 from pilecall.operators.normalize import normalize_cigar
@@ -55,11 +57,19 @@ def region_genes(regions: DataFrame, rr: DataFrame) -> DataFrame:
     return g.select("region_id", gene.alias("gene"))
 
 
+def called_alleles(rr: DataFrame, ref_blocks: DataFrame, p: CallParams) -> tuple[DataFrame, DataFrame]:
+    """(alleles, splices) as the callers take them: the pileup, with E17 unless ``p.adjust_mnp`` is off."""
+    alleles, splices = pileup_tables(rr, ref_blocks, p)
+    if p.adjust_mnp:
+        alleles = mnp_adjust(alleles, clip_evidence(rr, ref_blocks, p), ref_blocks)
+    return alleles, splices
+
+
 def candidate_calls(rr: DataFrame, ref_blocks: DataFrame, p: CallParams,
                     alleles: DataFrame | None = None) -> DataFrame:
     """Pileup -> allele statistics -> ranked, annotated non-reference alleles."""
     if alleles is None:
-        alleles, _ = pileup_tables(rr, ref_blocks, p)
+        alleles, _ = called_alleles(rr, ref_blocks, p)
     stats = C.allele_stats(alleles, ref_blocks, p)
     var = C.rank_alleles(stats, p)
     var = C.with_bias_pair(var)
@@ -76,7 +86,7 @@ def call_single(
 ) -> DataFrame:
     """The flagship chain — filters, region join, pileup, statistics, filter, output."""
     rr = region_reads(reads, regions, contigs, p, ref_blocks)
-    alleles, splices = pileup_tables(rr, ref_blocks, p)
+    alleles, splices = called_alleles(rr, ref_blocks, p)
     var = candidate_calls(rr, ref_blocks, p, alleles)
     var = C.good_variant_flag(var, splices, p)
     var = var.where(~F.col("ref_allele").contains("N"))
@@ -142,7 +152,7 @@ def call_pileup(
     """F15 (-p): every region position — all alleles unfiltered, the reference row, or a zero row."""
     p = p.with_(pileup=True, freq=-1.0, minr=0)
     rr = region_reads(reads, regions, contigs, p, ref_blocks)
-    alleles, splices = pileup_tables(rr, ref_blocks, p)
+    alleles, splices = called_alleles(rr, ref_blocks, p)
     stats = C.allele_stats(alleles, ref_blocks, p)
     var = C.rank_alleles(stats, p)
     var = C.with_bias_pair(var)
@@ -159,7 +169,7 @@ def call_pileup(
 
 def _sample_calls(reads, regions, contigs, ref_blocks, p):
     rr = region_reads(reads, regions, contigs, p, ref_blocks)
-    alleles, splices = pileup_tables(rr, ref_blocks, p)
+    alleles, splices = called_alleles(rr, ref_blocks, p)
     stats = C.allele_stats(alleles, ref_blocks, p)
     var = C.with_bias_pair(C.rank_alleles(stats, p, keep_quiet=True))
     var = C.call_alleles(var, ref_blocks, p)

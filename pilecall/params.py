@@ -34,6 +34,7 @@ class CallParams:
     minmatch: int = 0            # -M  minimum matched bases (M+I)
     downsample: float | None = None  # -Z fraction to drop (deterministic hash)
     realign: bool = True         # -k  local realignment; not available, so callers pass False
+    adjust_mnp: bool = True      # E17: fragments and clips join their multi-base changes (always on in the original)
     normalize: bool = False      # D15 before the pileup (part of -k in the original)
     move_indels_3: bool = False  # -3
     pileup: bool = False         # -p  emit every position

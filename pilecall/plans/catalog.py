@@ -21,7 +21,7 @@ from pilecall.params import CallParams
 
 # The oracle-checked configuration: reference defaults with local realignment
 # off (-k 0); realignment has its own queries.
-CHECK = CallParams(realign=False)
+CHECK = CallParams(realign=False, adjust_mnp=False)
 
 
 def _fx(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
@@ -509,8 +509,27 @@ def q_mnp_merge(spark, sf):
     return al.select("region_id", "pos", "allele", "cnt", "fwd", "rev", "tp_sum", "q_sum", "mq_sum", "nm_sum", "hicnt", "locnt", "pstd", "qstd")
 
 
+ADJUSTED = CHECK.with_(adjust_mnp=True)
+
+
+def q_mnp_adjust(spark, sf):
+    """Fragments and clips handed to the multi-base changes that they belong to."""
+    fx = _fx(spark, sf)
+    rr = M.region_reads(fx["mnp_reads"], fx["regions"], fx["contigs"], ADJUSTED)
+    a, _ = M.called_alleles(rr, fx["ref_blocks"], ADJUSTED)
+    return a.where(F.col("allele") != "").select(*_ACC, "is_ins", "extracnt", "cov_add").fillna(False, ["pstd", "qstd"])
+
+
+def q_call_adjusted(spark, sf):
+    """I1 with E17, and F2 where it makes a count exceed the depth."""
+    fx = _fx(spark, sf)
+    return M.call_single(fx["mnp_reads"], fx["regions"], fx["contigs"], fx["ref_blocks"], ADJUSTED, "tumor").drop("pos")
+
+
 def queries() -> dict:
     return {
+        "mnp_adjust": q_mnp_adjust,
+        "call_adjusted": q_call_adjusted,
         "region_parse": q_region_parse,
         "segment_explode": q_segment_explode,
         "amplicon_groups": q_amplicon_groups,

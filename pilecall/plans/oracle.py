@@ -9,7 +9,7 @@ array offsets. Each oracle is the shared fixture prelude plus CTEs below.
 from __future__ import annotations
 
 from pilecall.fixtures import PRELUDE
-from pilecall.plans import oracle_complex, oracle_normalize
+from pilecall.plans import oracle_complex, oracle_mnp, oracle_normalize
 
 GOODQ = 25
 
@@ -691,6 +691,16 @@ WHERE (dup IS NULL OR nr = 1) AND nm IS NOT NULL AND tnm <= 8 AND rlen1 >= 31
     q["cigar_normalize"] = oracle_normalize.sql()
     q["cigar_lengths"] = _with(_READS) + "\nSELECT read_name, sample, start_pos, cigar, span AS ref_span, end_pos, rlen1, rlen2, idl AS indel_len FROM rl"
     q["read_length_max"] = _with(_READS, _OPS, _rr("true")) + "\nSELECT region_id, max(rlen2) AS max_rlen FROM rr GROUP BY region_id"
+    recursive = ("WITH li AS", "WITH RECURSIVE li AS", 1)
+    ends = _READS.replace("FROM reads)", "FROM mnp_reads)")
+    adjusted = (ends, _OPS, _rr("true"), _PILEUP, _CLIPS, _CONSENSUS, oracle_mnp.ctes(GOODQ))
+    acc = _ACC.replace("pstd, qstd", "coalesce(pstd, false) AS pstd, coalesce(qstd, false) AS qstd")
+    q["mnp_adjust"] = _with(*adjusted).replace(*recursive) + f"\nSELECT {acc}, is_ins, extracnt, cov_add FROM adj WHERE allele <> ''"
+    stats = _STATS.replace("FROM al WHERE", "FROM adj al WHERE").replace(
+        "cnt / tcov AS freq_raw", "cnt / (CASE WHEN cnt > tcov AND cnt - tcov < extracnt THEN cnt ELSE tcov END) AS freq_raw")
+    final = _FINAL.replace("0.0 AS extrafreq", f"{_r('extracnt / (CASE WHEN cnt > tcov AND cnt - tcov < extracnt THEN cnt ELSE tcov END)', 4)} AS extrafreq")
+    q["call_adjusted"] = _with(*adjusted, stats, _CALLS, _CALLS2, _splices("rops"), _GOOD).replace(*recursive) + r"""
+, gk AS (SELECT * FROM gd WHERE reason IS NULL AND NOT contains(ref_allele, 'N'))""" + _trim("gk") + final
     q["mnp_merge"] = _with(*_pileup_ctes()) + f"\nSELECT {_ACC} FROM al WHERE contains(allele, '&')"
     q["base_pileup"] = _with(*_pileup_ctes()) + f"\nSELECT {_ACC} FROM al WHERE allele <> '' AND NOT is_ins AND NOT starts_with(allele, '-')"
     q["insertion_pileup"] = _with(*_pileup_ctes()) + f"\nSELECT {_ACC} FROM al WHERE is_ins"
