@@ -177,7 +177,37 @@ mnp_reads AS (
   FROM mnp_bases)
 """
 
-FIXTURE_TABLES = ("reads", "edge_reads", "mnp_reads", "ref_blocks", "contigs", "regions", "amplicons", "segments")
+# An amplicon panel over changes at every 20th position: in all reads, in another version or absent in every second
+# stretch of 16 (neighbouring amplicons disagree), or as deletions; some amplicons are too long for their reads.
+PRELUDE += """
+, panel_starts AS (
+  SELECT *, start_pos + shift AS s, substr(r, 1 + shift, 46) AS b, cast(floor((start_pos + shift) / 16) AS integer) AS w,
+         cast((20 - (start_pos + shift) % 20) % 20 AS integer) AS a
+  FROM (SELECT *, cast((16 - start_pos % 16) % 16 AS integer) AS shift FROM rf) x),
+panel_sites AS (SELECT *, cast(floor((s + a) / 20) % 4 AS integer) AS y, CASE WHEN k = 3 AND chr IN ('chr1', 'chr2') THEN 1 ELSE 0 END AS other FROM panel_starts),
+panel_alts AS (
+  SELECT *, CASE WHEN k = 2 THEN 'ACGT' WHEN y = 0 THEN 'CGTA' WHEN y = 1 THEN CASE WHEN (w + other) % 2 = 0 THEN 'CGTA' ELSE 'GTAC' END
+                 WHEN y = 2 AND w % 2 = 0 THEN 'CGTA' ELSE 'ACGT' END AS v1,
+         CASE WHEN k = 2 THEN 'ACGT' WHEN y = 3 THEN 'CGTA' WHEN y = 0 THEN CASE WHEN (w + other) % 2 = 0 THEN 'CGTA' ELSE 'GTAC' END
+              WHEN y = 1 AND w % 2 = 0 THEN 'CGTA' ELSE 'ACGT' END AS v2,
+         CASE WHEN y = 3 AND a >= 8 AND k <> 2 THEN 1 ELSE 0 END AS gap
+  FROM panel_sites),
+panel_reads AS (
+  SELECT read_name, sample, chr, s AS start_pos, flag, mapq,
+         CASE WHEN gap = 1 THEN concat(cast(a AS varchar(20)), 'M6D', cast(40 - a AS varchar(20)), 'M') ELSE '40M' END AS cigar,
+         CASE WHEN gap = 1 THEN concat(substr(b, 1, a), substr(b, a + 7, 40 - a))
+              ELSE concat(substr(b, 1, a), translate(substr(b, a + 1, 1), 'ACGT', v1), substr(b, a + 2, 19),
+                          translate(substr(b, a + 21, 1), 'ACGT', v2), substr(b, a + 22, 19 - a)) END AS seq,
+         repeat(chr(33 + 30 + q % 10), 40) AS qual, CASE WHEN gap = 1 THEN 6 ELSE 2 END AS nm,
+         cast(NULL AS varchar(20)) AS mate_chr, start_pos + 60 AS mate_start, 0 AS insert_size, cast(NULL AS varchar(20)) AS sa_tag
+  FROM panel_alts),
+panel AS (
+  SELECT amplicon_id, chr, amp_start, amp_start + 39 + spare AS amp_end, gene, amp_start + 5 + spare % 3 AS istart, amp_start + 34 + spare - spare % 4 AS iend
+  FROM (SELECT p_partkey AS amplicon_id, concat('chr', cast(1 + p_partkey % 5 AS varchar(20))) AS chr,
+               16 * cast(1 + floor(p_partkey / 5) AS bigint) - p_size % 4 AS amp_start, 8 + p_size % 5 AS spare, p_name AS gene FROM part) y)
+"""
+
+FIXTURE_TABLES = ("reads", "edge_reads", "mnp_reads", "panel_reads", "panel", "ref_blocks", "contigs", "regions", "amplicons", "segments")
 BLOCK = 32  # bases per reference block
 
 

@@ -526,8 +526,17 @@ def q_call_adjusted(spark, sf):
     return M.call_single(fx["mnp_reads"], fx["regions"], fx["contigs"], fx["ref_blocks"], ADJUSTED, "tumor").drop("pos")
 
 
+def q_call_amplicon(spark, sf):
+    """A panel's calls, with what the other amplicons over each position say."""
+    from pilecall.operators.amplicon import call_amplicon
+
+    fx = _fx(spark, sf)
+    return call_amplicon(fx["panel_reads"], fx["panel"], fx["contigs"], fx["ref_blocks"], CHECK, "panel")
+
+
 def queries() -> dict:
     return {
+        "call_amplicon": q_call_amplicon,
         "mnp_adjust": q_mnp_adjust,
         "call_adjusted": q_call_adjusted,
         "region_parse": q_region_parse,

@@ -9,7 +9,7 @@ array offsets. Each oracle is the shared fixture prelude plus CTEs below.
 from __future__ import annotations
 
 from pilecall.fixtures import PRELUDE
-from pilecall.plans import oracle_complex, oracle_mnp, oracle_normalize
+from pilecall.plans import oracle_amplicon, oracle_complex, oracle_mnp, oracle_normalize
 
 GOODQ = 25
 
@@ -701,6 +701,13 @@ WHERE (dup IS NULL OR nr = 1) AND nm IS NOT NULL AND tnm <= 8 AND rlen1 >= 31
     final = _FINAL.replace("0.0 AS extrafreq", f"{_r('extracnt / (CASE WHEN cnt > tcov AND cnt - tcov < extracnt THEN cnt ELSE tcov END)', 4)} AS extrafreq")
     q["call_adjusted"] = _with(*adjusted, stats, _CALLS, _CALLS2, _splices("rops"), _GOOD).replace(*recursive) + r"""
 , gk AS (SELECT * FROM gd WHERE reason IS NULL AND NOT contains(ref_allele, 'N'))""" + _trim("gk") + final
+    A = oracle_amplicon
+    panel = _READS.replace("FROM reads)", "FROM panel_reads)").replace("FROM regions g", f"FROM {A.PANEL} g")
+    quiet = _STATS.replace("WHERE NOT only_ref AND coalesce(maxfreq, 0.0) > 0.05 AND NOT is_ref", "WHERE NOT is_ref")
+    rows = _FINAL.replace("SELECT region_id, sample,", "SELECT amp_group, CAST(pos AS BIGINT) AS pos, good_amplicons, judged_amplicons, no_coverage, disagree, sample,")
+    rows = rows.replace("'tumor' AS sample", "'panel' AS sample").replace("JOIN regions g ON g.region_id = tr.region_id", f"JOIN {A.GENES} g ON g.amp_group = tr.amp_group")
+    rows = rows.replace("chr || ':' || CAST(region_start AS VARCHAR) || '-' || CAST(region_end AS VARCHAR) AS region", "good_span AS region")
+    q["call_amplicon"] = _with(panel, _OPS, _rr(A.MEMBER), _PILEUP, quiet, _CALLS, _CALLS2, _splices("rops"), _GOOD, A.SPOTS, _trim("gk")) + rows
     q["mnp_merge"] = _with(*_pileup_ctes()) + f"\nSELECT {_ACC} FROM al WHERE contains(allele, '&')"
     q["base_pileup"] = _with(*_pileup_ctes()) + f"\nSELECT {_ACC} FROM al WHERE allele <> '' AND NOT is_ins AND NOT starts_with(allele, '-')"
     q["insertion_pileup"] = _with(*_pileup_ctes()) + f"\nSELECT {_ACC} FROM al WHERE is_ins"
