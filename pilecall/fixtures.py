@@ -246,5 +246,17 @@ def fixture(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(_MEMO[key])
 
 
+class _Tables(dict):
+    """Derived tables by name, each made when first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self._source = (spark, sf_dir)
+
+    def __missing__(self, table: str) -> DataFrame:
+        self[table] = fixture(*self._source, table)
+        return self[table]
+
+
 def fixtures(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: fixture(spark, sf_dir, t) for t in FIXTURE_TABLES}
+    return _Tables(spark, sf_dir)
