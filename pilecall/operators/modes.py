@@ -1,4 +1,4 @@
-"""Calling modes (I1 single sample, F15 pileup, I5 splice counts; I2/I3/I4 below)."""
+"""Calling modes (I1 single sample, F15 pileup, I3 paired, I5 splice counts); I2 is in ``amplicon``."""
 
 from __future__ import annotations
 
