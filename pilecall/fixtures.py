@@ -207,7 +207,35 @@ panel AS (
                16 * cast(1 + floor(p_partkey / 5) AS bigint) - p_size % 4 AS amp_start, 8 + p_size % 5 AS spare, p_name AS gene FROM part) y)
 """
 
-FIXTURE_TABLES = ("reads", "edge_reads", "mnp_reads", "panel_reads", "panel", "ref_blocks", "contigs", "regions", "amplicons", "segments")
+# Reads that are clipped at long changes before every 64th position: new bases (30 or 14), 20 for 6, 12 for 20, 12 for 12,
+# a repeat of 20, and one with 4 bases between the copies. Some right clips differ in one base.
+PRELUDE += """
+, gap_sites AS (
+  SELECT *, cast((64 - start_pos % 64) % 64 AS integer) AS a, cast((floor((start_pos + 63) / 64) + cast(substr(chr, 4) AS integer)) % 7 AS integer) AS kind FROM rf),
+gap_shapes AS (
+  SELECT *, CASE kind WHEN 2 THEN 6 WHEN 3 THEN 20 WHEN 4 THEN 12 WHEN 5 THEN -20 WHEN 6 THEN -20 ELSE 0 END AS del,
+         substr(translate(md5(concat(chr, ':new', cast(start_pos + a AS varchar(20)))), '0123456789abcdef', 'ACGTACGTACGTACGT'), 1,
+                CASE kind WHEN 0 THEN 30 WHEN 1 THEN 14 WHEN 2 THEN 20 WHEN 5 THEN 0 WHEN 6 THEN 4 ELSE 12 END) AS fresh,
+         CASE WHEN a > 28 OR a < CASE WHEN kind >= 5 THEN 20 ELSE 12 END THEN 0 WHEN k < 2 THEN 3 ELSE 5 END AS clip
+  FROM gap_sites),
+gap_bases AS (
+  SELECT *, CASE WHEN clip = 5 AND chr = 'chr2' AND length(fresh) > 10 THEN concat(substr(fresh, 1, 7), translate(substr(fresh, 8, 1), 'ACGT', 'CGTA'), substr(fresh, 9, 30)) ELSE fresh END AS new
+  FROM gap_shapes),
+gap_ends AS (
+  SELECT *, substr(concat(substr(r, 1, a), new, substr(r, a + del + 1, 64)), 1, 104) AS alt, a + length(new) AS edge,
+         least(CASE WHEN kind >= 5 THEN 12 + (a + q) % 9 ELSE 12 + (a + q) % 17 END, a + length(new)) AS c
+  FROM gap_bases),
+gap_reads AS (
+  SELECT read_name, sample, chr, CASE clip WHEN 5 THEN start_pos + a + del ELSE start_pos END AS start_pos, flag, mapq,
+         CASE clip WHEN 3 THEN concat(cast(a AS varchar(20)), 'M', cast(40 - a AS varchar(20)), 'S')
+                   WHEN 5 THEN concat(cast(c AS varchar(20)), 'S', cast(least(40 - c, 64 - a - del) AS varchar(20)), 'M') ELSE '40M' END AS cigar,
+         CASE clip WHEN 3 THEN substr(alt, 1, 40) WHEN 5 THEN substr(alt, cast(edge - c + 1 AS integer), cast(c + least(40 - c, 64 - a - del) AS integer)) ELSE substr(r, 1, 40) END AS seq,
+         repeat(chr(33 + 20 + q % 20), cast(CASE clip WHEN 5 THEN c + least(40 - c, 64 - a - del) ELSE 40 END AS integer)) AS qual, 0 AS nm,
+         chr AS mate_chr, start_pos + 60 AS mate_start, 100 AS insert_size, cast(NULL AS varchar(20)) AS sa_tag
+  FROM gap_ends)
+"""
+
+FIXTURE_TABLES = ("reads", "gap_reads", "edge_reads", "mnp_reads", "panel_reads", "panel", "ref_blocks", "contigs", "regions", "amplicons", "segments")
 BLOCK = 32  # bases per reference block
 
 

@@ -41,12 +41,15 @@ def transfer_counts(alleles: DataFrame, moves: DataFrame) -> DataFrame:
 
     What an allele receives also counts as ``extracnt`` and makes its positions and
     qualities vary (``pstd``, ``qstd``); what is taken from one never makes a sum
-    negative. Rows of ``moves`` without an allele to go to are left out.
+    negative. Rows of ``moves`` without an allele to go to are left out; without a column
+    ``is_ins`` they go to alleles that aren't insertions.
     """
-    sums = moves.groupBy(*KEY).agg(
+    if "is_ins" not in moves.columns:
+        moves = moves.withColumn("is_ins", F.lit(False))
+    sums = moves.groupBy(*KEY, "is_ins").agg(
         *[F.sum(c).alias("_" + c) for c in [*COUNTS, "extracnt", "cov_add"]],
         (F.min("sign") < 0).alias("_less"), (F.max("sign") > 0).alias("_more"))
-    out = alleles.join(sums.withColumn("is_ins", F.lit(False)), [*KEY, "is_ins"], "left")
+    out = alleles.join(sums, [*KEY, "is_ins"], "left")
     cols = {}
     for c in [*COUNTS, "cov_add"]:
         total = F.col(c) + F.coalesce(F.col("_" + c), F.lit(0))

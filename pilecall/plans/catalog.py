@@ -520,6 +520,33 @@ def q_mnp_adjust(spark, sf):
     return a.where(F.col("allele") != "").select(*_ACC, "is_ins", "extracnt", "cov_add").fillna(False, ["pstd", "qstd"])
 
 
+def _overlap_inputs(spark, sf):
+    """(region x read pairs, clips, found changes) over the reads that are clipped at long changes."""
+    from pilecall.operators.clip_overlap import overlap_insertions
+    from pilecall.operators.clips import clip_evidence
+
+    fx = _fx(spark, sf)
+    rr = M.region_reads(fx["gap_reads"], fx["regions"], fx["contigs"], CHECK)
+    clips = clip_evidence(rr, fx["ref_blocks"], CHECK).checkpoint()
+    spans = rr.groupBy("region_id", "chr", "region_start", "region_end", "contig_len").agg(F.max("rlen2").alias("max_rlen"))
+    return rr, clips, overlap_insertions(clips, spans, fx["ref_blocks"])
+
+
+def q_clip_overlap(spark, sf):
+    """Changes spelled by a left and a right clip together, each clip used once."""
+    found = _overlap_inputs(spark, sf)[2]
+    return found.select("region_id", "p5", "p3", "bp5", "bp3", "score", "pos", "allele", "is_ins", "cnt5", "cnt3")
+
+
+def q_clip_overlap_counts(spark, sf):
+    """H7 on the pileup: the clips' counts moved to the changes and away from the reference allele."""
+    from pilecall.operators.clip_overlap import clip_overlap_adjust
+
+    rr, clips, found = _overlap_inputs(spark, sf)
+    a = clip_overlap_adjust(M.called_alleles(rr, _fx(spark, sf)["ref_blocks"], CHECK)[0], found, clips)
+    return a.where(F.col("allele") != "").select(*_ACC, "is_ins", "extracnt", "cov_add").fillna(False, ["pstd", "qstd"])
+
+
 def q_call_adjusted(spark, sf):
     """I1 with E17, and F2 where it makes a count exceed the depth."""
     fx = _fx(spark, sf)
@@ -538,6 +565,8 @@ def queries() -> dict:
     return {
         "call_amplicon": q_call_amplicon,
         "mnp_adjust": q_mnp_adjust,
+        "clip_overlap": q_clip_overlap,
+        "clip_overlap_counts": q_clip_overlap_counts,
         "call_adjusted": q_call_adjusted,
         "region_parse": q_region_parse,
         "segment_explode": q_segment_explode,

@@ -9,7 +9,7 @@ array offsets. Each oracle is the shared fixture prelude plus CTEs below.
 from __future__ import annotations
 
 from pilecall.fixtures import PRELUDE
-from pilecall.plans import oracle_amplicon, oracle_complex, oracle_mnp, oracle_normalize
+from pilecall.plans import oracle_amplicon, oracle_complex, oracle_mnp, oracle_normalize, oracle_overlap
 
 GOODQ = 25
 
@@ -696,6 +696,9 @@ WHERE (dup IS NULL OR nr = 1) AND nm IS NOT NULL AND tnm <= 8 AND rlen1 >= 31
     adjusted = (ends, _OPS, _rr("true"), _PILEUP, _CLIPS, _CONSENSUS, oracle_mnp.ctes(GOODQ))
     acc = _ACC.replace("pstd, qstd", "coalesce(pstd, false) AS pstd, coalesce(qstd, false) AS qstd")
     q["mnp_adjust"] = _with(*adjusted).replace(*recursive) + f"\nSELECT {acc}, is_ins, extracnt, cov_add FROM adj WHERE allele <> ''"
+    gaps = (_READS.replace("FROM reads)", "FROM gap_reads)"), _OPS, _rr("true"), _PILEUP, _CLIPS, _CONSENSUS, oracle_overlap.ctes(GOODQ))
+    q["clip_overlap"] = _with(*gaps).replace(*recursive) + oracle_overlap.FOUND
+    q["clip_overlap_counts"] = _with(*gaps).replace(*recursive) + oracle_overlap.counts()
     stats = _STATS.replace("FROM al WHERE", "FROM adj al WHERE").replace(
         "cnt / tcov AS freq_raw", "cnt / (CASE WHEN cnt > tcov AND cnt - tcov < extracnt THEN cnt ELSE tcov END) AS freq_raw")
     final = _FINAL.replace("0.0 AS extrafreq", f"{_r('extracnt / (CASE WHEN cnt > tcov AND cnt - tcov < extracnt THEN cnt ELSE tcov END)', 4)} AS extrafreq")

@@ -6,7 +6,7 @@ from tests.oracle_check import duck, rows_of
 
 SF = "/root/testdata/sf0.001"
 NAMES = ["region_read_overlap", "segment_explode", "amplicon_groups", "read_dedup", "cigar_lengths", "cigar_normalize", "complex_indels",
-         "base_pileup", "mnp_merge", "insertion_pileup", "deletion_pileup", "coverage", "allele_stats",
+         "base_pileup", "mnp_merge", "clip_overlap", "insertion_pileup", "deletion_pileup", "coverage", "allele_stats",
          "softclip_collect", "call_single", "scan_sam", "scan_fasta"]
 
 
