@@ -8,8 +8,9 @@ are cut, into whole sequences, the shorter rest first. The pieces' length histog
 
 by multiplicative weights: lengths covered less get larger weights, and the next
 configuration is the best filling of a sequence by the weights, priced by a knapsack
-dynamic program over the capacity. The fractional solution is rounded down, and what is
-left is packed best fit: the longest length left, filled up by a subset-sum program.
+dynamic program over the capacity. A share of the fractional solution is rounded to whole
+sequences, the program is solved anew for the pieces left, and so on; only the last few
+sequences are packed best fit: the longest length left, filled up by a subset-sum program.
 The driver holds histograms and configurations only; pieces are matched to places in
 Spark by their rank among pieces of equal length, ranked within salted buckets whose
 sizes give each bucket's first rank.
@@ -38,10 +39,13 @@ class PackParams:
     capacity: int = 1024
     end_id: int = 2
     tokenizer: tuple[str, str] | None = None  # files of ranks and JSON; None: the installed public ones
-    rounds: int = 600  # of the multiplicative weights
-    step: float = 0.25  # share of a length's demand that one round may cover
-    eta: float = 4.0  # how fast a covered length loses weight
-    shares: tuple[float, ...] = (1.0, 0.9, 0.7, 0.4, 0.1)  # of the program's solution that are rounded; the best one is taken
+    rounds: int = 80  # least number of rounds of the multiplicative weights, each time that the program is solved
+    work: int = 90_000  # rounds times lengths: few lengths get more rounds
+    step: tuple[float, float] = (0.05, 0.5)  # least and largest share of a length's demand that one round may cover
+    eta: float = 8.0  # how fast a covered length loses weight
+    lean: float = 0.5  # how much more than in proportion a long piece weighs at first
+    share: float = 0.6  # of the sequences that the pieces left need, taken from one solution
+    tail: int = 12  # sequences that are packed best fit in the end
     buckets: int = 1024  # for ranking the pieces of one length
 
 
@@ -73,27 +77,32 @@ def pieces(docs: DataFrame, p: PackParams = PackParams()) -> DataFrame:
     return rows.mapInArrow(run, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")
 
 
-def best_filling(lengths: np.ndarray, values: np.ndarray, capacity: int) -> dict[int, int]:
-    """Knapsack dynamic program: the multiset of length indexes of the largest value within ``capacity``."""
+def best_filling(lengths: np.ndarray, values: np.ndarray, capacity: int, most: np.ndarray | None = None) -> dict[int, int]:
+    """Knapsack dynamic program: the multiset of length indexes of the largest value within ``capacity``.
+
+    ``most`` bounds how often each length may occur; numbers are split into powers of two.
+    """
     best = np.zeros(capacity + 1)
-    choice = np.full(capacity + 1, -1)
-    for c in range(1, capacity + 1):
-        n = np.searchsorted(lengths, c, "right")
-        best[c] = best[c - 1]
-        if n:
-            gain = best[c - lengths[:n]] + values[:n]
-            k = int(gain.argmax())
-            if gain[k] > best[c] + 1e-12:
-                best[c], choice[c] = gain[k], k
+    items: list[tuple[int, int, np.ndarray]] = []
+    for k, n in enumerate(lengths.tolist()):
+        left = capacity // n if most is None else min(int(most[k]), capacity // n)
+        unit = 1
+        while left > 0:
+            many = min(unit, left)
+            w = n * many
+            gain = best[: capacity + 1 - w] + values[k] * many
+            better = gain > best[w:] + 1e-12
+            np.copyto(best[w:], gain, where=better)
+            items.append((k, many, better))
+            left -= many
+            unit *= 2
     out: dict[int, int] = {}
     c = capacity
-    while c > 0:
-        k = int(choice[c])
-        if k < 0:
-            c -= 1
-        else:
-            out[k] = out.get(k, 0) + 1
-            c -= int(lengths[k])
+    for k, many, better in reversed(items):
+        w = int(lengths[k]) * many
+        if c >= w and better[c - w]:
+            out[k] = out.get(k, 0) + many
+            c -= w
     return out
 
 
@@ -126,39 +135,66 @@ def fullest(lengths: list[int], counts: dict[int, int], capacity: int) -> dict[i
     return out
 
 
-def longest_first(lengths: list[int], counts: dict[int, int], capacity: int) -> dict[int, int]:
-    """Best fit for the longest length left: again and again the longest length that still fits."""
-    out: dict[int, int] = {}
-    room = capacity
-    for n in lengths:
-        if take := min(counts[n], room // n):
-            out[n] = take
-            room -= n * take
-    return out
+Config = tuple[tuple[int, int], ...]  # ((length, number), ...)
 
 
-def fractional(histogram: dict[int, int], p: PackParams) -> dict[tuple[tuple[int, int], ...], float]:
-    """Configurations ((length, number), ...) and how often to use them: the covering program by multiplicative weights."""
+def fractional(histogram: dict[int, int], p: PackParams) -> dict[Config, float]:
+    """Configurations and how often to use them: the covering program by multiplicative weights.
+
+    No configuration holds a length more often than there are pieces of it. The weights
+    end when every length is covered, and the solution is scaled to the total length.
+    """
     lengths = np.array(sorted(histogram), np.int64)
-    demand = np.array([histogram[n] for n in lengths.tolist()], float)
+    demand = np.array([histogram[n] for n in lengths.tolist()], np.int64)
+    first = lengths * (1 + p.lean * lengths / p.capacity)  # short pieces fill any gap, so they are worth keeping
     cover = np.zeros(len(lengths))
-    solution: dict[tuple[tuple[int, int], ...], float] = {}
-    for _ in range(p.rounds):
-        values = lengths * np.exp(-p.eta * (cover - cover.min()))
-        picked = best_filling(lengths, values, p.capacity)
-        picked = {k: min(a, int(demand[k])) for k, a in picked.items() if values[k] > 1e-6}
-        x = p.step * min(demand[k] / a for k, a in picked.items())
+    solution: dict[Config, float] = {}
+    step = min(max(p.step[0], len(lengths) / 1200), p.step[1])  # few lengths, finer steps
+    for _ in range(max(p.rounds, p.work // len(lengths))):
+        values = first * np.exp(-p.eta * (cover - cover.min()))
+        picked = best_filling(lengths, values, p.capacity, demand)
+        x = step * min(demand[k] / a for k, a in picked.items())
         for k, a in picked.items():
             cover[k] += a * x / demand[k]
         key = tuple(sorted((int(lengths[k]), a) for k, a in picked.items()))
         solution[key] = solution.get(key, 0.0) + x
-    scale = float(max(np.quantile(cover, 0.02), np.median(cover)))
-    return {key: x / scale for key, x in solution.items()} if scale > 0 else solution
+        if cover.min() >= 1:
+            break
+    total = sum(x * sum(n * a for n, a in key) for key, x in solution.items())
+    return {key: x * float(lengths @ demand) / total for key, x in solution.items()}
 
 
-def completed(solution: dict, histogram: dict[int, int], finish, p: PackParams) -> list[tuple[dict[int, int], int]]:
-    """``solution`` rounded down, the fullest configurations first, and the rest packed by ``finish``."""
-    left = dict(histogram)
+def rounded(solution: dict[Config, float], left: dict[int, int], most: int):
+    """(configuration, number of uses) within the pieces ``left``: whole uses first, then further ones by their fraction, up to ``most`` in all."""
+    left = dict(left)
+
+    def uses(key: Config, wanted: int) -> int:
+        many = min([wanted, most - used, *(left[n] // a for n, a in key)])
+        for n, a in key:
+            left[n] -= a * many
+        return many
+
+    used = 0
+    full = {key: sum(n * a for n, a in key) for key in solution}
+    for key in sorted(solution, key=lambda key: (-full[key], key)):
+        if (many := uses(key, int(solution[key]))) > 0:
+            used += many
+            yield key, many
+    for key in sorted(solution, key=lambda key: (-full[key], -(solution[key] % 1), key)):
+        if (many := uses(key, 1)) > 0:
+            used += many
+            yield key, many
+
+
+def configurations(histogram: dict[int, int], p: PackParams = PackParams()) -> list[tuple[dict[int, int], int]]:
+    """(lengths with their numbers in one sequence, number of such sequences), covering ``histogram`` exactly.
+
+    Lengths that nothing fits beside are sequences of their own. The program is solved for
+    the pieces, a share of its solution rounded to whole uses, and solved anew for the pieces
+    left, so each sequence is priced for what is still there; the last ``tail`` sequences'
+    worth of pieces is packed best fit.
+    """
+    left = {n: c for n, c in histogram.items() if c > 0}
     plan: list[tuple[dict[int, int], int]] = []
 
     def use(config: dict[int, int], many: int) -> None:
@@ -168,30 +204,19 @@ def completed(solution: dict, histogram: dict[int, int], finish, p: PackParams)
             if not left[n]:
                 del left[n]
 
-    for key in sorted(solution, key=lambda key: (-sum(n * a for n, a in key), key)):
-        many = min([int(solution[key]), *(left.get(n, 0) // a for n, a in key)])
-        if many > 0:
+    if left:
+        shortest = min(left)
+        for n in [n for n in left if n + shortest > p.capacity]:
+            use({n: 1}, left[n])
+    while (least := sum(n * c for n, c in left.items()) / p.capacity) > p.tail:
+        for key, many in list(rounded(fractional(left, p), left, max(1, int(least * p.share)))):
             use(dict(key), many)
     while left:
-        config = finish(sorted(left, reverse=True), left, p.capacity)
+        config = fullest(sorted(left, reverse=True), left, p.capacity)
         use(config, min(left[n] // a for n, a in config.items()))
     return plan
 
 
-def configurations(histogram: dict[int, int], p: PackParams = PackParams()) -> list[tuple[dict[int, int], int]]:
-    """(lengths with their numbers in one sequence, number of such sequences), covering ``histogram`` exactly.
-
-    Rounding down the whole solution can leave a rest without short lengths, so smaller
-    shares of it are rounded as well, each rest is packed best fit in two ways, and the
-    plan of the fewest sequences is taken.
-    """
-    histogram = {n: c for n, c in histogram.items() if c > 0}
-    solution = fractional(histogram, p) if histogram else {}
-    rounded = [{key: share * x for key, x in solution.items()} for share in p.shares]
-    plans = [completed(r, histogram, f, p) for r in rounded for f in (fullest, longest_first)]
-    return min(plans, key=lambda plan: sum(many for _, many in plan))
-
-
 def places(plan: list[tuple[dict[int, int], int]]) -> dict[int, np.ndarray]:
     """For each length: rows (first rank, number in a sequence, first sequence, offset), by first rank."""
     rank: dict[int, int] = {}

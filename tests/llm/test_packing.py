@@ -104,9 +104,51 @@ def test_knapsack_against_enumeration():
     lengths = np.array([2, 3, 5, 7])
     for _ in range(20):
         values = rng.random(4)
-        best = max(v @ values for v in np.ndindex(10, 7, 5, 3) if np.dot(v, lengths) <= 17 for v in [np.array(v)])
-        got = P.best_filling(lengths, values, 17)
-        assert sum(values[k] * a for k, a in got.items()) == pytest.approx(best)
+        most = rng.integers(1, 10, 4)
+        for bound in (None, most):
+            best = max(v @ values for v in np.ndindex(10, 7, 5, 3) if np.dot(v, lengths) <= 17 for v in [np.array(v)] if bound is None or (v <= bound).all())
+            got = P.best_filling(lengths, values, 17, bound)
+            assert sum(values[k] * a for k, a in got.items()) == pytest.approx(best)
+            assert sum(lengths[k] * a for k, a in got.items()) <= 17 and (bound is None or all(a <= bound[k] for k, a in got.items()))
+
+
+def best_fit(histogram, capacity):
+    """Sequences of best fit, longest first."""
+    rooms, n = {}, 0
+    for x in sorted(histogram, reverse=True):
+        for _ in range(histogram[x]):
+            room = min((r for r, c in rooms.items() if r >= x and c), default=None)
+            if room is None:
+                n, room = n + 1, capacity
+            else:
+                rooms[room] -= 1
+            rooms[room - x] = rooms.get(room - x, 0) + 1
+    return n
+
+
+def test_the_program_gives_the_plan(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    histogram = {r["length"]: r["count"] for r in P.pieces(docs).groupBy("length").count().collect()}
+    plan = P.configurations(histogram)
+    total = sum(many for _, many in plan)
+    # no worse than longest-first best fit without any program
+    assert total <= best_fit(histogram, 1024)
+    # all but the tail come from the program, or hold a piece that nothing fits beside
+    class Never(Exception):
+        pass
+
+    def never(*_):
+        raise Never
+
+    kept, P.fullest = P.fullest, never
+    try:
+        with pytest.raises(Never):
+            P.configurations(histogram)
+        priced = P.configurations({n: c for n, c in histogram.items() if n == 1024})
+    finally:
+        P.fullest = kept
+    assert priced == [({1024: 1}, histogram[1024])]
+    assert P.PackParams().tail + 2 < 0.05 * (total - histogram[1024])
 
 
 def test_odd_rows(spark):
