@@ -10,3 +10,59 @@ def test_scan_alignments_takes_contigs_that_nothing_has_asked_for(spark):
 
     got = rows_of(E.queries()["scan_alignments"](spark, SF).toPandas())
     assert got == rows_of(duck(SF).execute(E.oracle_sql()["scan_alignments"]).df())
+
+
+def _ops(spark, rows):
+    """Op rows of 8M runs from hand-made (read start, read bases, qualities, mapping quality, reverse)."""
+    cols = ("region_id long, chr string, region_start long, region_end long, contig_len long, start_pos long, mapq int, seq string, seq_qual string, "
+            "tnm int, rlen1 int, rlen2 int, dir boolean, idx int, len int, op string, rofs int, qofs int, pofs int, nops int, prev_op string, first_op string, seg_start long")
+    return spark.createDataFrame([(1, "chr1", 3, 9, 100, s, mq, seq, qual, 0, 8, 8, rev, 0, 8, "M", 0, 0, 0, 1, None, "M", s) for s, seq, qual, mq, rev in rows], cols)
+
+
+ODD = [(1, "ACGTACGT", "IIIIIIII", 30, False), (1, "ACGTACGA", "III#IIII", 40, True), (4, "ACNTACGT", "ABCDEFGH", 20, False),
+       (4, "ACGTACGT", "ABC", 20, False), (5, "ACGTACGT", None, 20, True), (5, "ACGTACGT", "IIIIIIII", None, True), (6, "ACG", "III", 10, False),
+       (2, "ACÄTACGT", "IIIIIIII", 50, False), (2, "ACGTACGT", "ÄIIIIIII", 50, False), (9, "ACGTACGT", "IIIIIIII", None, None), (40, "ACGTACGT", "IIIIIIII", 30, False)]
+
+
+def test_sums_of_bases_are_those_of_single_bases(spark):
+    from pilecall.operators import pileup as PU
+    from pilecall.params import CallParams
+
+    ops = _ops(spark, ODD * 3)
+    for p in (CallParams(), CallParams(trim=5)):
+        got = rows_of(PU.aggregate_events(PU._base_events(ops, p)).toPandas())
+        assert got == rows_of(PU.aggregate_events(PU._letter_events(ops, p)).toPandas())
+        assert got[1]
+
+
+def test_pileup_hands_sums_to_the_shuffle_and_not_bases(spark):
+    from pilecall.operators import pileup as PU
+    from pilecall.params import CallParams
+
+    ops = _ops(spark, ODD[:2] * 200).repartition(1)
+    events = PU._plain_events(ops, CallParams())
+    assert events.agg({"cov": "sum"}).first()[0] == 400 * 6
+    assert events.count() <= 2 * 8
+
+
+def test_costly_columns_are_computed_once(spark):
+    from pyspark.sql import functions as F
+
+    from pilecall.operators.clips import kept_clips
+    from pilecall.plans import catalog as K
+
+    fx = K._fx(spark, SF)
+    plan = kept_clips(K._rr(spark, SF), fx["ref_blocks"], K.CHECK).select(F.col("w.qn"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(sequence(0, (m#") == 1
+
+
+def test_breakpoint_search_tries_only_offsets_with_an_equal_part(spark):
+    from pilecall.operators.realign import breakpoint_search
+    from pilecall.operators.clips import softclip_consensus
+    from pilecall.plans import catalog as K
+
+    fx = K._fx(spark, SF)
+    df = breakpoint_search(softclip_consensus(K._clip_table(spark, SF)), fx["ref_blocks"], fx["regions"], fx["contigs"])
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(sequence(0, (length(consensus") == 1
+    assert rows_of(df.toPandas()) == rows_of(duck(SF).execute(__import__("__spark_entry__").oracle_sql()["breakpoint_search"]).df())
