@@ -66,3 +66,36 @@ def test_breakpoint_search_tries_only_offsets_with_an_equal_part(spark):
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("aggregate(sequence(0, (length(consensus") == 1
     assert rows_of(df.toPandas()) == rows_of(duck(SF).execute(__import__("__spark_entry__").oracle_sql()["breakpoint_search"]).df())
+
+
+def test_stretches_between_merged_mismatches_are_sums(spark):
+    """Two reads copied 200 times, one with an MNP inside the region, one that loses its qualities half way: few events, the counts of single bases."""
+    from pyspark.sql import functions as F
+
+    from pilecall.operators import pileup as PU
+    from pilecall.params import CallParams
+
+    rows = [(1, "ACTGACGA", "IIIIIIII", 30, False), (2, "CGTACGTT", "IIII", 20, True)]
+    ops = _ops(spark, rows * 200).repartition(1).withColumns({"tnm": F.lit(3), "wseq": F.lit("ACGTACGTACGTACGT"), "wstart": F.lit(1).cast("long")})
+    ops = PU._with_step(ops)
+    assert {r.step for r in ops.select("step").distinct().collect()} == {"run"}
+    events = PU._ref_events(ops, CallParams())
+    whole = events.where("cov > 1")
+    assert whole.count() and whole.count() <= 16  # sums of 200 bases, not bases
+    got = {(r.pos, r.allele): (r.cnt, r.nm_sum, r.q_sum) for r in PU.aggregate_events(events).collect() if r.allele}
+    # read 1 differs at positions 3, 4 (one MNP, counted once from there on) and 8, read 2 at position 9
+    assert got[(3, "T&G")] == (200, 400, 8000.0)
+    assert got[(4, "T")][:2] == (200, 600)
+    assert got[(5, "A")][:2] == (400, 1000)
+    assert got[(8, "A")] == (200, 400, 8000.0)
+    assert got[(9, "T")][0] == 200
+
+
+def test_ops_are_stored_with_the_branch_that_reads_them(spark):
+    from pilecall.operators import pileup as PU
+    from pilecall.plans import catalog as K
+
+    ops = PU.op_table(K._rr(spark, SF))
+    assert {"sum", "run", "edge", "gap"} <= {r.step for r in ops.select("step").distinct().collect()}
+    plan = ops.where("step = 'gap'")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(step), EqualTo(step,gap)]" in plan
