@@ -99,3 +99,31 @@ def test_ops_are_stored_with_the_branch_that_reads_them(spark):
     assert {"sum", "run", "edge", "gap"} <= {r.step for r in ops.select("step").distinct().collect()}
     plan = ops.where("step = 'gap'")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(step), EqualTo(step,gap)]" in plan
+
+
+def test_microsatellite_search_equals_the_count_of_every_copy(spark):
+    """Repeats at either side, none, shorter and empty texts, against the copies counted one by one."""
+    import itertools
+
+    from pilecall.operators.calls import msi_score
+
+    def by_hand(t1, t2, left):
+        s1, best = (left or "") + t1, (0.0, 0)
+        for k in range(1, min(8, len(t1)) + 1):
+            unit, c = t1[-k:], 0
+            while (c + 1) * k <= len(s1) and s1.endswith(unit * (c + 1)):
+                c += 1
+            d = 0
+            while (d + 1) * k <= len(t2) and t2.startswith(unit * (d + 1)):
+                d += 1
+            best = max(best, (float(c + d), k), key=lambda x: x[0])
+        joined = t1 + t2
+        return best + (next((i for i, x in enumerate(t2) if joined[i] != x), len(t2)),)
+
+    texts = ["", "A", "AAAA", "ACACAC", "CACACACACA", "GATTACAGATTACA", "TTTTTTTTTTTTTTTTTTA", "ACGTTGCA"]
+    cases = [(a, b, c) for a, b, c in itertools.product(texts, texts, [*texts[:4], None])]
+    df = spark.createDataFrame(cases, "t1 string, t2 string, l string")
+    for r in msi_score(df, "t1", "t2", "l").collect():
+        assert (r.msi.msi, r.msi.unit, r.msi.shift3) == by_hand(r.t1, r.t2, r.l), r
+    expr = msi_score(df, "t1", "t2")._jdf.queryExecution().analyzed().toString()
+    assert "repeat(right(t1" in expr and "THEN 1 ELSE size" in expr  # one differing copy settles a count
