@@ -101,6 +101,34 @@ def test_ops_are_stored_with_the_branch_that_reads_them(spark):
     assert "PushedFilters: [IsNotNull(step), EqualTo(step,gap)]" in plan
 
 
+def test_reads_of_one_whole_run_are_summed_without_the_op_table(spark):
+    """Ordinary and odd reads: the same sums as through the op table, which holds only the reads that need it."""
+    from pilecall.operators import pileup as PU
+    from pilecall.params import CallParams
+
+    cols = ("region_id long, chr string, region_start long, region_end long, contig_len long, start_pos long, mapq int, seq string, qual string, cigar string, "
+            "nm int, tnm int, rlen1 int, rlen2 int, flag int")
+    odd = [(3, 30, "ACGTACGT", "IIIIIIII", "8M", 0, 0), (4, 20, "ACNTACGA", "III#IIII", "8=", 1, 16), (2, 20, "ACGTACGT", "ABC", "8M", 0, 0), (5, 20, "ACGTACGT", None, "8M", 0, 16),
+           (5, None, "ACGTACGT", "IIIIIIII", "8M", 0, 0), (2, 50, "ACÄTACGT", "IIIIIIII", "8M", 0, 0), (4, 10, "ACG", "III", "8M", 0, 0), (1, 9, "ACGTACGT", "IIIIIIII", "4M2D4M", 2, 0)]
+    rows = [(1, "chr1", 3, 9, 100 if s < 5 else None, s, mq, seq, q, c, nm, 0, 8, 8, fl) for s, mq, seq, q, c, nm, fl in odd] * 3
+    rr = spark.createDataFrame(rows, cols)
+    blocks = spark.createDataFrame([("chr1", 0, 1, "ACGT" * 8)], "chr string, block long, block_start long, seq string")
+    assert rr.where(PU._is_quiet()).count() == 2 * 3
+    for p in (CallParams(), CallParams(trim=5)):
+        got = rows_of(PU.aggregate_events(PU.pileup_events(rr, blocks, p)).toPandas())
+        assert got == rows_of(PU.aggregate_events(PU._plain_events(PU.op_table(rr), p)).toPandas())
+        assert got[1]
+
+
+def test_reads_that_pass_the_op_table_by_are_told_from_stored_columns(spark):
+    """So neither half of the reads parses the CIGARs of the other."""
+    from pilecall.operators import pileup as PU
+    from pilecall.plans import catalog as K
+
+    plan = K._rr(spark, SF).where(~PU._is_quiet()).select("region_id", "ops")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate inline") < plan.index("octet_length(")  # the filter stands below the parse
+
+
 def test_microsatellite_search_equals_the_count_of_every_copy(spark):
     """Repeats at either side, none, shorter and empty texts, against the copies counted one by one."""
     import itertools
