@@ -19,10 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pilecall.functions.cigar import with_ops
+from pilecall.functions.exprs import computed_once
 from pilecall.operators.joins import with_reference
 from pilecall.operators.pileup import _in_region, _Kinds, _REGION_KEYS, _tp, aggregate_events
 from pilecall.params import CallParams
-
+from pilecall.session import stored
 
 
 def _second(i: str, vext: int) -> str:
@@ -38,6 +39,8 @@ def _joined(i: str, vext: int) -> str:
 
 def indel_events(region_reads: DataFrame, p: CallParams) -> DataFrame:
     """One row per event: the opening op, what it takes (``kind`` 2: E7, 1: joined insertion, 0: neither) and the match behind it."""
+    if "cigar" in region_reads.columns:
+        region_reads = region_reads.where(F.col("cigar").rlike("[ID]"))  # on a stored column: other reads are neither parsed nor joined
     base = with_ops(region_reads).select(
         *_REGION_KEYS[:4], F.coalesce(F.col("contig_len"), F.lit(2**62).cast("long")).alias("contig_len"),
         "start_pos", "mapq", "seq", F.col("qual").alias("seq_qual"), "tnm", "rlen1",
@@ -71,20 +74,27 @@ def complex_events(region_reads: DataFrame, ref_blocks: DataFrame, p: CallParams
 
     An insertion's mismatch bases add coverage of their own (rows without an allele).
     """
-    ev = indel_events(region_reads, p)
+    # a deletion counts at its first base only; an insertion covers what it takes wherever that lies
+    ev = indel_events(region_reads, p).where((F.col("op") == "I") | _in_region(F.col("seg_start")))
+    # written once: the reference lookup looks for long stretches first
+    ev = stored(ev, "indels")
     lo = F.greatest(F.lit(1), F.col("ref_on"))
     ev = with_reference(ev.withColumns({"_lo": lo, "_hi": F.greatest(lo, F.col("ref_on") + F.col("more") - 1)}), ref_blocks)
     read, ref = "substr(seq, read_on + t + 1, 1)", "substr(wseq, cast(ref_on + t - wstart + 1 AS int), 1)"
     stop = f"({read} IN ('N', '') OR ascii(substr(seq_qual, read_on + t + 1, 1)) - 33 < {p.goodq} OR (op = 'D' AND {ref} = 'N'))"
-    scan = (
-        "aggregate(CASE WHEN more > 0 THEN sequence(0, more - 1) ELSE cast(array() AS array<int>) END, "
-        "named_struct('run', 0, 'off', 0, 'nm', 0, 'on', true), "
+    step = (
         f"(a, t) -> CASE WHEN NOT a.on OR a.run > {p.vext} OR {stop} THEN named_struct('run', a.run, 'off', a.off, 'nm', a.nm, 'on', false) "
         f"WHEN {ref} IN ('.', '') THEN a "
         f"WHEN {read} <> {ref} THEN named_struct('run', 0, 'off', t + 1, 'nm', a.nm + 1, 'on', true) "
-        "ELSE named_struct('run', a.run + 1, 'off', a.off, 'nm', a.nm, 'on', true) END)"
+        "ELSE named_struct('run', a.run + 1, 'off', a.off, 'nm', a.nm, 'on', true) END"
     )
-    ev = ev.select("*", F.expr(f"inline(array(struct({scan} AS s)))")).withColumns({"off": F.col("s.off"), "ext_nm": F.col("s.nm")}).drop("wseq", "wstart", "s")
+    # most scans end within the first bases: the others are walked only by those that don't
+    near = 2 * (p.vext + 1)
+    scan = (f"aggregate(CASE WHEN more > 0 THEN sequence(0, least(more, {near}) - 1) ELSE cast(array() AS array<int>) END, "
+            f"named_struct('run', 0, 'off', 0, 'nm', 0, 'on', true), {step})")
+    scan = (f"transform(array({scan}), b -> aggregate(CASE WHEN more > {near} AND b.on AND b.run <= {p.vext} "
+            f"THEN sequence({near}, more - 1) ELSE cast(array() AS array<int>) END, b, {step}))[0]")
+    ev = computed_once(ev, s=F.expr(scan)).withColumns({"off": F.col("s.off"), "ext_nm": F.col("s.nm")}).drop("wseq", "wstart", "s")
 
     def pieces(of: str, second_deletion: str) -> list[str]:
         """The event's stretches of ``of`` (bases or qualities) in order."""
@@ -107,7 +117,7 @@ def complex_events(region_reads: DataFrame, ref_blocks: DataFrame, p: CallParams
              f"ELSE greatest({before}, {after}) END")
     quals = f"concat({', '.join(pieces('seq_qual', behind))}, {flank})"
     mean = f"aggregate(sequence(1, length(quals)), 0D, (a, k) -> a + ascii(substr(quals, k, 1)) - 33) / length(quals)"
-    ev = ev.withColumns({"key": F.expr(key), "quals": F.expr(quals)}).withColumn("q", F.expr(mean))
+    ev = computed_once(computed_once(ev, key=F.expr(key), quals=F.expr(quals)), q=F.expr(mean))
     ins = F.col("op") == "I"
     rows = ev.withColumn("k", F.explode(F.sequence(F.lit(0), F.when(ins, F.col("off")).otherwise(F.lit(0)))))
     kinds = _Kinds(p.goodq)

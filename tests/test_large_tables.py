@@ -155,3 +155,43 @@ def test_microsatellite_search_equals_the_count_of_every_copy(spark):
         assert (r.msi.msi, r.msi.unit, r.msi.shift3) == by_hand(r.t1, r.t2, r.l), r
     expr = msi_score(df, "t1", "t2")._jdf.queryExecution().analyzed().toString()
     assert "repeat(right(t1" in expr and "THEN 1 ELSE size" in expr  # one differing copy settles a count
+
+
+def _aligned(spark, rows):
+    """Parsed reads and reference blocks (256 bases) from (name, start, CIGAR, offsets of changed bases, inserted bases)."""
+    import random
+    import re
+
+    from pilecall.operators.read_filters import with_read_columns
+
+    text = "".join(random.Random(5).choice("ACGT") for _ in range(256))
+    other = dict(zip("ACGT", "CGTA"))
+    out = []
+    for name, start, cigar, changed, new in rows:
+        ops = [(int(n), o) for n, o in re.findall(r"(\d+)([MIDS])", cigar)]
+        at, seq = start - (ops[0][0] if ops[0][1] == "S" else 0), ""
+        for n, o in ops:
+            seq += new if o == "I" else "" if o == "D" else text[at - 1:at - 1 + n]
+            at += 0 if o == "I" else n
+        seq = "".join(other[b] if i in changed else b for i, b in enumerate(seq))
+        out.append((name, "tumor", "chr1", start, 0, 60, cigar, seq, "I" * len(seq), 8))
+    reads = spark.createDataFrame(out, "read_name string, sample string, chr string, start_pos long, flag int, mapq int, cigar string, seq string, qual string, nm int")
+    blocks = spark.createDataFrame([("chr1", k, 32 * k + 1, text[32 * k:32 * k + 32]) for k in range(8)], "chr string, block long, block_start long, seq string")
+    return with_read_columns(reads), blocks, text, {x[0]: x[7] for x in out}
+
+
+def test_complex_indels_meet_their_regions_once(spark):
+    from pilecall.operators.compound import complex_events
+    from pilecall.params import CallParams
+
+    # a change every third base keeps a scan going beyond the bases that most need
+    reads, blocks, text, seqs = _aligned(spark, [("far", 50, "10M2I30M", {14, 17, 20, 23, 26}, "GA"), ("out", 50, "10M3D30M", {}, ""), ("in", 70, "10M3D30M", {}, "")])
+    regions = spark.createDataFrame([(1, "chr1", 70, 90, 256)], "region_id long, region_chr string, region_start long, region_end long, contig_len long").drop("region_chr")
+    events = complex_events(reads.crossJoin(regions), blocks, CallParams(goodq=25.0))
+    assert any("/indels-" in f for f in events.inputFiles())  # the look for long stretches doesn't join the reads again
+    got = sorted((r["pos"], r["allele"], r["cnt"]) for r in events.collect())
+    # the insertion lies before the region: its bases cover all the same; of the deletions only the one inside is left
+    assert got == [(p, "", 0) for p in range(60, 75)] + [(80, "-3", 1)]
+    wide = reads.where("read_name = 'far'").crossJoin(regions.selectExpr("region_id", "1L AS region_start", "200L AS region_end", "contig_len"))
+    keys = {r["allele"] for r in complex_events(wide, blocks, CallParams(goodq=25.0)).collect()}
+    assert keys == {"", "+GA&" + seqs["far"][12:27]}
