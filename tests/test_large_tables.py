@@ -195,3 +195,29 @@ def test_complex_indels_meet_their_regions_once(spark):
     wide = reads.where("read_name = 'far'").crossJoin(regions.selectExpr("region_id", "1L AS region_start", "200L AS region_end", "contig_len"))
     keys = {r["allele"] for r in complex_events(wide, blocks, CallParams(goodq=25.0)).collect()}
     assert keys == {"", "+GA&" + seqs["far"][12:27]}
+
+
+def test_normalized_clips_are_walked_as_far_as_they_match(spark):
+    from pilecall.operators.normalize import normalize_cigar
+
+    reads, blocks, _, _ = _aligned(spark, [("all", 60, "20M20S", {}, ""), ("six", 60, "20M20S", {27}, ""), ("two", 60, "20M20S", {20, 21, 22, 23}, ""),
+                                           ("head", 80, "20S20M", {}, ""), ("part", 80, "20S20M", {12}, ""), ("plain", 60, "40M", {}, ""), ("empty", 60, "20M0I20M", {}, "")])
+    out = normalize_cigar(reads, blocks)
+    assert any("/indel_reads-" in f for f in out.inputFiles())  # clips and indels are parsed once
+    got = {r["read_name"]: (r["start_pos"], r["cigar"]) for r in out.collect()}
+    assert got == {"all": (60, "40M"), "six": (60, "27M13S"), "two": (60, "20M20S"), "head": (60, "40M"), "part": (73, "13S27M"),
+                   "plain": (60, "40M"), "empty": (60, "20M0I20M")}
+
+
+def test_cigars_are_parsed_with_one_search(spark):
+    from pilecall.functions.cigar import with_cigar_columns
+
+    df = spark.createDataFrame([(1, "3I4=2X1D5M2N6M2I"), (1, "*"), (1, None), (1, "10H5S20M")], "start_pos long, cigar string")
+    out = with_cigar_columns(df)
+    assert out._jdf.queryExecution().analyzed().toString().count("regexp_extract_all(") == 1
+    rows = out.collect()
+    assert [tuple(x) for x in rows[0]["ops"]] == [
+        (0, 3, "S", "I", 0, 0, 0, 8), (1, 4, "M", "M", 0, 3, 0, 8), (2, 2, "M", "M", 4, 7, 4, 8), (3, 1, "D", "D", 6, 9, 6, 8),
+        (4, 5, "M", "M", 7, 9, 6, 8), (5, 2, "N", "N", 12, 14, 11, 8), (6, 6, "M", "M", 14, 14, 11, 8), (7, 2, "S", "I", 20, 20, 17, 8)]
+    assert [rows[0][c] for c in ("ref_span", "rlen1", "rlen2", "indel_len", "md_len", "end_pos")] == [20, 22, 22, 6, 18, 20]
+    assert [r["ops"] for r in rows[1:3]] == [[], []] and rows[3]["rlen2"] == 25
