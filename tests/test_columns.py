@@ -94,3 +94,58 @@ def test_pieces_of_cigars_in_columns(spark):
     assert [len(x["ops"]) for x in out.to_pylist()] == [4, 0, 1, 1]
     assert [(x["ref_span"], x["rlen1"], x["rlen2"], x["indel_len"], x["md_len"]) for x in out.to_pylist()] == [(2, 11, 14, 9, 2), (0,) * 5, (7, 7, 7, 0, 7), (12, 12, 12, 0, 12)]
     assert [x["op"] for x in out.to_pylist()[0]["ops"]] == ["S", "I", "M", "S"]
+
+
+def _clipped(spark, seed):
+    """Region x read pairs clipped on either side, with the reference: some clips go on as the reference does, some texts are odd."""
+    rnd = random.Random(seed)
+    under = _text(rnd, 128)
+    rows = []
+    for k in range(120):
+        a, b = rnd.choice([0, 0, 3, 7, 12]), rnd.choice([0, 0, 4, 9, 14])
+        start = rnd.randint(20, 80)
+        seq = list(under[start - 1 - a:start - 1 + 10 + b])
+        for _ in range(rnd.choice([0, 1, 4])):
+            seq[rnd.randrange(len(seq))] = rnd.choice("ACGTN")
+        seq, qual = "".join(seq), _text(rnd, len(seq), "#+5IIII")
+        if k % 20 == 3:
+            seq, qual = rnd.choice([(seq[:-2], qual), (seq, qual[:-2]), ("Ä" + seq[1:], qual), (seq, "é" + qual[1:])])
+        rows.append((k % 2, "chr1", 40, 60, 100, start, 30, seq, qual, (f"{a}S" if a else "") + "10M" + (f"{b}S" if b else ""), 1, 1, 10, 10 + a + b, rnd.choice([0, 16])))
+    cols = ("region_id long, chr string, region_start long, region_end long, contig_len long, start_pos long, mapq int, seq string, qual string, cigar string, "
+            "nm int, tnm int, rlen1 int, rlen2 int, flag int")
+    blocks = [("chr1", k, 32 * k + 1, under[32 * k:32 * k + 32]) for k in range(4)]
+    return spark.createDataFrame(rows, cols), spark.createDataFrame(blocks, "chr string, block long, block_start long, seq string")
+
+
+def test_clips_walked_in_columns(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from pilecall.operators import clips as CL
+    from pilecall.params import CallParams
+
+    rr, blocks = _clipped(spark, 3)
+    p = CallParams(buffer=15)
+    kept = CL.kept_clips(rr, blocks, p)
+    assert any("/clip_ops-" in f for f in kept.inputFiles())  # the look for long stretches doesn't join the reads again
+    want = ["region_id", "side", "pos", "m", "base0", "w", "seq", "seq_qual", "dir"]
+    rows = sorted(map(str, kept.select(want).collect()))
+    bases = {(r["region_id"], r["side"], r["pos"], r["cidx"], r["base"]): (r["cnt"], r["q_sum"]) for r in CL.softclip_table(CL.kept_bases(kept)).collect()}
+    by_hand = {}
+    for r in kept.collect():
+        for t in range(r["w"]["qn"]):
+            at = r["base0"] - t if r["side"] == 5 else r["base0"] + t
+            key = (r["region_id"], r["side"], r["pos"], t, r["seq"][at:at + 1])
+            n, q = by_hand.get(key, (0, 0))
+            by_hand[key] = n + 1, q + (ord(r["seq_qual"][at]) if at < len(r["seq_qual"]) else 0) - 33
+    assert bases == by_hand and len(bases) > 100
+    monkeypatch.setattr(CL, "is_whole_clip", lambda: F.lit(False))
+    assert rows == sorted(map(str, CL.kept_clips(rr, blocks, p).select(want).collect()))
+
+
+def test_consensus_needs_one_shuffle_of_the_bases(spark):
+    from pilecall.operators import clips as CL
+
+    bases = spark.createDataFrame([(1, 3, 10, 0, "A", 3, 90), (1, 3, 10, 1, "C", 2, 60), (1, 3, 10, 0, "A", 1, 30)], "region_id long, side int, pos long, cidx int, base string, cnt long, q_sum long")
+    out = CL.softclip_consensus(CL.softclip_table(bases))
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert [(r["consensus"], r["total"], r["match"]) for r in out.collect()] == [("AC", 6, 6)]
