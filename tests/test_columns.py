@@ -149,3 +149,52 @@ def test_consensus_needs_one_shuffle_of_the_bases(spark):
     out = CL.softclip_consensus(CL.softclip_table(bases))
     assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
     assert [(r["consensus"], r["total"], r["match"]) for r in out.collect()] == [("AC", 6, 6)]
+
+
+def test_indel_events_in_columns():
+    """Which ops an event takes, against a walk over each read's ops."""
+    import pyarrow as pa
+
+    from pilecall.functions.cigar import parsed
+    from pilecall.operators.compound import _found
+
+    rnd = random.Random(4)
+    cigars = [[f"{rnd.randint(1, 5)}{rnd.choice('MMMIDSN')}" for _ in range(rnd.randint(0, 9))] for _ in range(300)]
+    ops = parsed(pa.array(cigars, pa.list_(pa.string()))).field("ops")
+    for got, read in zip(_found(ops, 2).to_pylist(), ops.to_pylist(), strict=True):
+        want, free, read = [], 0, read + [{"op": "", "raw": None, "len": None}] * 3
+        for i, x in enumerate(read[:-3]):
+            if i < free or x["op"] not in ("I", "D"):
+                continue
+            a, b = read[i + 1:i + 3]
+            kind = 2 if a["raw"] == "M" and a["len"] <= 2 and b["raw"] in ("I", "D") else 1 if x["op"] == "D" and a["raw"] == "I" else 0
+            free, follow = i + 1 + kind, read[i + 1 + kind]
+            want.append({"kind": kind, **{c: x[c] for c in ("op", "len", "qofs", "pofs", "rofs")}, "m1": a["len"], "m2": b["len"], "o2": b["raw"],
+                         "more": follow["len"] if follow["raw"] == "M" else 0})
+        assert got == want
+
+
+def test_mismatch_scans_in_columns():
+    """How far an event goes into the match behind it, against a walk over each one's bases."""
+    import pyarrow as pa
+
+    from pilecall.operators.compound import _extended
+
+    rnd = random.Random(5)
+    rows = []
+    for _ in range(400):
+        n = rnd.randint(0, 12)
+        ref = _text(rnd, n, "ACGT" * 6 + "N.")
+        read = "".join(rnd.choice("ACGTÄN") if rnd.random() < 0.4 else b for b in ref)
+        rows.append((rnd.random() < 0.5, n, read[:rnd.choice([n, n, 5])], "".join(rnd.choice("I" * 9 + "#") for _ in range(rnd.choice([n, n, 6]))), ref[:rnd.choice([n, n, 7])]))
+    got = _extended(*[pa.array([r[k] for r in rows]) for k in range(5)], 25.0, 3).to_pylist()
+    for out, (deletion, n, read, qual, ref) in zip(got, rows, strict=True):
+        run = off = nm = 0
+        for t in range(n):
+            b, q, u = read[t:t + 1], ord(qual[t]) - 33 if t < len(qual) else -33, ref[t:t + 1]
+            if run > 3 or b in ("", "N") or q < 25 or (deletion and u == "N"):
+                break
+            if u not in ("", "."):
+                run, off, nm = (0, t + 1, nm + 1) if b != u else (run + 1, off, nm)
+        assert out == {"off": off, "nm": nm}
+    assert sum(x["nm"] > 1 for x in got) > 20
