@@ -22,7 +22,7 @@ from pilecall.functions.exprs import low_complexity
 from pilecall.operators.joins import with_reference
 from pilecall.operators.mnp import COUNTS, KEY, transfer_counts
 from pilecall.operators.realign import clip_pair_join
-from pilecall.session import ensure_checkpoint_dir
+from pilecall.session import ensure_checkpoint_dir, stored
 
 MIN_CLIP = 10  # both texts are longer
 MIN_SAME = 8  # an overlap has more equal bases
@@ -144,9 +144,10 @@ def settle_pairs(changes: DataFrame, clips: DataFrame) -> DataFrame:
 def overlap_insertions(clips: DataFrame, spans: DataFrame, ref_blocks: DataFrame) -> DataFrame:
     """H7: changes spelled by two clips, one row per pair that comes about.
 
-    ``clips`` is read several times, so it should be a stored table; the pairs that spell a change are stored here.
+    ``clips`` is read several times, so it should be a stored table; spans and the pairs that spell a change are stored here.
     """
     ensure_checkpoint_dir(clips.sparkSession)
+    spans = stored(spans, "spans")  # comes from all reads and is joined twice
     return settle_pairs(overlap_changes(clips, spans, ref_blocks).checkpoint(), clips)
 
 

@@ -218,3 +218,23 @@ def test_normalized_reads_are_stored_without_their_op_table(spark):
     got = {r["name"]: (r["start_pos"], r["cigar"], len(r["ops"])) for r in out.collect()}
     assert got == {"clip": (100, "20M3D20M", 4), "near": (100, "20M20S", 4), "none": (100, "20M3D20M", 3), "short": (100, "20M3D20M", 3), "end": (100, "20M5S", 3),
                    "two": (100, "20M8D7I13M", 5), "odd": (100, "20=3D20X", 3), "plain": (100, "40M", 1)}
+
+
+def test_spans_are_stored_before_clips_meet_them(spark, monkeypatch):
+    """They come from all reads, which would be joined to the regions again for each of their uses."""
+    from pilecall.operators import clip_overlap as CO
+
+    names = []
+    monkeypatch.setattr(CO, "stored", lambda df, name: names.append(name) or df)
+    clips = spark.createDataFrame([], "region_id long, side int, pos long, consensus string, cnt long")
+    spans = spark.createDataFrame([(1, "chr1", 1, 50, 64, 40)], "region_id long, chr string, region_start long, region_end long, contig_len long, max_rlen int")
+    blocks = spark.createDataFrame([("chr1", 0, 1, "ACGT" * 8)], "chr string, block long, block_start long, seq string")
+    assert CO.overlap_insertions(clips, spans, blocks).count() == 0
+    assert names == ["spans"]
+
+
+def test_an_edge_reads_shape_is_worked_out_once():
+    from pilecall.fixtures import PRELUDE, SPARK_PRELUDE
+
+    assert SPARK_PRELUDE.count("AS shape") == PRELUDE.count("AS shape") == 1
+    assert "inline(array(struct(CASE shape" in SPARK_PRELUDE
